@@ -150,3 +150,7 @@ for _key, (_fn, _reads) in reports.REPORTS.items():
     register(_key, with_tables(_report_sql(_key)))(
         lambda silver, _f=_fn, _r=_reads: _f(_marts(silver, _r))
     )
+
+
+# Operator-level keys register themselves on import.
+from . import operator_queries  # noqa: E402,F401
