@@ -116,8 +116,9 @@ def merge_upsert(
 
     if update:
         if check_cardinality:
-            s = s.withColumn(
-                N_SRC,
+            # A filter predicate is always evaluated (a projection of an
+            # unused column would be pruned away with its check).
+            s = s.where(
                 F.when(
                     matched & (F.col(N_SRC) > 1),
                     F.raise_error(
@@ -126,7 +127,7 @@ def merge_upsert(
                             F.to_json(F.struct(*keys)),
                         )
                     ),
-                ).otherwise(F.col(N_SRC)),
+                ).otherwise(F.lit(True))
             )
         # One copy per matched target row (duplicate target keys).
         copies = F.greatest(F.coalesce(F.col(N_TGT), F.lit(1)), F.lit(1))

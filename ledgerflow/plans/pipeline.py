@@ -137,6 +137,10 @@ class Pipeline:
         try:
             if cfg.load_type == "APPEND":
                 bronze = self.store.read_run(cfg.bronze_schema, cfg.table_name, run_id)
+                if bronze is None:
+                    # Nothing landed in this run (e.g. no new files): load nothing.
+                    earlier = self.store.read(cfg.bronze_schema, cfg.table_name)
+                    bronze = None if earlier is None else earlier.where(F.lit(False))
                 if bronze is not None:
                     bronze = bronze.drop("run_id")
             else:

@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..operators.conform import project
 from ..operators.watermark import watermark_filter
@@ -48,13 +49,16 @@ def jdbc_table(
 
 def key_bounds(spark: SparkSession, url: str, table: str, column: str,
                properties: dict[str, str] | None = None) -> tuple[int | None, int | None]:
-    """MIN/MAX of the split column, computed by the database (one row back)."""
-    reader = spark.read.format("jdbc").option("url", url).option(
-        "query", f"SELECT MIN({column}) AS lo, MAX({column}) AS hi FROM {table}"
-    )
+    """MIN/MAX of the split column, aggregated by the database (one row back).
+
+    Written as a Spark aggregate over the JDBC relation with aggregate
+    push-down, so the dialect quotes the column and the database computes it.
+    """
+    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
+    reader = reader.option("pushDownAggregate", "true")
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
-    row = reader.load().collect()[0]
+    row = reader.load().agg(F.min(column), F.max(column)).collect()[0]
     return (None if row[0] is None else int(row[0]), None if row[1] is None else int(row[1]))
 
 
