@@ -41,6 +41,7 @@ SEED_TABLES = [
 SEED_PARAMETERS = [
     (1, "load_type", "MERGE"), (1, "primary_key", "customer_id"), (1, "watermark_column", "updated_at"),
     (2, "load_type", "MERGE"), (2, "primary_key", "account_id"), (2, "watermark_column", "updated_at"),
+    (2, "buckets", "16"),
     (3, "load_type", "APPEND"), (3, "primary_key", "txn_id"), (3, "watermark_column", "txn_timestamp"),
     (4, "load_type", "FULL"), (4, "primary_key", "branch_code"),
     (5, "load_type", "MERGE"), (5, "primary_key", "customer_id"), (5, "watermark_column", "bureau_pull_date"),
@@ -62,7 +63,7 @@ SEED_GOLD_KPI = [
     (5, "transaction_channel_summary"),
 ]
 SEED_FIRST_RUN_ID = "101"
-PARAMETER_NAMES = ["load_type", "primary_key", "watermark_column", "merge_dedupe"]
+PARAMETER_NAMES = ["load_type", "primary_key", "watermark_column", "merge_dedupe", "buckets"]
 LOAD_TYPES = ("FULL", "MERGE", "APPEND")
 # ---------------------------------------------------------------------------
 
@@ -157,6 +158,7 @@ class TableConfig:
     watermark_column: str | None
     last_watermark_value: str | None
     merge_dedupe: str | None = None
+    buckets: int | None = None
     extra: dict = field(default_factory=dict)
 
 
@@ -186,6 +188,7 @@ def load_config(control: dict[str, DataFrame], table_id: int) -> TableConfig:
         watermark_column=r["watermark_column"],
         last_watermark_value=r["last_watermark_value"],
         merge_dedupe=(r["merge_dedupe"] or None),
+        buckets=int(r["buckets"]) if r["buckets"] else None,
     )
 
 

@@ -35,6 +35,7 @@ COMMITS = T.StructType(
         T.StructField("rows", T.LongType()),
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("batch_id", T.LongType()),  # stream micro-batch, if any
+        T.StructField("bucket", T.IntegerType()),  # bucket written, for bucketed tables
     ]
 )
 
@@ -43,6 +44,7 @@ class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log_rows = None  # the collected commit log (tiny), refreshed after each commit
 
     # ----------------------------------------------------------- paths
     def path(self, layer: str, table: str) -> str:
@@ -59,19 +61,30 @@ class TableStore:
         except AnalysisException:
             return self.spark.createDataFrame([], COMMITS)
 
-    def _table_commits(self, layer: str, table: str):
-        return (
-            self.commits()
-            .where((F.col("layer") == layer) & (F.col("table_name") == table))
-            .select("kind", "version", "run_id", "batch_id")
-            .collect()
-        )
+    def _all_commits(self):
+        # One store serves one writer; the log is re-read after every commit
+        # this writer makes and whenever ``refresh()`` is called.
+        if self._log_rows is None:
+            self._log_rows = self.commits().collect()
+        return self._log_rows
+
+    def refresh(self) -> None:
+        self._log_rows = None
 
-    def _commit(self, layer, table, kind, version, run_id, rows, batch_id=None):
-        row = (layer, table, kind, int(version), None if run_id is None else int(run_id),
-               None if rows is None else int(rows), dt.datetime.now(dt.timezone.utc).replace(tzinfo=None),
-               None if batch_id is None else int(batch_id))
-        self.spark.createDataFrame([row], COMMITS).coalesce(1).write.mode("append").parquet(self._log)
+    def _table_commits(self, layer: str, table: str):
+        return [c for c in self._all_commits() if c.layer == layer and c.table_name == table]
+
+    def _commit(self, layer, table, kind, version, run_id, rows, batch_id=None, buckets=(None,)):
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        out = [
+            (layer, table, kind, int(version), None if run_id is None else int(run_id),
+             None if rows is None else int(rows), now, None if batch_id is None else int(batch_id),
+             None if b is None else int(b))
+            for b in buckets
+        ]
+        # One file per commit, however many buckets it names: the commit is atomic.
+        self.spark.createDataFrame(out, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
+        self._log_rows = None
 
     def exists(self, layer: str, table: str) -> bool:
         return bool(self._table_commits(layer, table))
@@ -90,6 +103,8 @@ class TableStore:
         if not commits:
             return None
         kinds = {c.kind for c in commits}
+        if "bucket" in kinds:
+            return self.read_buckets(layer, table, before_run=before_run)
         if kinds == {"append"}:
             runs = sorted({c.version for c in commits if before_run is None or c.version < before_run})
             if not runs:
@@ -110,6 +125,50 @@ class TableStore:
         df = self.spark.read.parquet(self.path(layer, table))
         return df.where(F.col("run_id") == run_id).drop("batch_id")
 
+    # ------------------------------------------------------- buckets
+    def bucket_manifest(self, layer: str, table: str, before_run: int | None = None) -> dict[int, int]:
+        """bucket -> version holding its current rows (empty buckets left out)."""
+        latest: dict[int, tuple[int, int]] = {}
+        for c in self._table_commits(layer, table):
+            if c.kind != "bucket" or (before_run is not None and (c.run_id or 0) >= before_run):
+                continue
+            if c.version > latest.get(c.bucket, (-1, 0))[0]:
+                latest[c.bucket] = (c.version, c.rows or 0)
+        return {b: v for b, (v, nonempty) in latest.items() if nonempty}
+
+    def read_buckets(self, layer: str, table: str, buckets=None, before_run: int | None = None):
+        """Rows of the given buckets (all when None) of a bucketed table, or None."""
+        manifest = self.bucket_manifest(layer, table, before_run)
+        wanted = manifest if buckets is None else {b: manifest[b] for b in buckets if b in manifest}
+        if not wanted:
+            return None
+        base = self.path(layer, table)
+        paths = [f"{base}/v={v}/bucket={b}" for b, v in sorted(wanted.items())]
+        return self.spark.read.parquet(*paths)
+
+    def write_buckets(self, layer: str, table: str, df: DataFrame, bucket_col: str, buckets,
+                      run_id: int | None = None) -> None:
+        """Write ``df`` (rows of ``buckets`` only) as a new version of those buckets.
+
+        Buckets not named keep their current version; the commit names every
+        bucket written, so a crash before it leaves all buckets as they were.
+        """
+        from pyspark.sql import Observation
+
+        commits = self._table_commits(layer, table)
+        version = 1 + max([c.version for c in commits], default=0)
+        obs = Observation(f"buckets_{layer}_{table}_{version}")
+        if bucket_col != "bucket":
+            df = df.withColumnRenamed(bucket_col, "bucket")
+        df = df.observe(obs, F.collect_set("bucket").alias("written"))  # at most N values
+        df.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path(layer, table)}/v={version}")
+        written = set(obs.get.get("written") or [])
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        rows = [(layer, table, "bucket", version, None if run_id is None else int(run_id),
+                 1 if b in written else 0, now, None, int(b)) for b in sorted(set(buckets) | written)]
+        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
+        self._log_rows = None
+
     # ---------------------------------------------------------- write
     def write_snapshot(self, layer: str, table: str, df: DataFrame, run_id: int | None = None,
                        observe_rows: bool = True, batch_id: int | None = None) -> int | None:
