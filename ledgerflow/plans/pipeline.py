@@ -90,8 +90,14 @@ class Pipeline:
         return int(run_id)
 
     def _audit(self, run_id: int, layer: str, **kw) -> None:
+        self._audit_rows([registry.audit_row(self.spark, run_id, layer, **kw)])
+
+    def _audit_rows(self, rows: list[DataFrame]) -> None:
+        """One upsert (one new version of the audit table) for several entries."""
+        new = rows[0]
+        for r in rows[1:]:
+            new = new.unionByName(r)
         runs = self.store.read(META, "pipeline_runs")
-        new = registry.audit_row(self.spark, run_id, layer, **kw)
         self.store.write_snapshot(META, "pipeline_runs", registry.run_audit_upsert(runs, new),
                                   observe_rows=False)
 
@@ -208,18 +214,21 @@ class Pipeline:
             "customer_360": lambda s: gold.customer_360(s, acct, txn),
         }
         kpis = self.control()["gold_layer_kpi"].orderBy("kpi_id").collect()
-        counts = {}
+        counts, audit = {}, []
         for k in kpis:
             start = _now()
             try:
                 build = builders.get(k.kpi_name) or gold.MARTS[k.kpi_name]
                 rows = self.store.write_snapshot("gold", k.kpi_name, build(silver), run_id)
                 counts[k.kpi_name] = rows
-                self._audit(run_id, "GOLD", kpi_id=k.kpi_id, start=start, end=_now(), records=rows)
+                audit.append(registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
+                                                end=_now(), records=rows))
             except Exception as e:  # one failing mart does not stop the others
-                self._audit(run_id, "GOLD", kpi_id=k.kpi_id, start=start, end=_now(),
-                            status="FAILED", error=str(e)[:4000])
                 counts[k.kpi_name] = None
+                audit.append(registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
+                                                end=_now(), status="FAILED", error=str(e)[:4000]))
+        if audit:
+            self._audit_rows(audit)
         return counts
 
     def marts(self) -> dict[str, DataFrame]:
