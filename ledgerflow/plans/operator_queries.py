@@ -218,9 +218,7 @@ def watermark_max_q(s):
        UNION ALL
        SELECT table_id, mark, 7 FROM newm WHERE mark IS NOT NULL"""))
 def watermark_upsert_q(s):
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
+    spark = s["accounts"].sparkSession
     marks = registry.seed_control_tables(spark)["table_watermarks"]
     out = watermark_upsert(marks, _incremental_marks(s), run_id=7, updated_at=_ts(RUN_TS))
     return out.select("table_id", "last_watermark_value", "last_run_id")
