@@ -69,12 +69,9 @@ def conform(df: DataFrame, schema: T.StructType, strict: bool = True) -> DataFra
     return df.select(*out, *extra)
 
 
-def conform_with_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Lenient cast plus a ``_reject`` column naming the columns that failed.
-
-    Callers split on ``_reject IS NULL`` (good rows) and the rest
-    (quarantine), in one pass over the input.
-    """
+def reject_reason(df: DataFrame, schema: T.StructType) -> Column:
+    """Comma-separated names of the columns whose text does not fit the
+    contract type (present but not castable); NULL when the row is fine."""
     present = {c.lower(): c for c in df.columns}
     failed = [
         F.when(F.col(present[f.name.lower()]).isNotNull()
@@ -83,10 +80,17 @@ def conform_with_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
         if f.name.lower() in present
     ]
     reasons = F.concat_ws(",", *failed) if failed else F.lit("")
-    return df.select(
-        *_typed_columns(schema, present),
-        F.when(reasons == "", None).otherwise(reasons).alias("_reject"),
-    )
+    return F.when(reasons == "", None).otherwise(reasons)
+
+
+def conform_with_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """Lenient cast plus a ``_reject`` column naming the columns that failed.
+
+    Callers split on ``_reject IS NULL`` (good rows) and the rest
+    (quarantine), in one pass over the input.
+    """
+    present = {c.lower(): c for c in df.columns}
+    return df.select(*_typed_columns(schema, present), reject_reason(df, schema).alias("_reject"))
 
 
 def _typed_columns(schema: T.StructType, present: dict[str, str]) -> list[Column]:

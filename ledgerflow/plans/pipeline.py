@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.conform import add_audit_columns, conform, land_as_string
+from ..operators.conform import add_audit_columns, conform, land_as_string, reject_reason
 from ..operators.aggregate import latest_per_key
 from ..operators.bucketed import merge_bucketed
 from ..operators.merge import merge_upsert
@@ -170,7 +170,16 @@ class Pipeline:
                 bronze = self.store.read(cfg.bronze_schema, cfg.table_name)
             if bronze is None:
                 raise ValueError(f"bronze table {cfg.bronze_schema}.{cfg.table_name} does not exist")
-            typed = conform(bronze, schemas.ENTITIES[cfg.table_name])
+            contract = schemas.ENTITIES[cfg.table_name]
+            if cfg.bad_rows == "quarantine":
+                # Rows that do not fit the contract go, as landed text and with
+                # the failing column names, to <table>_rejects; the rest load.
+                # Default: fail fast (ANSI cast).
+                flagged = bronze.withColumn("_reject", reject_reason(bronze, contract))
+                self.store.append(cfg.silver_schema, f"{cfg.table_name}_rejects",
+                                  flagged.where(F.col("_reject").isNotNull()), run_id)
+                bronze = flagged.where(F.col("_reject").isNull()).drop("_reject")
+            typed = conform(bronze, contract)
             wm = cfg.watermark_column.lower() if cfg.watermark_column else None
             if cfg.load_type in ("MERGE", "APPEND") and wm:
                 typed = watermark_filter(typed, wm, cfg.last_watermark_value)

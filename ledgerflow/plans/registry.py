@@ -63,7 +63,7 @@ SEED_GOLD_KPI = [
     (5, "transaction_channel_summary"),
 ]
 SEED_FIRST_RUN_ID = "101"
-PARAMETER_NAMES = ["load_type", "primary_key", "watermark_column", "merge_dedupe", "buckets"]
+PARAMETER_NAMES = ["load_type", "primary_key", "watermark_column", "merge_dedupe", "buckets", "bad_rows"]
 LOAD_TYPES = ("FULL", "MERGE", "APPEND")
 # ---------------------------------------------------------------------------
 
@@ -159,6 +159,7 @@ class TableConfig:
     last_watermark_value: str | None
     merge_dedupe: str | None = None
     buckets: int | None = None
+    bad_rows: str = "fail"  # fail | quarantine
     extra: dict = field(default_factory=dict)
 
 
@@ -189,6 +190,7 @@ def load_config(control: dict[str, DataFrame], table_id: int) -> TableConfig:
         last_watermark_value=r["last_watermark_value"],
         merge_dedupe=(r["merge_dedupe"] or None),
         buckets=int(r["buckets"]) if r["buckets"] else None,
+        bad_rows=(r["bad_rows"] or "fail").lower(),
     )
 
 

@@ -166,3 +166,78 @@ def test_bucketed_merge_rewrites_only_touched_buckets(spark, scratch):
     # a retry of run 2 recomputes from the state before it
     merge_bucketed(store, "silver", "accounts", source, ["account_id"], 32, run_id=2)
     assert store.read("silver", "accounts").count() == want.count()
+
+
+def _logs_pipeline(spark, scratch, quarantine):
+    from ledgerflow import schemas
+
+    landing = os.path.join(scratch, "landing")
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    pipe = Pipeline(spark, store, {"blob": lambda cfg: csv_stream(spark, f"{landing}/{cfg.source_path}",
+                                                                    cfg.columns)})
+    pipe.seed()
+    if quarantine:
+        params = store.read("metadata", "table_parameters")
+        extra = spark.createDataFrame([(6, "bad_rows", "quarantine", None)], schemas.TABLE_PARAMETERS)
+        store.write_snapshot("metadata", "table_parameters", params.unionByName(extra), observe_rows=False)
+    cols = [f.name for f in schemas.PAYMENT_GATEWAY_LOGS.fields]
+    rows = [("1", "upi", "SUCCESS", "200", "15", "MOBILE", "IN", "2024-01-01 00:00:01"),
+            ("2", "upi", "SUCCESS", "200", "abc", "MOBILE", "IN", "2024-01-01 00:00:02"),
+            ("3", "upi", "FAILED", "500", "7", "MOBILE", "IN", "not a time")]
+    _land_csv(spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols)),
+              f"{landing}/payment_gateway_logs/")
+    return pipe
+
+
+def test_quarantine_splits_bad_rows(spark, scratch):
+    pipe = _logs_pipeline(spark, scratch, quarantine=True)
+    run = pipe.start_run()
+    assert pipe.bronze(6, run) == 3
+    assert pipe.silver(6, run) == 1
+    rejects = {r.txn_id: r._reject for r in pipe.store.read("silver", "payment_gateway_logs_rejects").collect()}
+    assert rejects == {"2": "processing_time_ms", "3": "processed_timestamp"}
+    assert [r.txn_id for r in pipe.store.read("silver", "payment_gateway_logs").collect()] == [1]
+
+
+def test_bad_rows_fail_fast_and_are_audited(spark, scratch):
+    pipe = _logs_pipeline(spark, scratch, quarantine=False)
+    run = pipe.start_run()
+    pipe.bronze(6, run)
+    with pytest.raises(Exception):
+        pipe.silver(6, run)
+    audit = pipe.store.read("metadata", "pipeline_runs").where("layer = 'SILVER'").collect()
+    assert [a.status for a in audit] == ["FAILED"] and audit[0].error_message
+
+
+def test_csv_with_reordered_header_fails_loudly(spark, scratch):
+    landing = os.path.join(scratch, "in")
+    os.makedirs(landing)
+    with open(os.path.join(landing, "a.csv"), "w") as f:
+        f.write("gateway_name,txn_id\nx,1\n")
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    with pytest.raises(Exception):
+        land_stream(store, "bronze", "logs", csv_stream(spark, landing, ["TXN_ID", "GATEWAY_NAME"]), 1,
+                    os.path.join(scratch, "ckpt"))
+    assert store.read("bronze", "logs") is None
+
+
+def test_pipeline_reads_relational_source_over_jdbc(spark, scratch):
+    from ledgerflow.sources.jdbc import jdbc_extractor
+
+    url = "jdbc:derby:memory:ledgerflow_pipe;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    ents = testdata.silver_tables(spark, SF_SMALL)
+    for name in ("customers", "accounts"):
+        (ents[name].write.format("jdbc").option("url", url).option("dbtable", name)
+         .option("driver", props["driver"]).mode("overwrite").save())
+    store = TableStore(spark, scratch)
+    ext = jdbc_extractor(spark, url, props, num_partitions=3)
+    pipe = Pipeline(spark, store, {"oracledb": ext, "sqlserver": ext}, run_ts="2025-01-01 00:00:00")
+    pipe.seed()
+    run = pipe.start_run()
+    for tid in (1, 2):
+        pipe.bronze(tid, run)
+        pipe.silver(tid, run)
+    silver = pipe.silver_tables()
+    for name in ("customers", "accounts"):
+        assert _rows(silver[name]) == _rows(ents[name]), name
