@@ -213,9 +213,10 @@ class Pipeline:
 
     def gold(self, run_id: int) -> dict[str, int]:
         silver = self.silver_tables()
-        ckpt = checkpoint_dir(self.spark)  # noqa: F841  (shared folder from the session)
         # The per-customer totals feed two marts: compute them once and cut
-        # their lineage with a reliable checkpoint in the shared folder.
+        # their lineage with a reliable checkpoint in the shared folder the
+        # session names (spark.checkpoint.dir; set only when absent).
+        checkpoint_dir(self.spark, shared=f"{self.store.root}/_checkpoints")
         acct = gold.account_totals(silver["accounts"]).checkpoint()
         txn = gold.transaction_totals(silver["transactions"], silver["accounts"]).checkpoint()
         builders = {

@@ -50,20 +50,26 @@ def build_session(
     return spark
 
 
-def checkpoint_dir(spark: SparkSession, scratch: str | None = None) -> str:
-    """Return the shared checkpoint folder named by the session.
+def checkpoint_dir(spark: SparkSession, shared: str | None = None) -> str:
+    """Return the checkpoint folder, preferring the one the session names.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is.  Only when it is unset (local tests) a fresh scratch folder is
-    created for this session.
+    ``spark.checkpoint.dir`` (a shared folder on a cluster) is used as is.
+    Only when it is unset: ``shared`` (a folder every executor can reach,
+    e.g. the table store's root) is used; failing that, a local session
+    (tests) gets a scratch folder, and a cluster session is refused rather
+    than pointed at a machine-local path.  Spark adds a unique
+    per-application subfolder itself.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir")
     if current:
         if sc.getCheckpointDir() is None:
             sc.setCheckpointDir(current)
-        return current
-    parent = scratch or os.environ.get("LEDGERFLOW_SCRATCH") or tempfile.gettempdir()
-    path = tempfile.mkdtemp(prefix="ledgerflow-ckpt-", dir=parent)
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+        return sc.getCheckpointDir() or current
+    if shared is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set: name a shared folder for checkpoints")
+        shared = os.path.join(os.environ.get("LEDGERFLOW_SCRATCH") or tempfile.gettempdir(),
+                              "ledgerflow-checkpoints")
+    sc.setCheckpointDir(shared)
+    return sc.getCheckpointDir() or shared
