@@ -133,10 +133,13 @@ class Pipeline:
         return rows
 
     def _load(self, layer: str, cfg: TableConfig, df: DataFrame, run_id: int) -> int:
+        # Typed (silver) tables may be stored bucketed on their join key, so
+        # joins between co-bucketed tables and merges need no shuffle of them.
+        cluster = cfg.cluster_by if layer == cfg.silver_schema else None
         if cfg.load_type == "FULL":
-            return self.store.write_snapshot(layer, cfg.table_name, df, run_id)
+            return self.store.write_snapshot(layer, cfg.table_name, df, run_id, cluster=cluster)
         if cfg.load_type == "APPEND":
-            return self.store.append(layer, cfg.table_name, df, run_id)
+            return self.store.append(layer, cfg.table_name, df, run_id, cluster=cluster)
         # MERGE on the primary key; the state before this run is the base, so
         # a retried run recomputes the same version.
         key = cfg.primary_key.strip().lower()
@@ -150,7 +153,8 @@ class Pipeline:
         base = self.store.read(layer, cfg.table_name, before_run=run_id)
         if base is None:
             base = df.where(F.lit(False))
-        return self.store.write_snapshot(layer, cfg.table_name, merge_upsert(base, df, [key]), run_id)
+        return self.store.write_snapshot(layer, cfg.table_name, merge_upsert(base, df, [key]), run_id,
+                                         cluster=cluster)
 
     # -------------------------------------------------------- silver
     def silver(self, table_id: int, run_id: int) -> int:

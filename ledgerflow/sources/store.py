@@ -36,10 +36,27 @@ COMMITS = T.StructType(
         T.StructField("committed_at", T.TimestampType()),
         T.StructField("batch_id", T.LongType()),  # stream micro-batch, if any
         T.StructField("bucket", T.IntegerType()),  # bucket written, for bucketed tables
+        T.StructField("cluster", T.StringType()),  # "<n>:<col>[,<col>]" for bucketBy layouts
     ]
 )
 
 
+def _catalog_name(root: str, layer: str, table: str, version: int | None = None) -> str:
+    """Session-catalog name for a bucketed table; unique per store root."""
+    import hashlib
+
+    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
+    base = f"lf_{tag}_{layer}_{table}".lower()
+    return base if version is None else f"{base}_v{version}"
+
+
+def _parse_cluster(spec: str | None):
+    if not spec:
+        return None
+    n, cols = spec.split(":", 1)
+    return int(n), [c for c in cols.split(",") if c]
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -74,12 +91,14 @@ class TableStore:
     def _table_commits(self, layer: str, table: str):
         return [c for c in self._all_commits() if c.layer == layer and c.table_name == table]
 
-    def _commit(self, layer, table, kind, version, run_id, rows, batch_id=None, buckets=(None,)):
+    def _commit(self, layer, table, kind, version, run_id, rows, batch_id=None, buckets=(None,),
+                cluster=None):
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        spec = None if cluster is None else f"{cluster[0]}:{','.join(cluster[1])}"
         out = [
             (layer, table, kind, int(version), None if run_id is None else int(run_id),
              None if rows is None else int(rows), now, None if batch_id is None else int(batch_id),
-             None if b is None else int(b))
+             None if b is None else int(b), spec)
             for b in buckets
         ]
         # One file per commit, however many buckets it names: the commit is atomic.
@@ -109,20 +128,57 @@ class TableStore:
             runs = sorted({c.version for c in commits if before_run is None or c.version < before_run})
             if not runs:
                 return None
-            df = self.spark.read.parquet(self.path(layer, table))
-            return df.where(F.col("run_id").isin(runs)).drop("batch_id")
+            return self._append_frame(layer, table, commits).where(F.col("run_id").isin(runs)).drop("batch_id")
         snaps = [c for c in commits if c.kind == "snapshot" and (before_run is None or (c.run_id or 0) < before_run)]
         if not snaps:
             return None
-        version = max(c.version for c in snaps)
-        return self.spark.read.parquet(f"{self.path(layer, table)}/v={version}")
+        last = max(snaps, key=lambda c: c.version)
+        path = f"{self.path(layer, table)}/v={last.version}"
+        cluster = _parse_cluster(last.cluster)
+        if cluster is None:
+            return self.spark.read.parquet(path)
+        name = _catalog_name(self.root, layer, table, last.version)
+        self._register(name, path, cluster)
+        return self.spark.table(name)
+
+    def _append_frame(self, layer: str, table: str, commits) -> DataFrame:
+        cluster = _parse_cluster(next((c.cluster for c in commits if c.cluster), None))
+        if cluster is None:
+            return self.spark.read.parquet(self.path(layer, table))
+        name = _catalog_name(self.root, layer, table)
+        self._register(name, self.path(layer, table), cluster, partitions=("run_id", "batch_id"))
+        return self.spark.table(name)
+
+    # ------------------------------------------------- bucketBy layout
+    def _register(self, name: str, path: str, cluster, partitions: tuple[str, ...] = ()) -> None:
+        """Declare a bucketed external table over ``path`` in the session catalog.
+
+        The layout is recorded in the commit log, so any session can
+        re-declare it; Spark then knows each file's bucket and plans joins
+        and aggregations on the bucket key without a shuffle.
+        """
+        if self.spark.catalog.tableExists(name):
+            if partitions:
+                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+            return
+        n, keys = cluster
+        schema = self.spark.read.parquet(path).schema
+        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+        key_list = ", ".join(f"`{k}`" for k in keys)
+        part = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
+        self.spark.sql(
+            f"CREATE TABLE {name} ({cols}) USING parquet{part} CLUSTERED BY ({key_list}) "
+            f"SORTED BY ({key_list}) INTO {n} BUCKETS LOCATION '{path}'"
+        )
+        if partitions:
+            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
     def read_run(self, layer: str, table: str, run_id: int) -> DataFrame | None:
         """Rows one run appended (partition-pruned read of an append table)."""
         commits = self._table_commits(layer, table)
         if not any(c.kind == "append" and c.version == run_id for c in commits):
             return None
-        df = self.spark.read.parquet(self.path(layer, table))
+        df = self._append_frame(layer, table, commits)
         return df.where(F.col("run_id") == run_id).drop("batch_id")
 
     # ------------------------------------------------------- buckets
@@ -165,14 +221,20 @@ class TableStore:
         written = set(obs.get.get("written") or [])
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         rows = [(layer, table, "bucket", version, None if run_id is None else int(run_id),
-                 1 if b in written else 0, now, None, int(b)) for b in sorted(set(buckets) | written)]
+                 1 if b in written else 0, now, None, int(b), None) for b in sorted(set(buckets) | written)]
         self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
         self._log_rows = None
 
     # ---------------------------------------------------------- write
     def write_snapshot(self, layer: str, table: str, df: DataFrame, run_id: int | None = None,
-                       observe_rows: bool = True, batch_id: int | None = None) -> int | None:
-        """Write ``df`` as the next version and commit it; returns the row count."""
+                       observe_rows: bool = True, batch_id: int | None = None,
+                       cluster: tuple[int, list[str]] | None = None) -> int | None:
+        """Write ``df`` as the next version and commit it; returns the row count.
+
+        ``cluster=(n, keys)`` stores the version bucketed by ``keys``
+        (``bucketBy``), so joins and merges on the keys need no shuffle of
+        this table.
+        """
         commits = self._table_commits(layer, table)
         version = 1 + max([c.version for c in commits if c.kind == "snapshot"], default=0)
         rows = None
@@ -181,13 +243,20 @@ class TableStore:
 
             obs = Observation(f"rows_{layer}_{table}_{version}")
             df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        df.write.mode("overwrite").parquet(f"{self.path(layer, table)}/v={version}")
+        path = f"{self.path(layer, table)}/v={version}"
+        if cluster is None:
+            df.write.mode("overwrite").parquet(path)
+        else:
+            n, keys = cluster
+            (df.write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path)
+             .mode("overwrite").saveAsTable(_catalog_name(self.root, layer, table, version)))
         if observe_rows:
             rows = obs.get.get("rows")
-        self._commit(layer, table, "snapshot", version, run_id, rows, batch_id)
+        self._commit(layer, table, "snapshot", version, run_id, rows, batch_id, cluster=cluster)
         return rows
 
-    def append(self, layer: str, table: str, df: DataFrame, run_id: int, batch_id: int = 0) -> int:
+    def append(self, layer: str, table: str, df: DataFrame, run_id: int, batch_id: int = 0,
+               cluster: tuple[int, list[str]] | None = None) -> int:
         """Write ``df`` as partition (run_id, batch_id) and commit it.
 
         A retry rewrites the same partition (dynamic partition overwrite), so
@@ -202,12 +271,24 @@ class TableStore:
             .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
             .observe(obs, F.count(F.lit(1)).alias("rows"))
         )
-        (
-            out.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("run_id", "batch_id")
-            .parquet(self.path(layer, table))
-        )
+        commits = self._table_commits(layer, table)
+        if cluster is None:
+            (
+                out.write.mode("overwrite")
+                .option("partitionOverwriteMode", "dynamic")
+                .partitionBy("run_id", "batch_id")
+                .parquet(self.path(layer, table))
+            )
+        else:
+            n, keys = cluster
+            name = _catalog_name(self.root, layer, table)
+            if commits:
+                self._register(name, self.path(layer, table), cluster, partitions=("run_id", "batch_id"))
+            if self.spark.catalog.tableExists(name):
+                out.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
+            else:
+                (out.write.format("parquet").partitionBy("run_id", "batch_id").bucketBy(n, *keys)
+                 .sortBy(*keys).option("path", self.path(layer, table)).mode("append").saveAsTable(name))
         rows = obs.get.get("rows")
-        self._commit(layer, table, "append", run_id, run_id, rows, batch_id)
+        self._commit(layer, table, "append", run_id, run_id, rows, batch_id, cluster=cluster)
         return rows
