@@ -249,6 +249,17 @@ class Pipeline:
         return {n: self.store.read("gold", n) for n in gold.MARTS}
 
     # ----------------------------------------------------------- all
+    def finish_run(self, run_id: int) -> None:
+        """Record the run's end time and duration (upsert keyed on run_id)."""
+        details = self.store.read(META, "run_execution_details")
+        start = (details.where(F.col("run_id") == str(run_id)).agg(F.min("run_start")).collect()[0][0])
+        end = _now()
+        duration = int((end - start).total_seconds()) if start else None
+        row = self.spark.createDataFrame([(str(run_id), start, end, duration)], schemas.RUN_EXECUTION_DETAILS)
+        self.store.write_snapshot(META, "run_execution_details",
+                                  merge_upsert(details, row, ["run_id"], keep_from_target=()),
+                                  observe_rows=False)
+
     def run(self) -> int:
         self.seed()
         run_id = self.start_run()
@@ -257,4 +268,5 @@ class Pipeline:
             self.bronze(tid, run_id)
             self.silver(tid, run_id)
         self.gold(run_id)
+        self.finish_run(run_id)
         return run_id

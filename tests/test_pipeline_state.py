@@ -57,6 +57,9 @@ def test_full_run_then_idempotent_rerun(spark, scratch):
     marks = {r.table_id: r.last_watermark_value for r in pipe.store.read("metadata", "table_watermarks").collect()}
     assert marks[3] == str(ents["transactions"].agg(F.max("txn_timestamp")).collect()[0][0])
 
+    details = {r.run_id: r for r in pipe.store.read("metadata", "run_execution_details").collect()}
+    assert details[str(run1)].run_end is not None and details[str(run1)].run_duration is not None
+
     # Second run, no new source data: nothing new lands, gold unchanged.
     run2 = pipe.run()
     assert run2 == run1 + 1
