@@ -52,7 +52,7 @@ def merge_bucketed(store, layer: str, table: str, source: DataFrame, keys: Seque
     base = store.read_buckets(layer, table, touched, before_run=run_id)
     if base is None:
         base = source.where(F.lit(False))
-    merged = merge_upsert(base, source, keys, **merge_kw)
+    merged = merge_upsert(base, source, keys, **{"evolve": True, **merge_kw})
     store.write_buckets(layer, table, merged.withColumn(BUCKET, bucket_of(keys, n_buckets)), BUCKET,
                         touched, run_id)
     return touched, rows

@@ -73,6 +73,7 @@ def merge_upsert(
     keep_from_target: Sequence[str] = ("insert_timestamp",),
     null_safe: bool = False,
     check_cardinality: bool = True,
+    evolve: bool = False,
 ) -> DataFrame:
     """New state of ``target`` after merging ``source`` on ``keys``.
 
@@ -81,9 +82,17 @@ def merge_upsert(
     target's value on update, e.g. the first insert time; pass ``()`` to
     take every column from the source.  ``null_safe`` makes NULL keys match
     each other (used for control tables keyed on nullable ids).  Output has
-    the target's columns; missing source columns become NULL.
+    the target's columns; missing source columns become NULL.  With
+    ``evolve`` the source's extra columns are added to the target first
+    (NULL in old rows), as after ``ALTER TABLE ADD COLUMN``.
     """
     keys = [keys] if isinstance(keys, str) else list(keys)
+    if evolve:
+        from .conform import add_column
+
+        for f in source.schema.fields:
+            if f.name not in target.columns:
+                target = add_column(target, f.name, f.dataType)
     keep = [c for c in keep_from_target if c in target.columns and c in source.columns] if update else []
     rk = _renamed_keys(keys)
     tcols = target.columns

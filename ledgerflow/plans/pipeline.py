@@ -153,8 +153,8 @@ class Pipeline:
         base = self.store.read(layer, cfg.table_name, before_run=run_id)
         if base is None:
             base = df.where(F.lit(False))
-        return self.store.write_snapshot(layer, cfg.table_name, merge_upsert(base, df, [key]), run_id,
-                                         cluster=cluster)
+        merged = merge_upsert(base, df, [key], evolve=True)  # a column added to the list flows in
+        return self.store.write_snapshot(layer, cfg.table_name, merged, run_id, cluster=cluster)
 
     # -------------------------------------------------------- silver
     def silver(self, table_id: int, run_id: int) -> int:

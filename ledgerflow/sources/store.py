@@ -285,6 +285,16 @@ class TableStore:
             if commits:
                 self._register(name, self.path(layer, table), cluster, partitions=("run_id", "batch_id"))
             if self.spark.catalog.tableExists(name):
+                # insertInto is positional: add new columns to the table, then
+                # write in the table's column order (absent columns as NULL).
+                table_cols = {f.name: f.dataType for f in self.spark.table(name).schema.fields}
+                new = [f for f in out.schema.fields if f.name not in table_cols]
+                if new:
+                    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
+                    self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
+                order = self.spark.table(name).schema.fields
+                out = out.select(*[(F.col(f.name) if f.name in out.columns else F.lit(None))
+                                   .cast(f.dataType).alias(f.name) for f in order])
                 out.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
             else:
                 (out.write.format("parquet").partitionBy("run_id", "batch_id").bucketBy(n, *keys)

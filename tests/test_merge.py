@@ -83,3 +83,12 @@ def test_plan_has_no_full_outer_or_cartesian(spark):
     s = spark.createDataFrame([(1, "x", "t1")], SCHEMA)
     plan = merge_upsert(t, s, ["k"])._jdf.queryExecution().optimizedPlan().toString()
     assert "FullOuter" not in plan and "Cross" not in plan
+
+
+def test_merge_evolves_schema_for_added_column(spark):
+    t = spark.createDataFrame([(1, "a", "t0")], SCHEMA)
+    s = spark.createDataFrame([(1, "A", "t1", "x"), (2, "b", "t1", "y")], SCHEMA + ", extra string")
+    out = merge_upsert(t, s, ["k"], evolve=True)
+    assert out.columns == ["k", "v", "insert_timestamp", "extra"]
+    assert rows(out) == [(1, "A", "t0", "x"), (2, "b", "t1", "y")]
+    assert merge_upsert(t, s, ["k"]).columns == ["k", "v", "insert_timestamp"]

@@ -284,3 +284,13 @@ def test_clustered_tables_join_and_merge_without_shuffle(spark, scratch):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_clustered_append_accepts_reordered_and_added_columns(spark, scratch):
+    store = TableStore(spark, scratch)
+    first = spark.createDataFrame([(1, "a"), (2, "b")], "account_id bigint, v string")
+    store.append("silver", "t", first, run_id=1, cluster=(4, ["account_id"]))
+    later = spark.createDataFrame([("c", 3, "x")], "v string, account_id bigint, extra string")
+    store.append("silver", "t", later, run_id=2, cluster=(4, ["account_id"]))
+    got = sorted((r.account_id, r.v, r.extra) for r in store.read("silver", "t").collect())
+    assert got == [(1, "a", None), (2, "b", None), (3, "c", "x")]
