@@ -129,9 +129,13 @@ def test_channel_summary_success_known_accounts(spark):
 
 def test_empty_inputs(spark):
     s = silver(spark)
-    assert gold.customer_360(s).count() == 0
-    assert gold.daily_bank_kpi(s).count() == 0
-    assert gold.branch_performance(s).count() == 0
+    for name in ("customer_360", "daily_bank_kpi", "branch_performance", "risk_customer_summary",
+                 "risk_customer_summary_dedup", "transaction_channel_summary"):
+        assert getattr(gold, name)(s).count() == 0, name
+    # branches without any customer still appear, with zero totals
+    s2 = silver(spark, branches=[branch("BR9", "Lonely")])
+    only = gold.branch_performance(s2).collect()
+    assert [(r.branch_code, r.total_customers, r.total_deposits) for r in only] == [("BR9", 0, 0)]
     m = {"customer_360": gold.customer_360(s)}
     assert reports.total_deposits(m).collect()[0].total_deposits is None  # global SUM over nothing
     assert reports.total_customers(m).collect()[0].total_customers == 0
