@@ -259,3 +259,26 @@ MARTS = {
 
 def build(name: str, silver: Silver) -> DataFrame:
     return MARTS[name](silver)
+
+
+def build_all(silver: Silver, names=None) -> dict[str, DataFrame]:
+    """Every mart, with the per-customer account and transaction totals
+    computed once and shared by customer_360 and branch_performance.
+
+    The shared totals are cut with a reliable ``checkpoint()`` (the session
+    must name a checkpoint folder), so a lost executor later recomputes
+    nothing upstream of them.
+    """
+    names = list(MARTS) if names is None else list(names)
+    out: dict[str, DataFrame] = {}
+    if {"customer_360", "branch_performance"} & set(names):
+        acct = account_totals(silver["accounts"]).checkpoint()
+        txn = transaction_totals(silver["transactions"], silver["accounts"]).checkpoint()
+    for name in names:
+        if name == "customer_360":
+            out[name] = customer_360(silver, acct, txn)
+        elif name == "branch_performance":
+            out[name] = branch_performance(silver, acct, txn)
+        else:
+            out[name] = MARTS[name](silver)
+    return out

@@ -217,23 +217,19 @@ class Pipeline:
 
     def gold(self, run_id: int) -> dict[str, int]:
         silver = self.silver_tables()
-        # The per-customer totals feed two marts: compute them once and cut
-        # their lineage with a reliable checkpoint in the shared folder the
-        # session names (spark.checkpoint.dir; set only when absent).
+        # The per-customer totals feed two marts: build_all computes them once
+        # and checkpoints them into the shared folder the session names
+        # (spark.checkpoint.dir; the store's folder only when that is unset).
         checkpoint_dir(self.spark, shared=f"{self.store.root}/_checkpoints")
-        acct = gold.account_totals(silver["accounts"]).checkpoint()
-        txn = gold.transaction_totals(silver["transactions"], silver["accounts"]).checkpoint()
-        builders = {
-            "branch_performance": lambda s: gold.branch_performance(s, acct, txn),
-            "customer_360": lambda s: gold.customer_360(s, acct, txn),
-        }
         kpis = self.control()["gold_layer_kpi"].orderBy("kpi_id").collect()
         counts, audit = {}, []
+        marts = gold.build_all(silver, [k.kpi_name for k in kpis if k.kpi_name in gold.MARTS])
         for k in kpis:
             start = _now()
             try:
-                build = builders.get(k.kpi_name) or gold.MARTS[k.kpi_name]
-                rows = self.store.write_snapshot("gold", k.kpi_name, build(silver), run_id)
+                if k.kpi_name not in marts:
+                    raise ValueError(f"no builder for mart {k.kpi_name!r}")
+                rows = self.store.write_snapshot("gold", k.kpi_name, marts[k.kpi_name], run_id)
                 counts[k.kpi_name] = rows
                 audit.append(registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
                                                 end=_now(), records=rows))

@@ -160,3 +160,17 @@ def test_marts_have_no_cartesian_or_window(spark):
         plan = build(s)._jdf.queryExecution().optimizedPlan().toString()
         assert "CartesianProduct" not in plan and "Join Cross" not in plan, name
         assert "Window" not in plan, name
+
+
+def test_build_all_shares_totals_and_matches_marts(spark):
+    from conftest import SF_SMALL
+    from ledgerflow.functions.scalars import for_comparison
+    from ledgerflow.sources import testdata
+
+    s = testdata.silver_tables(spark, SF_SMALL)
+    all_marts = gold.build_all(s)
+    assert set(all_marts) == set(gold.MARTS)
+    for name in ("customer_360", "branch_performance"):
+        a = sorted(map(tuple, for_comparison(all_marts[name]).collect()), key=repr)
+        b = sorted(map(tuple, for_comparison(gold.MARTS[name](s)).collect()), key=repr)
+        assert a == b, name
