@@ -41,11 +41,13 @@ def customer_360(silver: Silver, acct: DataFrame | None = None, txn: DataFrame |
     )
     branch_names = silver["branches"].select("branch_code", "branch_name")
     c = silver["customers"].select("customer_id", "first_name", "last_name", "branch_code")
+    # All customer_id joins first (one co-partitioned chain), the small
+    # branch lookup last: even unbroadcast it never splits that chain.
     joined = (
         c.join(acct, "customer_id", "left")
         .join(txn, "customer_id", "left")
-        .join(branch_names, "branch_code", "left")
         .join(credit, "customer_id", "left")
+        .join(branch_names, "branch_code", "left")
     )
     return joined.select(
         "customer_id",
