@@ -13,6 +13,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+# Fixed value: largest account table broadcast explicitly.  An (account_id,
+# customer_id) row is ~16 bytes in a broadcast hash relation, so 4 million
+# rows stay under ~64 MB.
+BROADCAST_ROWS = 4_000_000
+
+
+def fits_broadcast(rows: int | None, limit: int = BROADCAST_ROWS) -> bool:
+    """Checked size for an explicit broadcast: a known row count within ``limit``.
+
+    The count comes from table metadata (the store records rows per
+    committed version); an unknown size never broadcasts.
+    """
+    return rows is not None and rows <= limit
+
 
 def account_totals(accounts: DataFrame) -> DataFrame:
     """Per customer: number of accounts and summed balance."""
@@ -30,17 +44,34 @@ def transactions_per_account(transactions: DataFrame) -> DataFrame:
     )
 
 
-def transaction_totals(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
+def transaction_totals(transactions: DataFrame, accounts: DataFrame,
+                       small_accounts: bool = False) -> DataFrame:
     """Per customer: transactions of the customer's accounts (inner join).
 
-    Same result as joining every transaction to its account and grouping by
-    customer, but the fact table is first reduced to one row per account, so
-    the join shuffles per-account partials instead of raw transactions and a
-    hot account cannot overload one join task.  Duplicate account rows still
-    multiply the totals, exactly as the row-level join would.
+    Two plans with the same result:
+
+    * default (size unknown or large): transactions are first reduced to
+      one row per account (partial + final aggregate), so the join shuffles
+      per-account partials instead of raw rows and a hot account collapses
+      map-side; AQE may still broadcast the owner lookup once it has
+      measured it;
+    * ``small_accounts=True`` (the caller checked the account table's size,
+      see ``fits_broadcast``): every transaction meets a broadcast copy of
+      (account_id, customer_id) inside its scan task and is aggregated per
+      customer, so transactions are never shuffled.
+
+    Duplicate account rows multiply the totals in both, exactly as the
+    row-level join would.
     """
-    per_account = transactions_per_account(transactions)
     owners = accounts.select("account_id", "customer_id")
+    if small_accounts:
+        return (
+            transactions.select("account_id", "txn_id", "amount")
+            .join(F.broadcast(owners), "account_id")
+            .groupBy("customer_id")
+            .agg(F.count("txn_id").alias("total_txn"), F.sum("amount").alias("total_txn_amount"))
+        )
+    per_account = transactions_per_account(transactions)
     return (
         per_account.join(owners, "account_id")
         .groupBy("customer_id")

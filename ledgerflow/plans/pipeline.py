@@ -223,7 +223,8 @@ class Pipeline:
         checkpoint_dir(self.spark, shared=f"{self.store.root}/_checkpoints")
         kpis = self.control()["gold_layer_kpi"].orderBy("kpi_id").collect()
         counts, audit = {}, []
-        marts = gold.build_all(silver, [k.kpi_name for k in kpis if k.kpi_name in gold.MARTS])
+        marts = gold.build_all(silver, [k.kpi_name for k in kpis if k.kpi_name in gold.MARTS],
+                               account_rows=self.store.row_count("silver", "accounts"))
         for k in kpis:
             start = _now()
             try:

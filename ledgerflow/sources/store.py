@@ -181,6 +181,13 @@ class TableStore:
         df = self._append_frame(layer, table, commits)
         return df.where(F.col("run_id") == run_id).drop("batch_id")
 
+    def row_count(self, layer: str, table: str) -> int | None:
+        """Rows of the current snapshot, as recorded at its commit (no job)."""
+        snaps = [c for c in self._table_commits(layer, table) if c.kind == "snapshot"]
+        if not snaps or any(c.kind == "bucket" for c in self._table_commits(layer, table)):
+            return None
+        return max(snaps, key=lambda c: c.version).rows
+
     # ------------------------------------------------------- buckets
     def bucket_manifest(self, layer: str, table: str, before_run: int | None = None) -> dict[int, int]:
         """bucket -> version holding its current rows (empty buckets left out)."""

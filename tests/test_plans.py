@@ -54,3 +54,23 @@ def test_latest_plan_is_a_partial_aggregate(spark):
     t = testdata.credit_bureau_reports(spark, SF_SMALL)
     plan = _plan(latest_per_key(t, ["customer_id"], ["bureau_pull_date"]))
     assert "Window" not in plan and "partial_max_by" in plan
+
+
+def test_store_row_count_is_metadata(spark, scratch):
+    store = TableStore(spark, scratch)
+    acc = testdata.accounts(spark, SF_SMALL)
+    store.write_snapshot("silver", "accounts", acc, run_id=1)
+    assert store.row_count("silver", "accounts") == acc.count()
+    assert store.row_count("silver", "missing") is None
+
+
+def test_transaction_totals_plan_shapes(spark):
+    from ledgerflow.operators.aggregate import fits_broadcast, transaction_totals
+
+    t, a = testdata.transactions(spark, SF_SMALL), testdata.accounts(spark, SF_SMALL)
+    small = _plan(transaction_totals(t, a, small_accounts=True))
+    assert "BroadcastHashJoin" in small and "hashpartitioning(account_id" not in small
+    large = transaction_totals(t, a, small_accounts=False)._jdf.queryExecution().sparkPlan().toString()
+    # per-account partial aggregate sits below the first join
+    assert "partial_count(txn_id" in large
+    assert fits_broadcast(10) and not fits_broadcast(None) and not fits_broadcast(10**9)
