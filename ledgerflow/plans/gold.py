@@ -105,18 +105,22 @@ def branch_performance(
             F.sum("total_txn_amount").alias("txn_amount"),
         )
     )
-    return (
-        silver["branches"]
-        .select("branch_code", "branch_name")
-        .join(per_branch, "branch_code", "left")
-        .groupBy("branch_code", "branch_name")
-        .agg(
-            S.zero_if_null(F.max("n_customers")).alias("total_customers"),
-            S.zero_if_null(F.sum("n_accounts")).alias("total_accounts"),
-            S.zero_if_null(F.sum("deposits")).alias("total_deposits"),
-            S.zero_if_null(F.sum("n_txn")).alias("total_transactions"),
-            S.zero_if_null(F.sum("txn_amount")).alias("total_transaction_amount"),
-        )
+    # Duplicate branch rows: the row-level join would repeat a branch's
+    # customers once per duplicate, so sums scale by the number of copies of
+    # (code, name) while the distinct count does not.  The copies are counted
+    # on the small branch table, off the critical path of the fact stages.
+    branch_rows = silver["branches"].groupBy("branch_code", "branch_name").agg(
+        F.count(F.lit(1)).alias("copies")
+    )
+    times = lambda c: S.zero_if_null(F.col(c) * F.col("copies"))
+    return branch_rows.join(per_branch, "branch_code", "left").select(
+        "branch_code",
+        "branch_name",
+        S.zero_if_null("n_customers").alias("total_customers"),
+        times("n_accounts").alias("total_accounts"),
+        times("deposits").alias("total_deposits"),
+        times("n_txn").alias("total_transactions"),
+        times("txn_amount").alias("total_transaction_amount"),
     )
 
 
