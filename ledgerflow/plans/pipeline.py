@@ -64,11 +64,12 @@ class Pipeline:
     """
 
     def __init__(self, spark: SparkSession, store, extractors: dict[str, Extractor],
-                 run_ts: str | None = None):
+                 run_ts: str | None = None, gold_parallelism: int = 5):
         self.spark = spark
         self.store = store
         self.extractors = {k.lower(): v for k, v in extractors.items()}
         self.run_ts = run_ts
+        self.gold_parallelism = gold_parallelism
 
     # ------------------------------------------------------- control
     def seed(self) -> None:
@@ -222,22 +223,30 @@ class Pipeline:
         # (spark.checkpoint.dir; the store's folder only when that is unset).
         checkpoint_dir(self.spark, shared=f"{self.store.root}/_checkpoints")
         kpis = self.control()["gold_layer_kpi"].orderBy("kpi_id").collect()
-        counts, audit = {}, []
         marts = gold.build_all(silver, [k.kpi_name for k in kpis if k.kpi_name in gold.MARTS],
                                account_rows=self.store.row_count("silver", "accounts"))
-        for k in kpis:
+
+        def write(k):
             start = _now()
             try:
                 if k.kpi_name not in marts:
                     raise ValueError(f"no builder for mart {k.kpi_name!r}")
                 rows = self.store.write_snapshot("gold", k.kpi_name, marts[k.kpi_name], run_id)
-                counts[k.kpi_name] = rows
-                audit.append(registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
-                                                end=_now(), records=rows))
+                return k, rows, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
+                                                   end=_now(), records=rows)
             except Exception as e:  # one failing mart does not stop the others
-                counts[k.kpi_name] = None
-                audit.append(registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
-                                                end=_now(), status="FAILED", error=str(e)[:4000]))
+                return k, None, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
+                                                   end=_now(), status="FAILED", error=str(e)[:4000])
+
+        # The marts are independent once the shared totals are checkpointed:
+        # submit their jobs from parallel driver threads so the cluster runs
+        # them side by side instead of one after another.
+        from concurrent.futures import ThreadPoolExecutor
+
+        with ThreadPoolExecutor(max_workers=max(1, min(self.gold_parallelism, len(kpis)))) as pool:
+            results = list(pool.map(write, kpis))
+        counts = {k.kpi_name: rows for k, rows, _ in results}
+        audit = [row for _, _, row in results]
         if audit:
             self._audit_rows(audit)
         return counts

@@ -19,6 +19,7 @@ collected.
 from __future__ import annotations
 
 import datetime as dt
+import threading
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,9 @@ class TableStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._log_rows = None  # the collected commit log (tiny), refreshed after each commit
+        # Marts may be written from several driver threads at once; writers of
+        # different tables only share the log, so guard the cache and commits.
+        self._lock = threading.RLock()
 
     # ----------------------------------------------------------- paths
     def path(self, layer: str, table: str) -> str:
@@ -79,11 +83,12 @@ class TableStore:
             return self.spark.createDataFrame([], COMMITS)
 
     def _all_commits(self):
-        # One store serves one writer; the log is re-read after every commit
-        # this writer makes and whenever ``refresh()`` is called.
-        if self._log_rows is None:
-            self._log_rows = self.commits().collect()
-        return self._log_rows
+        # One store serves one writer process; the log is re-read after every
+        # commit it makes and whenever ``refresh()`` is called.
+        with self._lock:
+            if self._log_rows is None:
+                self._log_rows = self.commits().collect()
+            return self._log_rows
 
     def refresh(self) -> None:
         self._log_rows = None
@@ -102,8 +107,9 @@ class TableStore:
             for b in buckets
         ]
         # One file per commit, however many buckets it names: the commit is atomic.
-        self.spark.createDataFrame(out, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
-        self._log_rows = None
+        with self._lock:
+            self.spark.createDataFrame(out, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
+            self._log_rows = None
 
     def exists(self, layer: str, table: str) -> bool:
         return bool(self._table_commits(layer, table))
