@@ -174,3 +174,24 @@ def test_build_all_shares_totals_and_matches_marts(spark):
         a = sorted(map(tuple, for_comparison(all_marts[name]).collect()), key=repr)
         b = sorted(map(tuple, for_comparison(gold.MARTS[name](s)).collect()), key=repr)
         assert a == b, name
+
+
+def test_widget_merges_branches_sharing_a_name(spark):
+    s = silver(
+        spark,
+        customers=[cust(1, branch="BR1"), cust(2, branch="BR2"), cust(3, branch="BR2")],
+        branches=[branch("BR1", "Twin"), branch("BR2", "Twin"), branch("BR3", "Solo")],
+    )
+    m = {"branch_performance": gold.branch_performance(s)}
+    per_code = {r.branch_name: r.total_customers for r in reports.branch_customers(m).collect() if r.branch_name == "Solo"}
+    assert per_code == {"Solo": 0}
+    pie = {r.branch_name: r.total_customers for r in reports.widget_branch_customers(m).collect()}
+    assert pie == {"Twin": 3, "Solo": 0}
+
+
+def test_cli_lists_reports(capsys):
+    from ledgerflow.__main__ import main
+
+    assert main(["list"]) == 0
+    out = capsys.readouterr().out.split()
+    assert "report_top_customers" in out and "widget_month_amount" in out and len(out) == 23
