@@ -176,3 +176,52 @@ transaction_channel_summary AS (
 def with_tables(body: str, marts: bool = True) -> str:
     ctes = ENTITY_CTES + ("," + MART_CTES if marts else "")
     return f"WITH {ctes}\n{body}"
+
+
+# ---------------------------------------------------------------------------
+# Output normalisation on the DuckDB side, mirroring for_comparison():
+# DECIMAL -> DOUBLE, every integral type (INTEGER, HUGEINT, ...) -> BIGINT.
+# Types are found by planning each query against empty tables with the raw
+# schemas (no data is read), then the query is wrapped in an outer SELECT.
+RAW_SCHEMAS = {
+    "region": "r_regionkey INTEGER, r_name VARCHAR",
+    "nation": "n_nationkey INTEGER, n_name VARCHAR, n_regionkey INTEGER",
+    "customer": "c_custkey BIGINT, c_name VARCHAR, c_nationkey INTEGER, c_acctbal DOUBLE, c_mktsegment VARCHAR",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus VARCHAR, o_totalprice DOUBLE, "
+              "o_orderdate TIMESTAMP, o_orderpriority VARCHAR",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INTEGER, "
+                "l_quantity DOUBLE, l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, "
+                "l_returnflag VARCHAR, l_linestatus VARCHAR, l_shipdate TIMESTAMP",
+    "events": "event_id BIGINT, ts TIMESTAMP, user_id BIGINT, event_type VARCHAR, value DOUBLE, props VARCHAR",
+}
+_INTEGRAL = {"TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT", "UTINYINT", "USMALLINT", "UINTEGER",
+             "UBIGINT", "UHUGEINT"}
+_planner = None
+
+
+def _planning_connection():
+    global _planner
+    if _planner is None:
+        import duckdb
+
+        con = duckdb.connect()
+        for name, cols in RAW_SCHEMAS.items():
+            con.sql(f"CREATE TABLE {name} ({cols})")
+        _planner = con
+    return _planner
+
+
+def normalised(sql: str) -> str:
+    """``sql`` with its output columns cast like the Spark side's output."""
+    rel = _planning_connection().sql(sql)
+    cols = []
+    for name, dtype in zip(rel.columns, rel.types):
+        t = str(dtype).upper()
+        q = '"' + name.replace('"', '""') + '"'
+        if t.startswith("DECIMAL"):
+            cols.append(f"CAST({q} AS DOUBLE) AS {q}")
+        elif t in _INTEGRAL and t != "BIGINT":
+            cols.append(f"CAST({q} AS BIGINT) AS {q}")
+        else:
+            cols.append(q)
+    return f"SELECT {', '.join(cols)} FROM (\n{sql}\n) AS oracle_q"

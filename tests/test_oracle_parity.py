@@ -50,12 +50,19 @@ def test_entry_runs(spark):
     assert "customer_segment" in df.columns
 
 
+SPARK_TO_DUCK = {"bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
+ORACLE = E.oracle_sql()
+
+
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_oracle(spark, duck, key):
     sdf = E.queries()[key](spark, SF_SMALL)
     s_cols, s_rows = sdf.columns, [tuple(r) for r in sdf.collect()]
-    rel = duck.sql(E.oracle_sql()[key])
+    rel = duck.sql(ORACLE[key])
     d_cols, d_rows = rel.columns, rel.fetchall()
     assert sorted(s_cols) == sorted(d_cols)
+    s_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString()) for f in sdf.schema.fields}
+    assert s_types == dict(zip(d_cols, (str(t) for t in rel.types)))
     assert len(s_rows) == len(d_rows)
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
