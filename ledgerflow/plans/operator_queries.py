@@ -172,6 +172,32 @@ def merge_conflicts_q(s):
                            r.where(F.col("bureau_pull_date") > split), ["customer_id"])
 
 
+@register("merge_upsert_latest", _with(f"""
+    rtgt AS (SELECT * FROM credit_bureau_reports WHERE bureau_pull_date <= TIMESTAMP '{REPORTS_SPLIT}'),
+    rsrc AS (
+        SELECT customer_id, credit_score, risk_grade, external_active_loans, external_overdue_amount,
+               bureau_pull_date
+        FROM (SELECT *, ROW_NUMBER() OVER (
+                  PARTITION BY customer_id
+                  ORDER BY bureau_pull_date DESC NULLS LAST, credit_score DESC NULLS LAST,
+                           risk_grade DESC NULLS LAST, external_active_loans DESC NULLS LAST,
+                           external_overdue_amount DESC NULLS LAST) AS rn
+              FROM credit_bureau_reports WHERE bureau_pull_date > TIMESTAMP '{REPORTS_SPLIT}')
+        WHERE rn = 1)""", """
+    SELECT t.* FROM rtgt t WHERE NOT EXISTS (SELECT 1 FROM rsrc s WHERE s.customer_id = t.customer_id)
+    UNION ALL
+    SELECT s.* FROM rsrc s LEFT JOIN rtgt t ON s.customer_id = t.customer_id"""))
+def merge_upsert_latest(s):
+    """The credit feed's merge: latest source row per key, then MERGE."""
+    from ..operators.merge import latest_then_merge
+
+    r = s["credit_bureau_reports"]
+    split = _ts(REPORTS_SPLIT)
+    return latest_then_merge(r.where(F.col("bureau_pull_date") <= split),
+                             r.where(F.col("bureau_pull_date") > split),
+                             ["customer_id"], ["bureau_pull_date"], keep_from_target=())
+
+
 @register("add_column", _sql("SELECT *, CAST(NULL AS VARCHAR) AS risk_flag FROM accounts"))
 def add_column(s):
     return C.add_column(s["accounts"], "risk_flag", "string")
