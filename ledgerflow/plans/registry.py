@@ -44,7 +44,6 @@ SEED_PARAMETERS = [
     (2, "load_type", "MERGE"), (2, "primary_key", "account_id"), (2, "watermark_column", "updated_at"),
     (2, "cluster_by", "account_id:16"),
     (3, "load_type", "APPEND"), (3, "primary_key", "txn_id"), (3, "watermark_column", "txn_timestamp"),
-    (3, "cluster_by", "account_id:16"),
     (4, "load_type", "FULL"), (4, "primary_key", "branch_code"),
     (5, "load_type", "MERGE"), (5, "primary_key", "customer_id"), (5, "watermark_column", "bureau_pull_date"),
     (5, "merge_dedupe", "latest"),
