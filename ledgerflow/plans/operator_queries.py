@@ -260,12 +260,13 @@ SQL_COUNTS = " UNION ALL ".join(
 
 
 def _counts(s) -> DataFrame:
-    parts = [s[ent].agg(F.lit(tid).alias("table_id"), F.lit(ent).alias("table_name"),
-                        F.count(F.lit(1)).alias("number_of_records")) for tid, ent in ENTITY_IDS]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """Rows per entity: one aggregation over the union of the (column-less)
+    entity scans, grouped by table id."""
+    tagged = None
+    for tid, ent in ENTITY_IDS:
+        part = s[ent].select(F.lit(tid).alias("table_id"), F.lit(ent).alias("table_name"))
+        tagged = part if tagged is None else tagged.unionByName(part)
+    return tagged.groupBy("table_id", "table_name").agg(F.count(F.lit(1)).alias("number_of_records"))
 
 
 @register("load_row_counts", _sql(SQL_COUNTS))

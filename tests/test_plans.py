@@ -74,3 +74,20 @@ def test_transaction_totals_plan_shapes(spark):
     # per-account partial aggregate sits below the first join
     assert "partial_count(txn_id" in large
     assert fits_broadcast(10) and not fits_broadcast(None) and not fits_broadcast(10**9)
+
+
+def test_registered_queries_stay_jvm_side_without_cross_joins(spark):
+    import __spark_entry__ as E
+
+    banned = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "localCheckpoint")
+    for key, q in E.queries().items():
+        plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        hits = [b for b in banned if b in plan]
+        assert not hits, (key, hits)
+        lines = plan.splitlines()
+        for i, line in enumerate(lines):
+            if "BroadcastNestedLoopJoin" in line:
+                # Only Catalyst's existence check survives: a semi/anti join whose
+                # keys folded to constants, against a one-row (LocalLimit 1) side.
+                window = "\n".join(lines[i:i + 12])
+                assert ("LeftAnti" in line or "LeftSemi" in line) and "LocalLimit 1" in window, (key, line)
