@@ -4,7 +4,8 @@ Each gold mart, the keyed upsert at 1 % / 10 % / 100 % changed keys, an
 APPEND past the mark, the report queries and the monthly roll-up, over
 ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on ``local[$BENCH_CPUS]``.
 Every query runs fully (``noop`` sink: all rows computed, nothing collected);
-one warm-up, then the median of ``$BENCH_REPEAT`` (default 5) runs.  As a
+after a global warm-up of all marts, each query gets one more warm-up, then
+the median of ``$BENCH_REPEAT`` (default 5) runs.  As a
 same-engine baseline, the marts are also timed written the straightforward
 way (row-level joins, window top-1, cross joins) as Spark SQL over the same
 data (``reference_style_sql_sec``, not part of the headline sum).  Prints
