@@ -294,3 +294,18 @@ def test_clustered_append_accepts_reordered_and_added_columns(spark, scratch):
     store.append("silver", "t", later, run_id=2, cluster=(4, ["account_id"]))
     got = sorted((r.account_id, r.v, r.extra) for r in store.read("silver", "t").collect())
     assert got == [(1, "a", None), (2, "b", None), (3, "c", "x")]
+
+
+def test_jdbc_extractor_falls_back_for_text_keys(spark):
+    from ledgerflow.plans.registry import TableConfig
+    from ledgerflow.sources.jdbc import jdbc_extractor
+
+    url = "jdbc:derby:memory:ledgerflow_textkey;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    b = testdata.branches(spark, SF_SMALL).select("branch_code", "branch_name")
+    b.write.format("jdbc").option("url", url).option("dbtable", "branches").option(
+        "driver", props["driver"]).mode("overwrite").save()
+    cfg = TableConfig(4, "branches", "oracledb", ["BRANCH_CODE", "BRANCH_NAME"], "branches", None,
+                      "bronze", "silver", "FULL", "branch_code", None, None)
+    df = jdbc_extractor(spark, url, props, num_partitions=4)(cfg)
+    assert df.rdd.getNumPartitions() == 1 and df.count() == b.count()
