@@ -5,8 +5,14 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from ledgerflow.llm import common, simhash
+from ledgerflow.llm import common, decontaminate, mixing, quality_cnn, simhash, substrings
+
+
+def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier rejects go."""
+    return quality_cnn.keep_good(docs, common.table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -14,7 +20,29 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.near_dedup(docs, shingle_words=3, radius=2)
 
 
-STAGES = [("simhash_near_dedup", near_dedup)]
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated sentence spans are cut out; a document of which nothing is left goes."""
+    cut = substrings.dedup_spans(docs.withColumn("__whole", F.col("text")))
+    return cut.where(F.col("text").isNull() | (F.col("text") != "") | (F.col("__whole") == "")).drop("__whole")
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    return decontaminate.decontaminate(docs, common.table(spark, sf_dir, "benchmark"), remove="documents", n=10)
+
+
+def source_mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training mix: a row for each reading of a document, in the order of training."""
+    return mixing.training_mix(docs)
+
+
+STAGES = [
+    ("quality_classifier", quality_classifier),
+    ("simhash_near_dedup", near_dedup),
+    ("substring_dedup", substring_dedup),
+    ("decontamination", decontamination),
+    ("source_mixing", source_mixing),
+]
 
 #: a learned classifier decides the first stage, which SQL can't express
 ORACLE_SQL = None

@@ -6,6 +6,7 @@ import tempfile
 import uuid
 import zlib
 
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +51,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sent(spark: SparkSession, value) -> Broadcast:
+    """A broadcast of ``value`` that brings the code of its class along; tasks call ``pickle.loads`` on it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
 def words_of(text: Column) -> Column:
     """The words ``[^\x20\x09-\x0D]+`` of a text; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")
