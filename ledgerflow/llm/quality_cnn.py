@@ -29,10 +29,13 @@ EMBED, FILTERS = 8, 24
 LAGS = range(2, 22)
 #: bytes over which the equal ones are counted
 SPAN = 16
+#: a filter starts at each group of STRIDE bytes but the last and sees this and the next one
+GROUPS = CHUNK // STRIDE
+POSITIONS = GROUPS - WIDTH // STRIDE + 1
+PART = STRIDE * EMBED
 INPUTS = WIDTH * EMBED + len(LAGS)
-POSITIONS = (CHUNK - WIDTH) // STRIDE + 1
 #: chunks that go through the network at a time
-BLOCK = 256
+BLOCK = 64
 
 
 def chunked(raw: bytes) -> Iterator[np.ndarray]:
@@ -47,21 +50,29 @@ def chunked(raw: bytes) -> Iterator[np.ndarray]:
         yield view[starts[at : at + BLOCK]]
 
 
-def _inputs(chunks: np.ndarray, embedding: np.ndarray) -> np.ndarray:
-    """(n, POSITIONS, INPUTS): what the filters see."""
+def _inputs(chunks: np.ndarray, embedding: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The embedded bytes of each group, (n, GROUPS, PART); the bytes of each
+    group that equal earlier ones, by lag, (lags, n, GROUPS) as shares of SPAN."""
     n = len(chunks)
-    x = np.empty((n, POSITIONS, INPUTS), np.float32)
-    flat = embedding[chunks].reshape(n, CHUNK * EMBED)
-    x[:, :, : WIDTH * EMBED] = np.lib.stride_tricks.sliding_window_view(flat, WIDTH * EMBED, axis=1)[:, :: STRIDE * EMBED]
-    same, some = np.zeros((n, CHUNK + SPAN), np.uint8), chunks != 0
+    groups = embedding.take(chunks, axis=0).reshape(n, GROUPS, PART)
+    equal = np.empty((len(LAGS), n, GROUPS), np.float32)
+    same, some = np.zeros((n, CHUNK), np.uint8), (chunks != 0).view(np.uint8)
     for k, lag in enumerate(LAGS):
-        same[:, lag:CHUNK] = (chunks[:, lag:] == chunks[:, :-lag]) & some[:, lag:]
-        groups = same.reshape(n, -1, STRIDE).sum(axis=2, dtype=np.uint8)
-        total = sum(groups[:, i : i + POSITIONS] for i in range(SPAN // STRIDE))
-        x[:, :, WIDTH * EMBED + k] = total
-        same[:, lag : lag + 1] = 0
-    x[:, :, WIDTH * EMBED :] /= SPAN
-    return x
+        same[:, :lag] = 0
+        np.equal(chunks[:, lag:], chunks[:, :-lag], out=same[:, lag:].view(bool))
+        same &= some
+        equal[k] = np.bitwise_count(same.view(np.uint32))
+    equal *= 1 / SPAN
+    return groups, equal
+
+
+def _spanned(x: np.ndarray) -> np.ndarray:
+    """Along the last axis, the sum of an entry and the next ones up to SPAN bytes; for the filters' positions."""
+    out = x[..., :POSITIONS].copy()
+    for i in range(1, SPAN // STRIDE):
+        part = x[..., i : i + POSITIONS]
+        out[..., : part.shape[-1]] += part
+    return out
 
 
 @dataclass
@@ -85,12 +96,22 @@ class Network:
             0.0,
         )
 
+    def _responses(self, groups: np.ndarray, equal: np.ndarray) -> np.ndarray:
+        """(FILTERS, n, POSITIONS): each filter at each place."""
+        n = len(groups)
+        halves = np.concatenate([self.filters[:PART], self.filters[PART : 2 * PART]], axis=1)
+        seen = (halves.T @ groups.reshape(-1, PART).T).reshape(2 * FILTERS, n, GROUPS)
+        out = _spanned((self.filters[2 * PART :].T @ equal.reshape(len(LAGS), -1)).reshape(FILTERS, n, GROUPS))
+        out += seen[:FILTERS, :, :-1]
+        out += seen[FILTERS:, :, 1:]
+        return out
+
     def logits(self, chunks: np.ndarray) -> np.ndarray:
         """Of each chunk, in blocks of bounded memory."""
         out = np.empty(len(chunks), np.float32)
         for at in range(0, len(chunks), BLOCK):
-            x = _inputs(chunks[at : at + BLOCK], self.embedding)
-            pooled = np.maximum((x.reshape(-1, x.shape[2]) @ self.filters).reshape(len(x), POSITIONS, FILTERS).max(axis=1) + self.bias, 0)
+            block = chunks[at : at + BLOCK]
+            pooled = np.maximum(self._responses(*_inputs(block, self.embedding)).max(axis=2).T + self.bias, 0)
             out[at : at + BLOCK] = pooled @ self.dense + self.offset
         return np.clip(out, -12, 12)
 
@@ -101,20 +122,21 @@ class Network:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
     def gradients(self, chunks: np.ndarray, y: np.ndarray, weight: np.ndarray) -> list[np.ndarray]:
-        x = _inputs(chunks, self.embedding)
-        pre = (x.reshape(-1, x.shape[2]) @ self.filters).reshape(len(x), POSITIONS, FILTERS)
-        best = pre.argmax(axis=1)
-        top = np.take_along_axis(pre, best[:, None], axis=1)[:, 0] + self.bias
+        groups, equal = _inputs(chunks, self.embedding)
+        pre = self._responses(groups, equal)
+        best = pre.argmax(axis=2).T  # n, FILTERS
+        top = pre.max(axis=2).T + self.bias
         pooled = np.maximum(top, 0)
         p = 1 / (1 + np.exp(-(pooled @ self.dense + self.offset)))
         d = ((p - y) * weight / weight.sum()).astype(np.float32)
         d_top = d[:, None] * self.dense[None] * (top > 0)  # n, FILTERS
-        chosen = np.take_along_axis(x, best[:, :, None], axis=1)  # n, FILTERS, inputs
+        row = np.arange(len(chunks))[:, None]
+        chosen = np.concatenate([groups[row, best], groups[row, best + 1], _spanned(equal).transpose(1, 2, 0)[row, best]], axis=2)  # n, FILTERS, INPUTS
         d_filters = np.einsum("nfi,nf->if", chosen, d_top, optimize=True)
         d_input = self.filters[: WIDTH * EMBED].T[None] * d_top[:, :, None]
         places = best[:, :, None] * STRIDE + np.arange(WIDTH)  # n, FILTERS, WIDTH
-        d_embedding = np.zeros_like(self.embedding)
-        np.add.at(d_embedding, np.take_along_axis(chunks, places.reshape(len(x), -1), axis=1).ravel(), d_input.reshape(-1, EMBED))
+        seen = np.take_along_axis(chunks, places.reshape(len(chunks), -1), axis=1).ravel()
+        d_embedding = np.stack([np.bincount(seen, d, 256) for d in d_input.reshape(-1, EMBED).T], axis=1).astype(np.float32)
         return [d_embedding, d_filters, d_top.sum(axis=0), pooled.T @ d, np.float32(d.sum())]
 
 
@@ -131,7 +153,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, rounds: int = 50) -> np.ndarray:
     return w
 
 
-def train(texts: list[list[bytes]], labels: list[int], epochs: int = 12, batch: int = 64, rate: float = 4e-3, seed: int = 7) -> Network:
+def train(texts: list[list[bytes]], labels: list[int], epochs: int = 6, batch: int = 64, rate: float = 4e-3, seed: int = 7) -> Network:
     """Fits a network on documents given as lists of byte excerpts.
 
     Chunk weights make both labels, and all documents of a label, count alike;
