@@ -14,7 +14,7 @@ from ..functions import scalars as S
 from ..operators import conform as C
 from ..operators.aggregate import account_totals, latest_per_key, transaction_totals
 from ..operators.merge import merge_conflicts, merge_upsert
-from ..operators.watermark import watermark_filter, watermark_upsert
+from ..operators.watermark import watermark_filter, watermark_max, watermark_upsert
 from . import gold, registry
 from .catalog import register
 
@@ -82,7 +82,9 @@ TXN_COLUMNS = registry.SEED_TABLES[2][4]
 @register("extract_full", _sql(
     "SELECT branch_code, branch_name, city, state, region, created_at FROM branches"))
 def extract_full(s):
-    return C.project(s["branches"], C.parse_column_list(BRANCH_COLUMNS))
+    from ..sources.jdbc import extract_full as ext
+
+    return ext(s["branches"], C.parse_column_list(BRANCH_COLUMNS))
 
 
 @register("extract_incremental", _sql(
@@ -221,7 +223,7 @@ def watermark_filter_q(s):
 
 def _incremental_marks(s) -> DataFrame:
     parts = [
-        s[ent].agg(F.lit(tid).alias("table_id"), F.max(col).cast("string").alias("mark"))
+        watermark_max(s[ent], col).select(F.lit(tid).alias("table_id"), "mark")
         for tid, ent, col in INCREMENTAL
     ]
     out = parts[0]
@@ -332,9 +334,10 @@ def filter_equal(s):
 
 
 @register("customer_segment", _sql(
-    "SELECT c.customer_id, a.total_balance, CASE WHEN a.total_balance >= 500000 THEN 'HIGH_VALUE' "
-    "WHEN a.total_balance >= 100000 THEN 'MEDIUM_VALUE' ELSE 'LOW_VALUE' END AS customer_segment "
-    "FROM customers c LEFT JOIN g_account_agg a ON c.customer_id = a.customer_id"))
+    "SELECT customer_id, wealth.held AS total_balance, CASE WHEN wealth.held < 100000 OR wealth.held IS NULL "
+    "THEN 'LOW_VALUE' WHEN wealth.held < 500000 THEN 'MEDIUM_VALUE' ELSE 'HIGH_VALUE' END AS customer_segment "
+    "FROM customers LEFT JOIN (SELECT customer_id AS owner, SUM(balance) AS held FROM accounts GROUP BY owner) "
+    "AS wealth ON owner = customer_id"))
 def customer_segment(s):
     acct = account_totals(s["accounts"])
     return s["customers"].select("customer_id").join(acct, "customer_id", "left").select(
@@ -356,7 +359,7 @@ def distinct_rows(s):
 
 
 # ------------------------------------------------ windows / sorts / limits
-@register("latest_per_key", _sql("SELECT * FROM g_credit_latest"))
+@register("latest_per_key", _sql("SELECT * FROM newest_report"))
 def latest_per_key_q(s):
     return latest_per_key(s["credit_bureau_reports"], ["customer_id"], ["bureau_pull_date"])
 
@@ -380,10 +383,9 @@ def join_inner(s):
 
 
 @register("join_left_chain", _sql(
-    "SELECT c.customer_id, b.branch_name, a.total_accounts, cr.credit_score FROM customers c "
-    "LEFT JOIN g_account_agg a ON c.customer_id = a.customer_id "
-    "LEFT JOIN branches b ON c.branch_code = b.branch_code "
-    "LEFT JOIN g_credit_latest cr ON c.customer_id = cr.customer_id"))
+    "SELECT customer_id, branch_name, NULLIF((SELECT COUNT(account_id) FROM accounts "
+    "WHERE accounts.customer_id = customers.customer_id), 0) AS total_accounts, newest_report.credit_score "
+    "FROM customers LEFT JOIN branches USING (branch_code) LEFT JOIN newest_report USING (customer_id)"))
 def join_left_chain(s):
     acct = account_totals(s["accounts"]).select("customer_id", "total_accounts")
     latest = gold.credit_latest(s).select("customer_id", "credit_score")
@@ -395,29 +397,31 @@ def join_left_chain(s):
 
 
 @register("cross_join_scalar", _sql(
-    "SELECT d.txn_date, d.total_transactions, cm.total_customers FROM g_txn_daily d "
-    "CROSS JOIN (SELECT COUNT(DISTINCT customer_id) AS total_customers FROM customers) cm"))
+    "SELECT txn_date, total_transactions, "
+    "(SELECT COUNT(DISTINCT customer_id) FROM customers) AS total_customers FROM txn_days"))
 def cross_join_scalar(s):
     total = s["customers"].agg(F.count_distinct("customer_id")).scalar()
     return gold.daily_transactions(s).select("txn_date", "total_transactions", total.alias("total_customers"))
 
 
 @register("preaggregate_join", _sql(
-    "SELECT c.customer_id, a.total_accounts, a.total_balance, t.total_txn, t.total_txn_amount "
-    "FROM customers c LEFT JOIN g_account_agg a ON c.customer_id = a.customer_id "
-    "LEFT JOIN g_txn_agg t ON c.customer_id = t.customer_id"))
+    "SELECT customer_id, CASE WHEN owned > 0 THEN total_accounts END AS total_accounts, total_balance, "
+    "CASE WHEN moved > 0 THEN total_txn END AS total_txn, total_txn_amount "
+    "FROM customers LEFT JOIN per_customer USING (customer_id)"))
 def preaggregate_join(s):
     acct = account_totals(s["accounts"])
     txn = transaction_totals(s["transactions"], s["accounts"])
     return s["customers"].select("customer_id").join(acct, "customer_id", "left").join(txn, "customer_id", "left")
 
 
-@register("account_totals", _sql("SELECT * FROM g_account_agg"))
+@register("account_totals", _sql(
+    "SELECT customer_id, total_accounts, total_balance FROM per_customer WHERE owned > 0"))
 def account_totals_q(s):
     return account_totals(s["accounts"])
 
 
-@register("transaction_totals", _sql("SELECT * FROM g_txn_agg"))
+@register("transaction_totals", _sql(
+    "SELECT customer_id, total_txn, total_txn_amount FROM per_customer WHERE moved > 0"))
 def transaction_totals_q(s):
     return transaction_totals(s["transactions"], s["accounts"])
 
@@ -431,7 +435,7 @@ def group_sum_count(s):
         F.count(F.lit(1)).alias("n_rows"), F.count("txn_id").alias("n_txn"), F.sum("amount").alias("amount"))
 
 
-@register("daily_transactions", _sql("SELECT * FROM g_txn_daily"))
+@register("daily_transactions", _sql("SELECT * FROM txn_days"))
 def daily_transactions(s):
     return gold.daily_transactions(s)
 
@@ -463,9 +467,8 @@ def scalar_concat_null(s):
 
 
 @register("scalar_coalesce", _sql(
-    "SELECT c.customer_id, COALESCE(a.total_accounts, 0) AS total_accounts, "
-    "COALESCE(a.total_balance, 0) AS total_balance FROM customers c "
-    "LEFT JOIN g_account_agg a ON c.customer_id = a.customer_id"))
+    "SELECT customer_id, COALESCE(total_accounts, 0) AS total_accounts, COALESCE(total_balance, 0) AS total_balance "
+    "FROM customers LEFT JOIN per_customer USING (customer_id)"))
 def scalar_coalesce(s):
     acct = account_totals(s["accounts"])
     return s["customers"].select("customer_id").join(acct, "customer_id", "left").select(

@@ -14,6 +14,7 @@ from hypothesis import strategies as st
 
 from ledgerflow import schemas
 from ledgerflow.functions.scalars import for_comparison
+from ledgerflow.operators.aggregate import transaction_totals
 from ledgerflow.plans import gold
 from ledgerflow.plans.oracle import MART_CTES
 from test_oracle_parity import _rows
@@ -72,19 +73,14 @@ def test_marts_equal_row_level_sql(spark, seed):
                           for i, f in enumerate(sch.fields)})
         con.register(name, arrow)
     silver["payment_gateway_logs"] = spark.createDataFrame([], schemas.PAYMENT_GATEWAY_LOGS)
-    from ledgerflow.operators.aggregate import transaction_totals
-
-    for small in (True, False):  # both plans: broadcast lookup and per-account pre-aggregation
-        txn = transaction_totals(silver["transactions"], silver["accounts"], small_accounts=small)
-        built = {
-            "customer_360": gold.customer_360(silver, txn=txn),
-            "branch_performance": gold.branch_performance(silver, txn=txn),
-            "transaction_channel_summary": gold.transaction_channel_summary(silver, small_accounts=small),
-        }
-        for mart in MARTS:
-            sdf = for_comparison(built.get(mart) if mart in built else getattr(gold, mart)(silver))
-            rel = con.sql(f"WITH {MART_CTES} SELECT * FROM {mart}")
-            d_rows = [tuple(float(v) if isinstance(v, Decimal) else v for v in row) for row in rel.fetchall()]
-            assert sorted(sdf.columns) == sorted(rel.columns), mart
-            assert _rows(sdf.columns, [tuple(x) for x in sdf.collect()]) == _rows(rel.columns, d_rows), \
-                (mart, seed, small)
+    txn = transaction_totals(silver["transactions"], silver["accounts"])
+    built = {
+        "customer_360": gold.customer_360(silver, txn=txn),
+        "branch_performance": gold.branch_performance(silver, txn=txn),
+    }
+    for mart in MARTS:
+        sdf = for_comparison(built.get(mart) if mart in built else getattr(gold, mart)(silver))
+        rel = con.sql(f"WITH {MART_CTES} SELECT * FROM {mart}")
+        d_rows = [tuple(float(v) if isinstance(v, Decimal) else v for v in row) for row in rel.fetchall()]
+        assert sorted(sdf.columns) == sorted(rel.columns), mart
+        assert _rows(sdf.columns, [tuple(x) for x in sdf.collect()]) == _rows(rel.columns, d_rows), (mart, seed)

@@ -10,8 +10,9 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF_SMALL
+from ledgerflow.plans import catalog
 
-KEYS = sorted(E.queries())
+KEYS = sorted(catalog.QUERIES)
 
 
 def _norm(v):
@@ -41,7 +42,7 @@ def duck():
 
 
 def test_every_key_has_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(KEYS) <= set(E.queries()) and set(KEYS) <= set(E.oracle_sql())
 
 
 def test_entry_runs(spark):
@@ -66,3 +67,22 @@ def test_matches_oracle(spark, duck, key):
     assert s_types == dict(zip(d_cols, (str(t) for t in rel.types)))
     assert len(s_rows) == len(d_rows)
     assert _rows(s_cols, s_rows) == _rows(d_cols, d_rows)
+
+
+EXACT = {"customer_360": ["total_balance", "total_transaction_amount", "external_overdue_amount"],
+         "branch_performance": ["total_deposits", "total_transaction_amount"],
+         "daily_bank_kpi": ["total_balance", "total_transaction_amount"],
+         "risk_customer_summary": ["external_overdue_amount", "total_balance"],
+         "transaction_channel_summary": ["total_transaction_amount"]}
+
+
+@pytest.mark.parametrize("mart", sorted(EXACT))
+def test_mart_decimals_are_exact(spark, duck, mart):
+    """Money before any cast to double: decimals of scale 2, equal to the last digit."""
+    from ledgerflow.plans import gold, oracle
+    from ledgerflow.sources import testdata
+
+    got = gold.MARTS[mart](testdata.silver_tables(spark, SF_SMALL)).select(*EXACT[mart])
+    assert all(f.dataType.simpleString().endswith(",2)") for f in got.schema.fields), got.schema
+    want = duck.sql(oracle.with_tables(f"SELECT {', '.join(EXACT[mart])} FROM {mart}")).fetchall()
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want))
