@@ -1,9 +1,8 @@
 """Aggregation building blocks shared by the marts.
 
-Every operator here is a hash aggregation with partial (map-side)
-aggregation, so a hot key (one account or customer holding a third of all
-rows) is reduced inside each map task before the shuffle; no group is ever
-sorted or collected in one task.
+Every operator here aggregates partially in the map tasks, so a hot key (one
+account or customer holding a third of all rows) is reduced before the
+shuffle; no group is ever collected in one task.
 """
 
 from __future__ import annotations
@@ -13,21 +12,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Fixed value: largest account table broadcast explicitly.  An (account_id,
-# customer_id) row is ~16 bytes in a broadcast hash relation, so 4 million
-# rows stay under ~64 MB.
-BROADCAST_ROWS = 4_000_000
-
-
-def fits_broadcast(rows: int | None, limit: int = BROADCAST_ROWS) -> bool:
-    """Checked size for an explicit broadcast: a known row count within ``limit``.
-
-    The count comes from table metadata (the store records rows per
-    committed version); an unknown size never broadcasts.
-    """
-    return rows is not None and rows <= limit
-
-
 def account_totals(accounts: DataFrame) -> DataFrame:
     """Per customer: number of accounts and summed balance."""
     return accounts.groupBy("customer_id").agg(
@@ -44,60 +28,37 @@ def transactions_per_account(transactions: DataFrame) -> DataFrame:
     )
 
 
-def transaction_totals(transactions: DataFrame, accounts: DataFrame,
-                       small_accounts: bool = False) -> DataFrame:
+def transaction_totals(transactions: DataFrame, accounts: DataFrame) -> DataFrame:
     """Per customer: transactions of the customer's accounts (inner join).
 
-    Two plans with the same result:
-
-    * default (size unknown or large): transactions are first reduced to
-      one row per account (partial + final aggregate), so the join shuffles
-      per-account partials instead of raw rows and a hot account collapses
-      map-side; AQE may still broadcast the owner lookup once it has
-      measured it;
-    * ``small_accounts=True`` (the caller checked the account table's size,
-      see ``fits_broadcast``): every transaction meets a broadcast copy of
-      (account_id, customer_id) inside its scan task and is aggregated per
-      customer, so transactions are never shuffled.
-
-    Duplicate account rows multiply the totals in both, exactly as the
-    row-level join would.
+    Transactions are first reduced to one row per account (partial and final
+    aggregate), so the join shuffles per-account partials instead of raw rows
+    and a hot account collapses map-side; adaptive execution broadcasts the
+    owner lookup where it has measured it to be small.  Duplicate account rows
+    multiply the totals exactly as the row-level join would.
     """
     owners = accounts.select("account_id", "customer_id")
-    if small_accounts:
-        return (
-            transactions.select("account_id", "txn_id", "amount")
-            .join(F.broadcast(owners), "account_id")
-            .groupBy("customer_id")
-            .agg(F.count("txn_id").alias("total_txn"), F.sum("amount").alias("total_txn_amount"))
-        )
-    per_account = transactions_per_account(transactions)
     return (
-        per_account.join(owners, "account_id")
+        transactions_per_account(transactions)
+        .join(owners, "account_id")
         .groupBy("customer_id")
-        .agg(
-            F.sum("n_txn").alias("total_txn"),
-            F.sum("txn_amount").alias("total_txn_amount"),
-        )
+        .agg(F.sum("n_txn").alias("total_txn"), F.sum("txn_amount").alias("total_txn_amount"))
     )
 
 
-def latest_per_key(
-    df: DataFrame,
-    keys: Sequence[str],
-    order_by: Sequence[str],
-) -> DataFrame:
+def latest_per_key(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
     """Latest row per key: ``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY
     order_by DESC) = 1``.
 
-    Expressed as ``max_by(row, ordering)``: a hash aggregate with partial
-    aggregation (no sort, no per-key row buffer).  The ordering continues
-    with every remaining column in schema order, so ties on ``order_by``
-    resolve deterministically (descending, NULLs last); rows equal on all
-    columns are interchangeable.
+    The maximum of a struct that holds every column once, ``order_by`` first
+    and the rest in schema order, so ties resolve the same way each time
+    (descending, NULLs last); rows equal on all columns are interchangeable.
+    Spark aggregates structs by sorting, so each task sorts its rows, but one
+    row per key and task is all that is shuffled: no window, and a hot key is
+    reduced before the shuffle.
     """
     keys = list(keys)
     values = [c for c in df.columns if c not in keys]
     ordering = list(order_by) + [c for c in values if c not in order_by]
-    picked = F.max_by(F.struct(*values), F.struct(*ordering)).alias("_latest")
-    return df.groupBy(*keys).agg(picked).select(*keys, "_latest.*")
+    picked = F.max(F.struct(*ordering)).alias("_latest")
+    return df.groupBy(*keys).agg(picked).select(*keys, *[F.col("_latest")[c].alias(c) for c in values])

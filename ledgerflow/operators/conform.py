@@ -21,11 +21,6 @@ def parse_column_list(text: str) -> list[str]:
     return [c.strip() for c in text.split(",") if c.strip()]
 
 
-def column_list(text: Column) -> Column:
-    """Column form of ``parse_column_list``: split on commas, trim each name."""
-    return F.filter(F.transform(F.split(text, ","), lambda c: F.trim(c)), lambda c: c != "")
-
-
 def resolve(df: DataFrame, names: Iterable[str]) -> list[str]:
     """Map requested names to the frame's own names, case-insensitively."""
     by_lower = {c.lower(): c for c in df.columns}
@@ -83,26 +78,6 @@ def reject_reason(df: DataFrame, schema: T.StructType) -> Column:
     return F.when(reasons == "", None).otherwise(reasons)
 
 
-def conform_with_rejects(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Lenient cast plus a ``_reject`` column naming the columns that failed.
-
-    Callers split on ``_reject IS NULL`` (good rows) and the rest
-    (quarantine), in one pass over the input.
-    """
-    present = {c.lower(): c for c in df.columns}
-    return df.select(*_typed_columns(schema, present), reject_reason(df, schema).alias("_reject"))
-
-
-def _typed_columns(schema: T.StructType, present: dict[str, str]) -> list[Column]:
-    out = []
-    for f in schema.fields:
-        if f.name.lower() in present:
-            out.append(F.col(present[f.name.lower()]).try_cast(f.dataType).alias(f.name))
-        else:
-            out.append(F.lit(None).cast(f.dataType).alias(f.name))
-    return out
-
-
 def add_audit_columns(df: DataFrame, run_ts: str | Column) -> DataFrame:
     """insert/update timestamps from one run timestamp (reruns repeat it)."""
     ts = run_ts if isinstance(run_ts, Column) else F.lit(run_ts).cast("timestamp")

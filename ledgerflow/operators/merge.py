@@ -12,14 +12,18 @@ MATCHED THEN INSERT *`` gives, per row:
 * a source row that matches no target row is inserted, duplicates and NULL
   keys included (NULL never equals anything).
 
-Plan: the source and the target are each reduced to one row per key
-(``groupBy`` with partial aggregation, so a hot key costs one row per map
-task), the per-key statistics are joined (unique keys on both sides), and
-then
+Plan: the source is reduced to one row per key (``groupBy`` with partial
+aggregation, so a hot key costs one row per map task), the target likewise but
+only where a source key matches (semi join below the aggregate), and then
 
     result = target LEFT ANTI JOIN source-keys
              UNION ALL
              source LEFT JOIN key-statistics  (filter / replicate / check)
+             UNION ALL
+             source rows with a NULL key  (they meet no join)
+
+The source is used several times: give it as a written table (the pipeline
+stages each batch), not as a query against a moving source.
 
 No row-level full outer join, no per-key row buffering, and the cardinality
 check is an expression inside the same plan: it fails the write job before
@@ -97,8 +101,14 @@ def merge_upsert(
     rk = _renamed_keys(keys)
     tcols = target.columns
 
+    null_key = F.lit(False)
+    if not null_safe:
+        for k in keys:
+            null_key = null_key | F.col(k).isNull()
+    keyless, source = source.where(null_key), source.where(~null_key)
     src_stats = _key_stats(source, keys, N_SRC, null_safe=null_safe)
-    tgt_stats = _key_stats(target, keys, N_TGT, keep, null_safe=null_safe)
+    met = target.select(*dict.fromkeys([*keys, *keep])).join(src_stats, _on(target, keys, src_stats, rk, null_safe), "left_semi")
+    tgt_stats = _key_stats(met, keys, N_TGT, keep, null_safe=null_safe)
 
     # Target rows that survive: not matched by any source row (or all of
     # them, for insert-only).
@@ -144,13 +154,13 @@ def merge_upsert(
         for c in keep:
             s = s.withColumn(c, F.when(matched, F.col(KEEP + c)).otherwise(F.col(c)))
 
-    emitted = s.select(
-        *[
-            (F.col(c) if c in s.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c)
-            for c in tcols
-        ]
-    )
-    return kept.select(*tcols).unionByName(emitted)
+    def emitted(rows: DataFrame) -> DataFrame:
+        return rows.select(
+            *[(F.col(c) if c in rows.columns else F.lit(None)).cast(target.schema[c].dataType).alias(c) for c in tcols]
+        )
+
+    out = kept.select(*tcols).unionByName(emitted(s))
+    return out if null_safe or not insert else out.unionByName(emitted(keyless))
 
 
 def merge_conflicts(target: DataFrame, source: DataFrame, keys: Sequence[str] | str) -> DataFrame:

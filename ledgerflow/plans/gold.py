@@ -18,11 +18,13 @@ Plan shape, per mart:
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
-from ..operators.aggregate import account_totals, fits_broadcast, latest_per_key, transaction_totals
+from ..operators.aggregate import account_totals, latest_per_key, transaction_totals
 
 Silver = dict[str, DataFrame]
 
@@ -234,27 +236,17 @@ def risk_customer_summary_dedup(silver: Silver) -> DataFrame:
     )
 
 
-def transaction_channel_summary(silver: Silver, small_accounts: bool = False) -> DataFrame:
+def transaction_channel_summary(silver: Silver) -> DataFrame:
     """SUCCESS transactions of known accounts, per channel (NULL channel kept).
 
-    Default: transactions are reduced per (account, channel) first and the
-    partials are multiplied by the number of rows each account id has, which
-    equals the row-level join.  With a checked small account table
-    (``small_accounts``) each transaction meets a broadcast copy of the
-    account ids in its scan task instead, then a per-channel aggregate.
+    Transactions are reduced per (account, channel) first and the partials are
+    multiplied by the number of rows each account id has, which equals the
+    row-level join.  With a few transactions an account this saves little, but
+    it bounds what a hot account moves; where adaptive execution finds the
+    account side small it joins without shuffling the partials again.
     """
     success = silver["transactions"].where(F.col("status") == S.TXN_SUCCESS)
     account_ids = silver["accounts"].select("account_id")
-    if small_accounts:
-        return (
-            success.select("account_id", "channel", "amount")
-            .join(F.broadcast(account_ids), "account_id")
-            .groupBy("channel")
-            .agg(
-                F.count(F.lit(1)).alias("total_transaction"),
-                S.round_half_up(F.sum("amount"), 2).alias("total_transaction_amount"),
-            )
-        )
     per_account = success.groupBy("account_id", "channel").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
     )
@@ -279,33 +271,9 @@ MARTS = {
 }
 
 
-def build(name: str, silver: Silver) -> DataFrame:
+def build(name: str, silver: Silver, totals: Callable[[], tuple[DataFrame, DataFrame]] | None = None) -> DataFrame:
+    """One mart.  totals: gives the per-customer account and transaction
+    totals that customer_360 and branch_performance share."""
+    if totals is not None and name in ("customer_360", "branch_performance"):
+        return MARTS[name](silver, *totals())
     return MARTS[name](silver)
-
-
-def build_all(silver: Silver, names=None, account_rows: int | None = None) -> dict[str, DataFrame]:
-    """Every mart, with the per-customer account and transaction totals
-    computed once and shared by customer_360 and branch_performance.
-
-    ``account_rows`` (from table metadata, when known) is the size check
-    for broadcasting the account table; unknown sizes take the
-    pre-aggregation plans.  The shared totals are cut with a reliable
-    ``checkpoint()`` (the session must name a checkpoint folder), so a lost
-    executor later recomputes nothing upstream of them.
-    """
-    names = list(MARTS) if names is None else list(names)
-    out: dict[str, DataFrame] = {}
-    small = fits_broadcast(account_rows)
-    if {"customer_360", "branch_performance"} & set(names):
-        acct = account_totals(silver["accounts"]).checkpoint()
-        txn = transaction_totals(silver["transactions"], silver["accounts"], small).checkpoint()
-    for name in names:
-        if name == "customer_360":
-            out[name] = customer_360(silver, acct, txn)
-        elif name == "branch_performance":
-            out[name] = branch_performance(silver, acct, txn)
-        elif name == "transaction_channel_summary":
-            out[name] = transaction_channel_summary(silver, small)
-        else:
-            out[name] = MARTS[name](silver)
-    return out

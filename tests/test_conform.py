@@ -4,8 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from ledgerflow.operators.conform import (
-    add_audit_columns, add_column, conform, conform_with_rejects, empty_like, land_as_string, project,
-    update_where,
+    add_audit_columns, add_column, conform, empty_like, land_as_string, project, reject_reason, update_where,
 )
 from ledgerflow.schemas import TRANSACTIONS
 
@@ -27,8 +26,9 @@ def test_conform_is_strict_and_rejects_are_named(spark):
     bad = _landed(spark, amount="12,50")
     with pytest.raises(Exception):
         conform(bad, TRANSACTIONS).collect()
-    out = conform_with_rejects(bad.unionByName(_landed(spark)), TRANSACTIONS).collect()
-    assert sorted((r._reject or "") for r in out) == ["", "amount"]
+    both = bad.unionByName(_landed(spark))
+    out = both.select(reject_reason(both, TRANSACTIONS).alias("why")).collect()
+    assert sorted((r.why or "") for r in out) == ["", "amount"]
 
 
 def test_missing_contract_columns_become_typed_nulls(spark):

@@ -92,3 +92,19 @@ def test_merge_evolves_schema_for_added_column(spark):
     assert out.columns == ["k", "v", "insert_timestamp", "extra"]
     assert rows(out) == [(1, "A", "t0", "x"), (2, "b", "t1", "y")]
     assert merge_upsert(t, s, ["k"]).columns == ["k", "v", "insert_timestamp"]
+
+
+def test_target_statistics_only_for_source_keys_and_nulls_meet_no_join(spark, scratch):
+    t = spark.range(1000).selectExpr("id as k", "'a' as v", "'t0' as insert_timestamp")
+    s = spark.createDataFrame([(3, "B", "t1"), (None, "m", "t1")], "k long, v string, insert_timestamp string")
+    t.write.parquet(f"{scratch}/t")
+    s.write.parquet(f"{scratch}/s")
+    merged = merge_upsert(spark.read.parquet(f"{scratch}/t"), spark.read.parquet(f"{scratch}/s"), ["k"])
+    plan = merged._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = {i: len(line) - len(line.lstrip(" :+-")) for i, line in enumerate(plan)}
+    semi = [i for i, line in enumerate(plan) if "Join LeftSemi" in line]
+    target = [i for i, line in enumerate(plan) if "Aggregate" in line and "_merge_n_target" in line]
+    assert semi and target and any(t < i and depth[t] < depth[i] for t in target for i in semi)
+    # every join of source rows is below a filter that leaves NULL keys out
+    assert sum("isnull(k" in line for line in plan) == 1
+    assert merged.count() == 1001 and merged.where("k is null").count() == 1

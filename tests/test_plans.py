@@ -50,37 +50,28 @@ def test_latest_per_key_matches_model(spark, rows):
     assert got == sorted(v for _, v in best.values())
 
 
-def test_latest_plan_is_a_partial_aggregate(spark):
+def test_latest_plan_aggregates_before_the_shuffle(spark):
     t = testdata.credit_bureau_reports(spark, SF_SMALL)
-    plan = _plan(latest_per_key(t, ["customer_id"], ["bureau_pull_date"]))
-    assert "Window" not in plan and "partial_max_by" in plan
+    plan = latest_per_key(t, ["customer_id"], ["bureau_pull_date"])._jdf.queryExecution().sparkPlan().toString()
+    nodes = [line.strip(" +-:*()0123456789") for line in plan.splitlines() if "Aggregate" in line]
+    # Spark aggregates structs by sorting; the partial one stands below the exchange, and no window above
+    assert len(nodes) == 2 and all(n.startswith("SortAggregate") for n in nodes) and "partial_max" in nodes[1]
+    assert "Window" not in plan and "max_by" not in plan
 
 
-def test_store_row_count_is_metadata(spark, scratch):
-    store = TableStore(spark, scratch)
-    acc = testdata.accounts(spark, SF_SMALL)
-    store.write_snapshot("silver", "accounts", acc, run_id=1)
-    assert store.row_count("silver", "accounts") == acc.count()
-    assert store.row_count("silver", "missing") is None
-
-
-def test_transaction_totals_plan_shapes(spark):
-    from ledgerflow.operators.aggregate import fits_broadcast, transaction_totals
+def test_transactions_are_reduced_before_the_join(spark):
+    from ledgerflow.operators.aggregate import transaction_totals
 
     t, a = testdata.transactions(spark, SF_SMALL), testdata.accounts(spark, SF_SMALL)
-    small = _plan(transaction_totals(t, a, small_accounts=True))
-    assert "BroadcastHashJoin" in small and "hashpartitioning(account_id" not in small
-    large = transaction_totals(t, a, small_accounts=False)._jdf.queryExecution().sparkPlan().toString()
-    # per-account partial aggregate sits below the first join
-    assert "partial_count(txn_id" in large
-    assert fits_broadcast(10) and not fits_broadcast(None) and not fits_broadcast(10**9)
+    plan = transaction_totals(t, a)._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_count(txn_id" in plan.split("Join")[1]
 
 
 def test_registered_queries_stay_jvm_side_without_cross_joins(spark):
-    import __spark_entry__ as E
+    from ledgerflow.plans import catalog
 
     banned = ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "CartesianProduct", "localCheckpoint")
-    for key, q in E.queries().items():
+    for key, q in catalog.QUERIES.items():
         plan = q(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
         hits = [b for b in banned if b in plan]
         assert not hits, (key, hits)
