@@ -1,35 +1,37 @@
 """The medallion jobs: source -> bronze -> silver -> gold, driven by the registry.
 
 * bronze: extract (partitioned JDBC with pushed-down projection and mark
-  predicate, a CSV feed, or any DataFrame source), land as strings, load
-  by type (FULL snapshot, MERGE upsert on the key, APPEND partition).
-* silver: read one fixed bronze state, keep rows past the stored mark, cast
-  to the contract, add audit timestamps, load by type, then move the mark
-  to the maximum loaded and record the run, all from one pass over the
-  loaded rows (an ``Observation`` during the write).
-* gold: build every registered mart from silver, write it, record its count.
-
-One mark serves both hops and moves only after silver commits; APPEND
-silver reads only the bronze partition of its own run, so a bronze batch
-re-extracted after a failed silver step is not loaded twice.
+  predicate, a CSV feed, or any DataFrame source) past the mark that bronze
+  itself has reached, land as strings, load by type (FULL snapshot, MERGE
+  upsert on the key, APPEND load).
+* silver: take the bronze loads it hasn't taken yet (or the bronze snapshot
+  past its own mark), cast to the contract, add audit timestamps, load by type.
+* gold: build every registered mart from silver, each on its own, write it,
+  record its count.
+
+The mark reached and the bronze loads taken are committed in one record with
+the rows (``TableStore``), so a failure anywhere neither loses nor repeats
+rows: the next run goes on from the committed state.  The control table of
+marks is a copy for people to read, and the starting point of a new table.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import threading
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.conform import add_audit_columns, conform, land_as_string, reject_reason
-from ..operators.aggregate import latest_per_key
-from ..operators.bucketed import merge_bucketed
+from ..operators.aggregate import account_totals, latest_per_key, transaction_totals
+from ..operators.conform import add_audit_columns, conform, empty_like, land_as_string, reject_reason
 from ..operators.merge import merge_upsert
 from ..operators.watermark import watermark_filter, watermark_upsert
 from ..session import checkpoint_dir
-from ..sources.jdbc import extract_incremental
+from ..sources.jdbc import extract_full, extract_incremental
 from ..streaming.csv_feed import land_stream
 from . import gold, registry
 from .registry import TableConfig
@@ -42,17 +44,11 @@ def _now() -> dt.datetime:
     return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
 
 
-def _metrics(obs: Observation, df: DataFrame, aggs) -> dict:
-    """Observed metrics, or the same aggregates computed directly.
+class _Silver(dict):
+    """Silver tables by name; a missing one fails only what asks for it."""
 
-    When a batch is empty, AQE can replace the final stage by an empty
-    relation and the observation is never reported; the fallback then runs
-    the (cheap) aggregate over the empty batch.
-    """
-    try:
-        return obs.get
-    except Exception:  # noqa: BLE001
-        return df.agg(*aggs).collect()[0].asDict()
+    def __missing__(self, name):
+        raise ValueError(f"silver table {name} does not exist")
 
 
 class Pipeline:
@@ -76,7 +72,7 @@ class Pipeline:
         """Create the control tables with their seed rows if absent."""
         for name, df in registry.seed_control_tables(self.spark).items():
             if not self.store.exists(META, name):
-                self.store.write_snapshot(META, name, df, observe_rows=False)
+                self.store.write_snapshot(META, name, df)
 
     def control(self) -> dict[str, DataFrame]:
         return {n: self.store.read(META, n) for n in schemas.CONTROL_TABLES}
@@ -87,7 +83,7 @@ class Pipeline:
         start = _now()
         row = self.spark.createDataFrame([(str(run_id), start, None, None)], schemas.RUN_EXECUTION_DETAILS)
         self.store.write_snapshot(META, "run_execution_details",
-                                  ctl["run_execution_details"].unionByName(row), observe_rows=False)
+                                  ctl["run_execution_details"].unionByName(row))
         return int(run_id)
 
     def _audit(self, run_id: int, layer: str, **kw) -> None:
@@ -99,63 +95,61 @@ class Pipeline:
         for r in rows[1:]:
             new = new.unionByName(r)
         runs = self.store.read(META, "pipeline_runs")
-        self.store.write_snapshot(META, "pipeline_runs", registry.run_audit_upsert(runs, new),
-                                  observe_rows=False)
-
-    def _run_ts(self):
-        return F.lit(self.run_ts).cast("timestamp") if self.run_ts else F.current_timestamp()
+        self.store.write_snapshot(META, "pipeline_runs", registry.run_audit_upsert(runs, new))
 
     # -------------------------------------------------------- bronze
     def bronze(self, table_id: int, run_id: int) -> int:
         cfg = registry.load_config(self.control(), table_id)
         start = _now()
         try:
-            extract = self.extractors.get(cfg.source_system)
-            if extract is None:
-                raise ValueError(f"no extractor for source system {cfg.source_system!r}")
-            src = extract(cfg)
-            if src.isStreaming:
-                # File feed: the stream's checkpoint decides which files are new.
-                landed = land_as_string(src, cfg.columns)
-                ckpt = f"{self.store.root}/_streams/{cfg.bronze_schema}/{cfg.table_name}"
-                rows = land_stream(self.store, cfg.bronze_schema, cfg.table_name, landed, run_id, ckpt)
-            else:
-                if cfg.load_type in ("MERGE", "APPEND"):
-                    # Same mark as silver; the predicate reaches the source scan.
-                    src = extract_incremental(src, cfg.columns, cfg.watermark_column,
-                                              cfg.last_watermark_value)
-                landed = land_as_string(src, cfg.columns)
-                rows = self._load(cfg.bronze_schema, cfg, landed, run_id)
+            rows = self._bronze(cfg, run_id)
         except Exception as e:
-            self._audit(run_id, "BRONZE", table_id=table_id, start=start, end=_now(),
-                        status="FAILED", error=str(e)[:4000])
+            self._audit(run_id, "BRONZE", table_id=table_id, start=start, end=_now(), status="FAILED", error=str(e))
             raise
         self._audit(run_id, "BRONZE", table_id=table_id, start=start, end=_now(), records=rows)
         return rows
 
-    def _load(self, layer: str, cfg: TableConfig, df: DataFrame, run_id: int) -> int:
-        # Typed (silver) tables may be stored bucketed on their join key, so
-        # joins between co-bucketed tables and merges need no shuffle of them.
-        cluster = cfg.cluster_by if layer == cfg.silver_schema else None
+    def _bronze(self, cfg: TableConfig, run_id: int) -> int:
+        layer, table = cfg.bronze_schema, cfg.table_name
+        extract = self.extractors.get(cfg.source_system)
+        if extract is None:
+            raise ValueError(f"no extractor for source system {cfg.source_system!r}")
+        state = self.store.state(layer, table)
+        if state is not None and state.mark is not None:
+            cfg.last_watermark_value = state.mark  # what has landed isn't extracted again
+        src = extract(cfg)
+        if src.isStreaming:
+            # File feed: the stream's checkpoint decides which files are new.
+            return land_stream(self.store, layer, table, src, cfg.columns, run_id, f"{self.store.root}/_streams/{layer}/{table}")
+        if state is not None and state.run_id == run_id and cfg.load_type != "FULL":
+            return state.rows  # landed by an earlier try of this run
+        mark = None
+        if cfg.load_type != "FULL" and cfg.watermark_column:
+            src = extract_incremental(src, cfg.columns, cfg.watermark_column, cfg.last_watermark_value)
+            name = cfg.watermark_column.lower()
+            mark = F.max(F.col(name).try_cast(src.schema[name].dataType))
+        else:
+            src = extract_full(src, cfg.columns)
+        return self._load(layer, cfg, land_as_string(src), run_id, mark)
+
+    def _load(self, layer: str, cfg: TableConfig, df: DataFrame, run_id: int, mark: Column | None, taken: int | None = None) -> int:
+        table = cfg.table_name
         if cfg.load_type == "FULL":
-            return self.store.write_snapshot(layer, cfg.table_name, df, run_id, cluster=cluster)
+            return self.store.write_snapshot(layer, table, df, run_id, mark=mark, taken=taken)
         if cfg.load_type == "APPEND":
-            return self.store.append(layer, cfg.table_name, df, run_id, cluster=cluster)
-        # MERGE on the primary key; the state before this run is the base, so
-        # a retried run recomputes the same version.
+            return self.store.append(layer, table, df, run_id, mark=mark, taken=taken)
+        # MERGE on the primary key.  The batch is written once and merged from
+        # there, so the source is read once; the same batch merged again
+        # changes nothing.
         key = cfg.primary_key.strip().lower()
+        batch = self.store.stage(layer, table, df)
+        base = self.store.read(layer, table)
+        source = batch
         if cfg.merge_dedupe == "latest" and cfg.watermark_column:
             # Opt-in: several source rows per key -> keep the latest one.
-            df = latest_per_key(df, [key], [cfg.watermark_column.lower()]).select(*df.columns)
-        if cfg.buckets:
-            # Large target: only the buckets this batch touches are read and rewritten.
-            _, rows = merge_bucketed(self.store, layer, cfg.table_name, df, [key], cfg.buckets, run_id)
-            return rows
-        base = self.store.read(layer, cfg.table_name, before_run=run_id)
-        if base is None:
-            base = df.where(F.lit(False))
-        merged = merge_upsert(base, df, [key], evolve=True)  # a column added to the list flows in
-        return self.store.write_snapshot(layer, cfg.table_name, merged, run_id, cluster=cluster)
+            source = latest_per_key(batch, [key], [cfg.watermark_column.lower()]).select(*batch.columns)
+        merged = merge_upsert(empty_like(batch) if base is None else base, source, [key], evolve=True)
+        return self.store.write_snapshot(layer, table, merged, run_id, mark=mark, taken=taken, batch=batch)
 
     # -------------------------------------------------------- silver
     def silver(self, table_id: int, run_id: int) -> int:
@@ -163,53 +157,57 @@ class Pipeline:
         cfg = registry.load_config(ctl, table_id)
         start = _now()
         try:
-            if cfg.load_type == "APPEND":
-                bronze = self.store.read_run(cfg.bronze_schema, cfg.table_name, run_id)
-                if bronze is None:
-                    # Nothing landed in this run (e.g. no new files): load nothing.
-                    earlier = self.store.read(cfg.bronze_schema, cfg.table_name)
-                    bronze = None if earlier is None else earlier.where(F.lit(False))
-                if bronze is not None:
-                    bronze = bronze.drop("run_id")
-            else:
-                bronze = self.store.read(cfg.bronze_schema, cfg.table_name)
-            if bronze is None:
-                raise ValueError(f"bronze table {cfg.bronze_schema}.{cfg.table_name} does not exist")
-            contract = schemas.ENTITIES[cfg.table_name]
-            if cfg.bad_rows == "quarantine":
-                # Rows that do not fit the contract go, as landed text and with
-                # the failing column names, to <table>_rejects; the rest load.
-                # Default: fail fast (ANSI cast).
-                flagged = bronze.withColumn("_reject", reject_reason(bronze, contract))
-                self.store.append(cfg.silver_schema, f"{cfg.table_name}_rejects",
-                                  flagged.where(F.col("_reject").isNotNull()), run_id)
-                bronze = flagged.where(F.col("_reject").isNull()).drop("_reject")
-            typed = conform(bronze, contract)
-            wm = cfg.watermark_column.lower() if cfg.watermark_column else None
-            if cfg.load_type in ("MERGE", "APPEND") and wm:
-                typed = watermark_filter(typed, wm, cfg.last_watermark_value)
-            staged = add_audit_columns(typed, self._run_ts())
-            obs = Observation(f"silver_{cfg.table_name}_{run_id}")
-            aggs = [F.count(F.lit(1)).alias("rows")]
-            if wm:
-                aggs.append(F.max(wm).cast("string").alias("mark"))
-            self._load(cfg.silver_schema, cfg, staged.observe(obs, *aggs), run_id)
-            stats = _metrics(obs, staged, aggs)
-            rows = stats.get("rows")
+            rows = self._silver(cfg, run_id)
         except Exception as e:
-            self._audit(run_id, "SILVER", table_id=table_id, start=start, end=_now(),
-                        status="FAILED", error=str(e)[:4000])
+            self._audit(run_id, "SILVER", table_id=table_id, start=start, end=_now(), status="FAILED", error=str(e))
             raise
         self._audit(run_id, "SILVER", table_id=table_id, start=start, end=_now(), records=rows)
-        if wm and stats.get("mark") is not None:
-            new = self.spark.createDataFrame([(table_id, stats["mark"])], "table_id int, mark string")
+        mark = self.store.state(cfg.silver_schema, cfg.table_name).mark
+        if mark is not None and mark != cfg.last_watermark_value:
+            new = self.spark.createDataFrame([(table_id, mark)], "table_id int, mark string")
             marks = watermark_upsert(ctl["table_watermarks"], new, run_id=run_id, updated_at=F.current_timestamp())
-            self.store.write_snapshot(META, "table_watermarks", marks, observe_rows=False)
+            self.store.write_snapshot(META, "table_watermarks", marks)
         return rows
 
+    def _silver(self, cfg: TableConfig, run_id: int) -> int:
+        landed, here = self.store.state(cfg.bronze_schema, cfg.table_name), self.store.state(cfg.silver_schema, cfg.table_name)
+        if landed is None and cfg.source_system == "blob":
+            return self._load(cfg.silver_schema, cfg, self._typed(cfg, None), run_id, None, 0)  # no file has come yet
+        if landed is None:
+            raise ValueError(f"bronze table {cfg.bronze_schema}.{cfg.table_name} does not exist")
+        loads = landed.kind == "append"
+        taken = landed.number if loads else None
+        bronze = self.store.read(cfg.bronze_schema, cfg.table_name, after_load=here.taken if here and loads else 0)
+        contract = schemas.ENTITIES[cfg.table_name]
+        if cfg.bad_rows == "quarantine":
+            # Rows that do not fit the contract go, as landed text and with
+            # the failing column names, to <table>_rejects; the rest load.
+            # Default: fail fast (ANSI cast).
+            flagged = bronze.withColumn("_reject", reject_reason(bronze, contract))
+            rejects, name = flagged.where(F.col("_reject").isNotNull()), f"{cfg.table_name}_rejects"
+            if loads:
+                self.store.append(cfg.silver_schema, name, rejects, run_id, taken=taken)
+            else:
+                self.store.write_snapshot(cfg.silver_schema, name, rejects, run_id)
+            bronze = flagged.where(F.col("_reject").isNull()).drop("_reject")
+        typed, mark = self._typed(cfg, bronze), None
+        wm = cfg.watermark_column.lower() if cfg.watermark_column else None
+        if cfg.load_type != "FULL" and wm:
+            typed = watermark_filter(typed, wm, here.mark if here and here.mark is not None else cfg.last_watermark_value)
+        if wm:
+            mark = F.max(wm)
+        return self._load(cfg.silver_schema, cfg, typed, run_id, mark, taken)
+
+    def _typed(self, cfg: TableConfig, bronze: DataFrame | None) -> DataFrame:
+        contract = schemas.ENTITIES[cfg.table_name]
+        if bronze is None:
+            bronze = self.spark.createDataFrame([], schemas.bronze_schema(cfg.table_name))
+        ts = F.lit(self.run_ts).cast("timestamp") if self.run_ts else F.current_timestamp()
+        return add_audit_columns(conform(bronze, contract), ts)
+
     # ---------------------------------------------------------- gold
     def silver_tables(self) -> dict[str, DataFrame]:
-        out = {}
+        out = _Silver()
         for name in schemas.ENTITIES:
             df = self.store.read("silver", name)
             if df is not None:
@@ -217,32 +215,33 @@ class Pipeline:
         return out
 
     def gold(self, run_id: int) -> dict[str, int]:
+        """Builds and writes every registered mart; one that fails is audited
+        as FAILED and doesn't stop the others."""
         silver = self.silver_tables()
-        # The per-customer totals feed two marts: build_all computes them once
-        # and checkpoints them into the shared folder the session names
-        # (spark.checkpoint.dir; the store's folder only when that is unset).
         checkpoint_dir(self.spark, shared=f"{self.store.root}/_checkpoints")
         kpis = self.control()["gold_layer_kpi"].orderBy("kpi_id").collect()
-        marts = gold.build_all(silver, [k.kpi_name for k in kpis if k.kpi_name in gold.MARTS],
-                               account_rows=self.store.row_count("silver", "accounts"))
+        lock, shared = threading.Lock(), {}
+
+        def totals() -> tuple[DataFrame, DataFrame]:
+            # per-customer totals feed two marts: computed once, by the first that asks
+            with lock:
+                if not shared:
+                    acct = account_totals(silver["accounts"]).checkpoint()
+                    shared["both"] = acct, transaction_totals(silver["transactions"], silver["accounts"]).checkpoint()
+            return shared["both"]
 
         def write(k):
             start = _now()
             try:
-                if k.kpi_name not in marts:
+                if k.kpi_name not in gold.MARTS:
                     raise ValueError(f"no builder for mart {k.kpi_name!r}")
-                rows = self.store.write_snapshot("gold", k.kpi_name, marts[k.kpi_name], run_id)
-                return k, rows, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
-                                                   end=_now(), records=rows)
-            except Exception as e:  # one failing mart does not stop the others
-                return k, None, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start,
-                                                   end=_now(), status="FAILED", error=str(e)[:4000])
-
-        # The marts are independent once the shared totals are checkpointed:
-        # submit their jobs from parallel driver threads so the cluster runs
-        # them side by side instead of one after another.
-        from concurrent.futures import ThreadPoolExecutor
+                rows = self.store.write_snapshot("gold", k.kpi_name, gold.build(k.kpi_name, silver, totals), run_id)
+                return k, rows, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start, end=_now(), records=rows)
+            except Exception as e:
+                return k, None, registry.audit_row(self.spark, run_id, "GOLD", kpi_id=k.kpi_id, start=start, end=_now(), status="FAILED", error=str(e))
 
+        # The marts are independent: their jobs are submitted from parallel
+        # driver threads, so that the cluster runs them side by side.
         with ThreadPoolExecutor(max_workers=max(1, min(self.gold_parallelism, len(kpis)))) as pool:
             results = list(pool.map(write, kpis))
         counts = {k.kpi_name: rows for k, rows, _ in results}
@@ -263,8 +262,7 @@ class Pipeline:
         duration = int((end - start).total_seconds()) if start else None
         row = self.spark.createDataFrame([(str(run_id), start, end, duration)], schemas.RUN_EXECUTION_DETAILS)
         self.store.write_snapshot(META, "run_execution_details",
-                                  merge_upsert(details, row, ["run_id"], keep_from_target=()),
-                                  observe_rows=False)
+                                  merge_upsert(details, row, ["run_id"], keep_from_target=()))
 
     def run(self) -> int:
         self.seed()

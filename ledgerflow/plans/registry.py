@@ -40,9 +40,7 @@ SEED_TABLES = [
 ]
 SEED_PARAMETERS = [
     (1, "load_type", "MERGE"), (1, "primary_key", "customer_id"), (1, "watermark_column", "updated_at"),
-    (1, "buckets", "16"),
     (2, "load_type", "MERGE"), (2, "primary_key", "account_id"), (2, "watermark_column", "updated_at"),
-    (2, "cluster_by", "account_id:16"),
     (3, "load_type", "APPEND"), (3, "primary_key", "txn_id"), (3, "watermark_column", "txn_timestamp"),
     (4, "load_type", "FULL"), (4, "primary_key", "branch_code"),
     (5, "load_type", "MERGE"), (5, "primary_key", "customer_id"), (5, "watermark_column", "bureau_pull_date"),
@@ -65,7 +63,7 @@ SEED_GOLD_KPI = [
 ]
 SEED_FIRST_RUN_ID = "101"
 PARAMETER_NAMES = [
-    "load_type", "primary_key", "watermark_column", "merge_dedupe", "buckets", "bad_rows", "cluster_by",
+    "load_type", "primary_key", "watermark_column", "merge_dedupe", "bad_rows",
 ]
 LOAD_TYPES = ("FULL", "MERGE", "APPEND")
 # ---------------------------------------------------------------------------
@@ -161,9 +159,7 @@ class TableConfig:
     watermark_column: str | None
     last_watermark_value: str | None
     merge_dedupe: str | None = None
-    buckets: int | None = None
     bad_rows: str = "fail"  # fail | quarantine
-    cluster_by: tuple[int, list[str]] | None = None  # silver stored bucketBy(n, keys)
     extra: dict = field(default_factory=dict)
 
 
@@ -177,8 +173,8 @@ def load_config(control: dict[str, DataFrame], table_id: int) -> TableConfig:
     load_type = (r["load_type"] or "").upper()
     if load_type not in LOAD_TYPES:
         raise ValueError(f"table {r['table_name']}: unknown load_type {r['load_type']!r}")
-    if load_type in ("MERGE", "APPEND") and not r["watermark_column"]:
-        raise ValueError(f"table {r['table_name']}: {load_type} needs a watermark_column")
+    if load_type == "MERGE" and not r["primary_key"]:
+        raise ValueError(f"table {r['table_name']}: MERGE needs a primary_key")
     return TableConfig(
         table_id=r["table_id"],
         table_name=r["table_name"],
@@ -190,23 +186,13 @@ def load_config(control: dict[str, DataFrame], table_id: int) -> TableConfig:
         silver_schema=r["silver_schema"] or "silver",
         load_type=load_type,
         primary_key=r["primary_key"],
-        watermark_column=r["watermark_column"],
+        watermark_column=r["watermark_column"] or None,  # without one, every run extracts in full
         last_watermark_value=r["last_watermark_value"],
         merge_dedupe=(r["merge_dedupe"] or None),
-        buckets=int(r["buckets"]) if r["buckets"] else None,
         bad_rows=(r["bad_rows"] or "fail").lower(),
-        cluster_by=_cluster(r["cluster_by"]),
     )
 
 
-def _cluster(spec: str | None):
-    """``"account_id:16"`` -> (16, ["account_id"]); keys may be comma-separated."""
-    if not spec:
-        return None
-    keys, n = spec.rsplit(":", 1)
-    return int(n), [k.strip().lower() for k in keys.split(",") if k.strip()]
-
-
 def audit_row(spark: SparkSession, run_id: int, layer: str, *, table_id=None, kpi_id=None,
               start=None, end=None, status="COMPLETED", records=None, error=None) -> DataFrame:
     duration = int((end - start).total_seconds()) if (start and end) else None

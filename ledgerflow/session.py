@@ -24,7 +24,8 @@ PLAN_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # checkpoints that no frame uses any more are deleted
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,7 +34,6 @@ def build_session(
     app: str = "ledgerflow",
     shuffle_partitions: int = 8,
     extra: dict[str, str] | None = None,
-    scratch: str | None = None,
 ) -> SparkSession:
     builder = (
         SparkSession.builder.master(master)
@@ -46,7 +46,6 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark, scratch)
     return spark
 
 

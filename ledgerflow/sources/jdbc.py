@@ -2,9 +2,10 @@
 
 One reader for every relational source system.  The column list and the
 mark predicate are DataFrame operations, which Spark pushes into the SQL it
-sends (``PushedFilters`` / pruned ``ReadSchema`` in the plan); the scan is
-split into ``num_partitions`` range queries on a numeric column so no
-single task (and never the driver) fetches the whole table.
+sends (``PushedFilters`` / pruned ``ReadSchema`` in the plan).  The scan is
+split into range queries on the key over the rows past the mark: by its
+bounds if it is a number, else by quantiles that the database gives in its own
+order, so no single task (and never the driver) fetches the whole table.
 """
 
 from __future__ import annotations
@@ -13,10 +14,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators.conform import project
 from ..operators.watermark import watermark_filter
 
+NUMBERS = (T.IntegerType, T.LongType, T.ShortType, T.DecimalType)
+
 
 def jdbc_table(
     spark: SparkSession,
@@ -29,14 +33,13 @@ def jdbc_table(
     fetch_size: int = 10000,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
+    """A table, in ranges of a numeric column (its bounds are asked for where they aren't given)."""
     reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    reader = reader.option("fetchsize", str(fetch_size))
+    reader = reader.option("fetchsize", str(fetch_size)).option("pushDownAggregate", "true")
     for k, v in (properties or {}).items():
         reader = reader.option(k, v)
     if partition_column:
-        if bounds is None:
-            bounds = key_bounds(spark, url, table, partition_column, properties)
-        lo, hi = bounds
+        lo, hi = bounds or key_bounds(reader.load(), partition_column)
         if lo is not None and hi is not None:
             reader = (
                 reader.option("partitionColumn", partition_column)
@@ -47,19 +50,33 @@ def jdbc_table(
     return reader.load()
 
 
-def key_bounds(spark: SparkSession, url: str, table: str, column: str,
-               properties: dict[str, str] | None = None) -> tuple[int | None, int | None]:
-    """MIN/MAX of the split column, aggregated by the database (one row back).
+def key_bounds(rows: DataFrame, column: str) -> tuple[int | None, int | None]:
+    """MIN/MAX of the split column, aggregated by the database (one row back)."""
+    low, high = rows.agg(F.min(column), F.max(column)).first()
+    return (None if low is None else int(low), None if high is None else int(high))
+
+
+def key_ranges(spark: SparkSession, url: str, table: str, column: str, rows: int, parts: int,
+               properties: dict[str, str] | None = None) -> list[str]:
+    """Predicates that split a table by quantiles of a text key, in the database's order.
 
-    Written as a Spark aggregate over the JDBC relation with aggregate
-    push-down, so the dialect quotes the column and the database computes it.
+    One ordered ``OFFSET .. FETCH`` query a quantile; equal quantiles give one
+    range.  NULL keys are in the first range.
     """
-    reader = spark.read.format("jdbc").option("url", url).option("dbtable", table)
-    reader = reader.option("pushDownAggregate", "true")
-    for k, v in (properties or {}).items():
-        reader = reader.option(k, v)
-    row = reader.load().agg(F.min(column), F.max(column)).collect()[0]
-    return (None if row[0] is None else int(row[0]), None if row[1] is None else int(row[1]))
+    cuts = []
+    for i in range(1, parts):
+        query = f"SELECT {column} AS cut FROM {table} WHERE {column} IS NOT NULL ORDER BY {column} OFFSET {rows * i // parts} ROWS FETCH NEXT 1 ROWS ONLY"
+        reader = spark.read.format("jdbc").option("url", url).option("dbtable", f"({query}) quantile")
+        for k, v in (properties or {}).items():
+            reader = reader.option(k, v)
+        found = reader.load().first()
+        if found is not None and (not cuts or found[0] != cuts[-1]):
+            cuts.append(found[0])
+    quoted = ["'" + str(c).replace("'", "''") + "'" for c in cuts]
+    if not quoted:
+        return ["1 = 1"]
+    inner = [f"{column} >= {a} AND {column} < {b}" for a, b in zip(quoted, quoted[1:])]
+    return [f"{column} < {quoted[0]} OR {column} IS NULL", *inner, f"{column} >= {quoted[-1]}"]
 
 
 def extract_full(source: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -84,23 +101,30 @@ def jdbc_extractor(spark: SparkSession, url: str, properties: dict[str, str] | N
                    num_partitions: int = 8, fetch_size: int = 10000):
     """Pipeline extractor for any relational source system.
 
-    The registry's ``source_table`` (or the table name) is read over JDBC;
-    when the primary key is integral the read is range-partitioned on it.
-    The pipeline adds the column list and the mark predicate, which Spark
-    pushes into the generated SQL.
+    The registry's ``source_table`` (or the table name) is read over JDBC in
+    ranges of the primary key.  A numeric key is split between its bounds
+    among the rows past the mark, so an incremental load of new, high keys is
+    spread over all tasks; a text key by quantiles.  The pipeline adds the
+    column list and the mark predicate, which Spark pushes into the SQL.
     """
-    from pyspark.sql import types as T
 
     def extract(cfg) -> DataFrame:
         table = cfg.source_table or cfg.table_name
         plain = jdbc_table(spark, url, table, fetch_size=fetch_size, properties=properties)
-        key = (cfg.primary_key or "").strip().lower()
         by_lower = {f.name.lower(): f for f in plain.schema.fields}
-        field = by_lower.get(key)
-        if field is not None and isinstance(field.dataType, (T.IntegerType, T.LongType, T.ShortType,
-                                                             T.DecimalType)):
+        field = by_lower.get((cfg.primary_key or "").strip().lower())
+        if field is None:
+            return plain
+        past = plain
+        if cfg.load_type != "FULL" and cfg.watermark_column:
+            past = watermark_filter(plain, _resolve(plain, cfg.watermark_column), cfg.last_watermark_value)
+        if isinstance(field.dataType, NUMBERS):
+            bounds = key_bounds(past, field.name)
+            if None in bounds:
+                return plain
             return jdbc_table(spark, url, table, partition_column=field.name, num_partitions=num_partitions,
-                              fetch_size=fetch_size, properties=properties)
-        return plain
+                              bounds=bounds, fetch_size=fetch_size, properties=properties)
+        ranges = key_ranges(spark, url, table, field.name, plain.count(), num_partitions, properties)
+        return spark.read.jdbc(url, table, predicates=ranges, properties={"fetchsize": str(fetch_size), **(properties or {})})
 
     return extract

@@ -1,317 +1,227 @@
-"""Versioned Parquet tables in a shared folder.
-
-Without a transactional table format, a table is a set of immutable
-version directories plus a commit log:
-
-    <root>/<layer>/<table>/v=<n>/...        snapshot tables (FULL, MERGE, gold, control)
-    <root>/<layer>/<table>/run_id=<r>/...   append tables, one partition per run
-    <root>/_commits/                         append-only log, one small file per commit
-
-A write goes to a directory nobody reads yet; only the commit (a Spark
-append to the log, atomic per job) makes it visible.  Readers resolve the
-current version once and read that directory, so a job sees one consistent
-state even while the next version is being written, a crash before the
-commit leaves the old state readable, and a retry simply rewrites the
-uncommitted directory.  Only the commit log (a few rows per table) is ever
-collected.
+"""Parquet tables in a shared folder, each with one small state record.
+
+    <root>/<layer>/<table>/v=<n>/       the n-th state of a snapshot table (FULL, MERGE, gold, control)
+    <root>/<layer>/<table>/load=<n>/    the n-th load of an append table
+    <root>/<layer>/<table>/batch/       the batch being merged, written once and read from there
+    <root>/_state/<layer>/<table>/<k>   state records; the highest number holds
+
+A write goes to a folder that nobody reads yet; only the new state record (a
+small file, renamed into place) makes it visible, together with everything
+that must move with it: the mark reached, the loads taken from the table
+before, the stream batches taken.  A crash before it leaves the old state; the
+next try writes the same folder again.  Folders and records that neither the
+present nor the last state uses are removed.  A table has one writer at a time.
 """
 
 from __future__ import annotations
 
-import datetime as dt
-import threading
+import json
+from dataclasses import asdict, dataclass, field, replace
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-COMMITS = T.StructType(
-    [
-        T.StructField("layer", T.StringType()),
-        T.StructField("table_name", T.StringType()),
-        T.StructField("kind", T.StringType()),  # snapshot | append
-        T.StructField("version", T.LongType()),  # snapshot version or appended run_id
-        T.StructField("run_id", T.LongType()),
-        T.StructField("rows", T.LongType()),
-        T.StructField("committed_at", T.TimestampType()),
-        T.StructField("batch_id", T.LongType()),  # stream micro-batch, if any
-        T.StructField("bucket", T.IntegerType()),  # bucket written, for bucketed tables
-        T.StructField("cluster", T.StringType()),  # "<n>:<col>[,<col>]" for bucketBy layouts
-    ]
-)
-
-
-def _catalog_name(root: str, layer: str, table: str, version: int | None = None) -> str:
-    """Session-catalog name for a bucketed table; unique per store root."""
-    import hashlib
+LOAD = "load"
 
-    tag = hashlib.sha1(root.encode()).hexdigest()[:10]
-    base = f"lf_{tag}_{layer}_{table}".lower()
-    return base if version is None else f"{base}_v{version}"
 
+@dataclass(frozen=True)
+class State:
+    kind: str  # snapshot | append
+    number: int  # the snapshot's number, or the last load's
+    schema: dict  # Spark's JSON form: an empty table has a schema too
+    rows: int  # of the snapshot's last batch, or of the last load
+    run_id: int | None = None  # of the last load that wasn't a stream's
+    mark: str | None = None  # the highest value of the mark column loaded
+    taken: int = 0  # loads of the table before (an append table) that are in here
+    streams: dict[str, int] = field(default_factory=dict)  # stream id -> last micro-batch taken
 
-def _parse_cluster(spec: str | None):
-    if not spec:
-        return None
-    n, cols = spec.split(":", 1)
-    return int(n), [c for c in cols.split(",") if c]
+    def struct(self) -> T.StructType:
+        return T.StructType.fromJson(self.schema)
 
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
-        self._log_rows = None  # the collected commit log (tiny), refreshed after each commit
-        # Marts may be written from several driver threads at once; writers of
-        # different tables only share the log, so guard the cache and commits.
-        self._lock = threading.RLock()
 
-    # ----------------------------------------------------------- paths
     def path(self, layer: str, table: str) -> str:
         return f"{self.root}/{layer}/{table}"
 
-    @property
-    def _log(self) -> str:
-        return f"{self.root}/_commits"
+    # ------------------------------------------------------ state records
+    def _hadoop(self, path: str):
+        p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+        return p, p.getFileSystem(self.spark._jsc.hadoopConfiguration())
 
-    # ------------------------------------------------------------ log
-    def commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(COMMITS).parquet(self._log)
-        except AnalysisException:
-            return self.spark.createDataFrame([], COMMITS)
-
-    def _all_commits(self):
-        # One store serves one writer process; the log is re-read after every
-        # commit it makes and whenever ``refresh()`` is called.
-        with self._lock:
-            if self._log_rows is None:
-                self._log_rows = self.commits().collect()
-            return self._log_rows
-
-    def refresh(self) -> None:
-        self._log_rows = None
+    def _numbers(self, path: str, prefix: str = "") -> list[int]:
+        """The numbers in the names ``<prefix><n>`` in a folder; none if there is no folder."""
+        folder, fs = self._hadoop(path)
+        if not fs.exists(folder):
+            return []
+        names = [s.getPath().getName() for s in fs.listStatus(folder)]
+        return sorted(int(n.removeprefix(prefix)) for n in names if n.startswith(prefix) and n.removeprefix(prefix).isdigit())
 
-    def _table_commits(self, layer: str, table: str):
-        return [c for c in self._all_commits() if c.layer == layer and c.table_name == table]
+    def _records(self, layer: str, table: str) -> str:
+        return f"{self.root}/_state/{layer}/{table}"
 
-    def _commit(self, layer, table, kind, version, run_id, rows, batch_id=None, buckets=(None,),
-                cluster=None):
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        spec = None if cluster is None else f"{cluster[0]}:{','.join(cluster[1])}"
-        out = [
-            (layer, table, kind, int(version), None if run_id is None else int(run_id),
-             None if rows is None else int(rows), now, None if batch_id is None else int(batch_id),
-             None if b is None else int(b), spec)
-            for b in buckets
-        ]
-        # One file per commit, however many buckets it names: the commit is atomic.
-        with self._lock:
-            self.spark.createDataFrame(out, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
-            self._log_rows = None
-
-    def exists(self, layer: str, table: str) -> bool:
-        return bool(self._table_commits(layer, table))
+    def state(self, layer: str, table: str) -> State | None:
+        """The committed state; None for a table that was never written.
 
-    def has_batch(self, layer: str, table: str, batch_id: int) -> bool:
-        """True when a stream micro-batch was already committed (replay guard)."""
-        return any(c.batch_id == batch_id for c in self._table_commits(layer, table))
-
-    # ----------------------------------------------------------- read
-    def read(self, layer: str, table: str, before_run: int | None = None) -> DataFrame | None:
-        """Current committed state, or the state before run ``before_run``.
-
-        Returns None when the table has no commit (yet).
+        Only a folder that isn't there means "never written": any other
+        failure to read is raised.
         """
-        commits = self._table_commits(layer, table)
-        if not commits:
-            return None
-        kinds = {c.kind for c in commits}
-        if "bucket" in kinds:
-            return self.read_buckets(layer, table, before_run=before_run)
-        if kinds == {"append"}:
-            runs = sorted({c.version for c in commits if before_run is None or c.version < before_run})
-            if not runs:
-                return None
-            return self._append_frame(layer, table, commits).where(F.col("run_id").isin(runs)).drop("batch_id")
-        snaps = [c for c in commits if c.kind == "snapshot" and (before_run is None or (c.run_id or 0) < before_run)]
-        if not snaps:
+        folder = self._records(layer, table)
+        numbers = self._numbers(folder)
+        if not numbers:
             return None
-        last = max(snaps, key=lambda c: c.version)
-        path = f"{self.path(layer, table)}/v={last.version}"
-        cluster = _parse_cluster(last.cluster)
-        if cluster is None:
-            return self.spark.read.parquet(path)
-        name = _catalog_name(self.root, layer, table, last.version)
-        self._register(name, path, cluster)
-        return self.spark.table(name)
-
-    def _append_frame(self, layer: str, table: str, commits) -> DataFrame:
-        cluster = _parse_cluster(next((c.cluster for c in commits if c.cluster), None))
-        if cluster is None:
-            return self.spark.read.parquet(self.path(layer, table))
-        name = _catalog_name(self.root, layer, table)
-        self._register(name, self.path(layer, table), cluster, partitions=("run_id", "batch_id"))
-        return self.spark.table(name)
-
-    # ------------------------------------------------- bucketBy layout
-    def _register(self, name: str, path: str, cluster, partitions: tuple[str, ...] = ()) -> None:
-        """Declare a bucketed external table over ``path`` in the session catalog.
-
-        The layout is recorded in the commit log, so any session can
-        re-declare it; Spark then knows each file's bucket and plans joins
-        and aggregations on the bucket key without a shuffle.
-        """
-        if self.spark.catalog.tableExists(name):
-            if partitions:
-                self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-            return
-        n, keys = cluster
-        schema = self.spark.read.parquet(path).schema
-        cols = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-        key_list = ", ".join(f"`{k}`" for k in keys)
-        part = f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
-        self.spark.sql(
-            f"CREATE TABLE {name} ({cols}) USING parquet{part} CLUSTERED BY ({key_list}) "
-            f"SORTED BY ({key_list}) INTO {n} BUCKETS LOCATION '{path}'"
-        )
-        if partitions:
-            self.spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
-
-    def read_run(self, layer: str, table: str, run_id: int) -> DataFrame | None:
-        """Rows one run appended (partition-pruned read of an append table)."""
-        commits = self._table_commits(layer, table)
-        if not any(c.kind == "append" and c.version == run_id for c in commits):
-            return None
-        df = self._append_frame(layer, table, commits)
-        return df.where(F.col("run_id") == run_id).drop("batch_id")
-
-    def row_count(self, layer: str, table: str) -> int | None:
-        """Rows of the current snapshot, as recorded at its commit (no job)."""
-        snaps = [c for c in self._table_commits(layer, table) if c.kind == "snapshot"]
-        if not snaps or any(c.kind == "bucket" for c in self._table_commits(layer, table)):
-            return None
-        return max(snaps, key=lambda c: c.version).rows
-
-    # ------------------------------------------------------- buckets
-    def bucket_manifest(self, layer: str, table: str, before_run: int | None = None) -> dict[int, int]:
-        """bucket -> version holding its current rows (empty buckets left out)."""
-        latest: dict[int, tuple[int, int]] = {}
-        for c in self._table_commits(layer, table):
-            if c.kind != "bucket" or (before_run is not None and (c.run_id or 0) >= before_run):
-                continue
-            if c.version > latest.get(c.bucket, (-1, 0))[0]:
-                latest[c.bucket] = (c.version, c.rows or 0)
-        return {b: v for b, (v, nonempty) in latest.items() if nonempty}
+        record, fs = self._hadoop(f"{folder}/{numbers[-1]}")
+        stream = fs.open(record)
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return State(**json.loads(text))
+
+    def commit(self, layer: str, table: str, state: State) -> None:
+        """Makes ``state`` the table's: a new record, then removal of what is no longer used."""
+        folder = self._records(layer, table)
+        numbers = self._numbers(folder)
+        number = (numbers[-1] if numbers else 0) + 1
+        draft, fs = self._hadoop(f"{folder}/_draft")
+        out = fs.create(draft, True)
+        try:
+            out.write(json.dumps(asdict(state)).encode())
+        finally:
+            out.close()
+        if not fs.rename(draft, self._hadoop(f"{folder}/{number}")[0]):
+            raise OSError(f"cannot commit {layer}.{table}: {folder}/{number}")
+        # the state before stays: frames that were read from it may still be in use
+        for n in numbers:
+            if n < number - 1:
+                fs.delete(self._hadoop(f"{folder}/{n}")[0], False)
+        if state.kind == "snapshot":
+            for n in self._numbers(self.path(layer, table), "v="):
+                if n < state.number - 1:
+                    fs.delete(self._hadoop(f"{self.path(layer, table)}/v={n}")[0], True)
 
-    def read_buckets(self, layer: str, table: str, buckets=None, before_run: int | None = None):
-        """Rows of the given buckets (all when None) of a bucketed table, or None."""
-        manifest = self.bucket_manifest(layer, table, before_run)
-        wanted = manifest if buckets is None else {b: manifest[b] for b in buckets if b in manifest}
-        if not wanted:
+    def exists(self, layer: str, table: str) -> bool:
+        return self.state(layer, table) is not None
+
+    # --------------------------------------------------------------- read
+    def read(self, layer: str, table: str, after_load: int = 0) -> DataFrame | None:
+        """The committed rows, of an append table those of loads after
+        ``after_load``; None for a table that was never written."""
+        state = self.state(layer, table)
+        if state is None:
             return None
-        base = self.path(layer, table)
-        paths = [f"{base}/v={v}/bucket={b}" for b, v in sorted(wanted.items())]
-        return self.spark.read.parquet(*paths)
-
-    def write_buckets(self, layer: str, table: str, df: DataFrame, bucket_col: str, buckets,
-                      run_id: int | None = None) -> None:
-        """Write ``df`` (rows of ``buckets`` only) as a new version of those buckets.
-
-        Buckets not named keep their current version; the commit names every
-        bucket written, so a crash before it leaves all buckets as they were.
-        """
-        from pyspark.sql import Observation
-
-        commits = self._table_commits(layer, table)
-        version = 1 + max([c.version for c in commits], default=0)
-        obs = Observation(f"buckets_{layer}_{table}_{version}")
-        if bucket_col != "bucket":
-            df = df.withColumnRenamed(bucket_col, "bucket")
-        df = df.observe(obs, F.collect_set("bucket").alias("written"))  # at most N values
-        df.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path(layer, table)}/v={version}")
-        written = set(obs.get.get("written") or [])
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        rows = [(layer, table, "bucket", version, None if run_id is None else int(run_id),
-                 1 if b in written else 0, now, None, int(b), None) for b in sorted(set(buckets) | written)]
-        self.spark.createDataFrame(rows, COMMITS).coalesce(1).write.mode("append").parquet(self._log)
-        self._log_rows = None
-
-    # ---------------------------------------------------------- write
-    def write_snapshot(self, layer: str, table: str, df: DataFrame, run_id: int | None = None,
-                       observe_rows: bool = True, batch_id: int | None = None,
-                       cluster: tuple[int, list[str]] | None = None) -> int | None:
-        """Write ``df`` as the next version and commit it; returns the row count.
+        if state.kind == "snapshot":
+            return self._frame(f"{self.path(layer, table)}/v={state.number}", state.struct())
+        schema = T.StructType([*state.struct().fields, T.StructField(LOAD, T.LongType())])
+        rows = self._frame(self.path(layer, table), schema)
+        return rows.where((F.col(LOAD) > after_load) & (F.col(LOAD) <= state.number)).drop(LOAD)
+
+    def _frame(self, path: str, schema: T.StructType) -> DataFrame:
+        return self.spark.read.schema(schema).option("pathGlobFilter", "*.parquet").parquet(path)
+
+    # -------------------------------------------------------------- write
+    def _of_kind(self, layer: str, table: str, kind: str) -> State | None:
+        state = self.state(layer, table)
+        if state is not None and state.kind != kind:
+            raise ValueError(f"{layer}.{table} is a {state.kind} table: a {kind} load would hide its rows")
+        return state
+
+    @staticmethod
+    def _seen(state: State | None, stream: tuple[str, int] | None) -> bool:
+        """A micro-batch that was committed before, replayed after a crash."""
+        return state is not None and stream is not None and state.streams.get(stream[0], -1) >= stream[1]
+
+    def _stats(self, written: DataFrame, mark: Column | None) -> tuple[int, str | None]:
+        """Rows and mark, from what was written."""
+        found = written.agg(F.count(F.lit(1)), F.lit(None).cast("string") if mark is None else mark.cast("string")).first()
+        return found[0], found[1]
+
+    def _next(self, old: State | None, kind: str, number: int, schema: T.StructType, rows: int, run_id, mark, taken, stream) -> State:
+        state = old or State(kind, 0, {}, 0)
+        return replace(
+            state,
+            number=number,
+            schema=json.loads(schema.json()),
+            rows=rows,
+            run_id=state.run_id if run_id is None or stream else int(run_id),
+            mark=state.mark if mark is None else mark,
+            taken=state.taken if taken is None else taken,
+            streams=state.streams | ({stream[0]: stream[1]} if stream else {}),
+        )
 
-        ``cluster=(n, keys)`` stores the version bucketed by ``keys``
-        (``bucketBy``), so joins and merges on the keys need no shuffle of
-        this table.
+    def stage(self, layer: str, table: str, df: DataFrame) -> DataFrame:
+        """``df`` written once beside the table; all later reads see the same rows."""
+        path = f"{self.path(layer, table)}/batch"
+        df.write.mode("overwrite").parquet(path)
+        return self._frame(path, df.schema)
+
+    def write_snapshot(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        run_id: int | None = None,
+        *,
+        mark: Column | None = None,
+        taken: int | None = None,
+        stream: tuple[str, int] | None = None,
+        batch: DataFrame | None = None,
+    ) -> int:
+        """Replaces the table by ``df``; gives the rows of ``batch`` (of ``df`` without one).
+
+        mark: an aggregate over the same rows, kept with the state; taken: the
+        last load taken from the table before; stream: (id, batch) of a
+        micro-batch, which is skipped if it was committed before.
         """
-        commits = self._table_commits(layer, table)
-        version = 1 + max([c.version for c in commits if c.kind == "snapshot"], default=0)
-        rows = None
-        if observe_rows:
-            from pyspark.sql import Observation
-
-            obs = Observation(f"rows_{layer}_{table}_{version}")
-            df = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-        path = f"{self.path(layer, table)}/v={version}"
-        if cluster is None:
-            df.write.mode("overwrite").parquet(path)
-        else:
-            n, keys = cluster
-            (df.write.format("parquet").bucketBy(n, *keys).sortBy(*keys).option("path", path)
-             .mode("overwrite").saveAsTable(_catalog_name(self.root, layer, table, version)))
-        if observe_rows:
-            rows = obs.get.get("rows")
-        self._commit(layer, table, "snapshot", version, run_id, rows, batch_id, cluster=cluster)
+        old = self._of_kind(layer, table, "snapshot")
+        if self._seen(old, stream):
+            return 0
+        number = (old.number if old else 0) + 1
+        path = f"{self.path(layer, table)}/v={number}"
+        df.write.mode("overwrite").parquet(path)
+        rows, reached = self._stats(self._frame(path, df.schema) if batch is None else batch, mark)
+        self.commit(layer, table, self._next(old, "snapshot", number, df.schema, rows, run_id, reached, taken, stream))
         return rows
 
-    def append(self, layer: str, table: str, df: DataFrame, run_id: int, batch_id: int = 0,
-               cluster: tuple[int, list[str]] | None = None) -> int:
-        """Write ``df`` as partition (run_id, batch_id) and commit it.
-
-        A retry rewrites the same partition (dynamic partition overwrite), so
-        it never duplicates rows.  ``batch_id`` separates the micro-batches a
-        stream delivers within one run.
+    def append(
+        self,
+        layer: str,
+        table: str,
+        df: DataFrame,
+        run_id: int,
+        *,
+        mark: Column | None = None,
+        taken: int | None = None,
+        stream: tuple[str, int] | None = None,
+    ) -> int:
+        """Adds ``df`` as the next load; gives its rows.
+
+        Skipped where it was committed before: a replayed micro-batch of
+        ``stream``, loads of the table before up to ``taken``, else a second
+        load of the same run.  New columns join the table's schema (NULL in
+        earlier loads); a column of another type is refused.
         """
-        from pyspark.sql import Observation
-
-        obs = Observation(f"rows_{layer}_{table}_run{run_id}_b{batch_id}")
-        out = (
-            df.withColumn("run_id", F.lit(int(run_id)).cast("bigint"))
-            .withColumn("batch_id", F.lit(int(batch_id)).cast("bigint"))
-            .observe(obs, F.count(F.lit(1)).alias("rows"))
-        )
-        commits = self._table_commits(layer, table)
-        if cluster is None:
-            (
-                out.write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("run_id", "batch_id")
-                .parquet(self.path(layer, table))
-            )
+        old = self._of_kind(layer, table, "append")
+        if stream:
+            done = self._seen(old, stream)
+        elif taken is not None:
+            done = old is not None and taken <= old.taken
         else:
-            n, keys = cluster
-            name = _catalog_name(self.root, layer, table)
-            if commits:
-                self._register(name, self.path(layer, table), cluster, partitions=("run_id", "batch_id"))
-            if self.spark.catalog.tableExists(name):
-                # insertInto is positional: add new columns to the table, then
-                # write in the table's column order (absent columns as NULL).
-                table_cols = {f.name: f.dataType for f in self.spark.table(name).schema.fields}
-                new = [f for f in out.schema.fields if f.name not in table_cols]
-                if new:
-                    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in new)
-                    self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({ddl})")
-                order = self.spark.table(name).schema.fields
-                out = out.select(*[(F.col(f.name) if f.name in out.columns else F.lit(None))
-                                   .cast(f.dataType).alias(f.name) for f in order])
-                out.write.option("partitionOverwriteMode", "dynamic").insertInto(name, overwrite=True)
-            else:
-                (out.write.format("parquet").partitionBy("run_id", "batch_id").bucketBy(n, *keys)
-                 .sortBy(*keys).option("path", self.path(layer, table)).mode("append").saveAsTable(name))
-        rows = obs.get.get("rows")
-        self._commit(layer, table, "append", run_id, run_id, rows, batch_id, cluster=cluster)
+            done = old is not None and old.run_id == int(run_id)
+        if done:
+            return 0 if stream or taken is not None else old.rows
+        number = (old.number if old else 0) + 1
+        fields = {f.name: f for f in (old.struct().fields if old else [])}
+        for f in df.schema.fields:
+            if f.name in fields and fields[f.name].dataType != f.dataType:
+                raise ValueError(f"{layer}.{table}.{f.name}: {f.dataType.simpleString()}, was {fields[f.name].dataType.simpleString()}")
+            fields.setdefault(f.name, T.StructField(f.name, f.dataType, True))
+        path = f"{self.path(layer, table)}/{LOAD}={number}"
+        df.write.mode("overwrite").parquet(path)
+        rows, reached = self._stats(self._frame(path, df.schema), mark)
+        self.commit(layer, table, self._next(old, "append", number, T.StructType(list(fields.values())), rows, run_id, reached, taken, stream))
         return rows

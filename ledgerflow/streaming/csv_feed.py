@@ -1,85 +1,94 @@
 """CSV landing folders as Structured Streaming sources.
 
 The file source plus its checkpoint replaces hand-made file discovery: each
-file is taken exactly once across runs.  A run drains what is available
-(``trigger(availableNow=True)``) and waits for it (``awaitTermination``),
-so the count it reports is the batch's, not the table's.
-
-Writes go through ``foreachBatch`` into the table store: one partition per
-(run, micro-batch), committed after the write; a micro-batch replayed after
-a crash finds its commit and is skipped, so intake is exactly-once.
+file is taken exactly once across runs.  The stream carries file paths; a
+micro-batch reads its files by the names in their own headers, so columns may
+come in any order, be missing (NULL) or be new (they join the bronze table).
+
+Writes go through ``foreachBatch`` into the table store, which keeps (stream
+id, micro-batch) with the data it commits: a micro-batch replayed after a
+crash is skipped, and one of another stream, or of a stream with a new
+checkpoint, never is.
 """
 
 from __future__ import annotations
 
+import csv
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import conform
 from ..operators.merge import merge_upsert
 
+FILES = "path string, modificationTime timestamp, length long, content binary"
+
+
+def csv_stream(spark: SparkSession, path: str, max_files_per_trigger: int = 1000) -> DataFrame:
+    """Streaming frame of the paths of the files in a landing folder (contents aren't read)."""
+    reader = spark.readStream.format("binaryFile").schema(FILES).option("maxFilesPerTrigger", max_files_per_trigger)
+    return reader.load(path).select("path")
+
 
-def csv_stream(spark: SparkSession, path: str, columns: Sequence[str],
-               max_files_per_trigger: int | None = None) -> DataFrame:
-    """Streaming DataFrame over a CSV landing folder (header row, all strings).
+def read_csv(spark: SparkSession, paths: Sequence[str], columns: Sequence[str]) -> DataFrame:
+    """The files' rows as strings: ``columns`` (NULL where a file lacks one),
+    then any further columns of their headers.
 
-    The header is checked against the registry's column list
-    (``enforceSchema=false``): a file whose header names other columns fails
-    its batch instead of loading values into the wrong columns.
+    A header without any of ``columns``, or with a name twice, fails.
     """
-    schema = T.StructType([T.StructField(c.strip().lower(), T.StringType(), True) for c in columns])
-    reader = (
-        spark.readStream.schema(schema)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
+    wanted = [c.strip().lower() for c in columns]
+    lines = spark.read.text(list(paths)).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("line")
     )
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.csv(path)
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "line").alias("header"))
+    by_header: dict[str, list[str]] = {}
+    for row in first.orderBy("file").collect():  # a row for each file of one trigger
+        by_header.setdefault(row["header"], []).append(row["file"])
+    out = spark.createDataFrame([], T.StructType([T.StructField(c, T.StringType()) for c in wanted]))
+    for header, files in by_header.items():
+        names = [n.strip().lower() for n in next(csv.reader([header.removeprefix("﻿")]))]
+        if len(set(names)) < len(names) or not set(names) & set(wanted):
+            raise ValueError(f"header {header!r} of {files[0]} does not fit the columns {wanted}")
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
+        rows = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(files)
+        out = out.unionByName(rows, allowMissingColumns=True)
+    return out
 
 
-def _drain(df: DataFrame, checkpoint: str, on_batch: Callable[[DataFrame, int], None]) -> int:
-    query = (
-        df.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
-    return int(sum(p.get("numInputRows", 0) for p in query.recentProgress))
+def _drain(feed: DataFrame, checkpoint: str, on_batch: Callable[[list[str], tuple[str, int]], int]) -> int:
+    """Takes what is available; gives the sum of what ``on_batch`` stored."""
+    stored = []
 
+    def each(batch: DataFrame, batch_id: int) -> None:
+        # the id that Spark keeps in the checkpoint: a new checkpoint is another stream
+        record = batch.sparkSession.read.text(f"{checkpoint}/metadata").first()[0]
+        paths = [r["path"] for r in batch.collect()]
+        stored.append(on_batch(paths, (json.loads(record)["id"], batch_id)) if paths else 0)
 
-def land_stream(store, layer: str, table: str, df: DataFrame, run_id: int, checkpoint: str) -> int:
-    """Append every new file's rows to ``layer.table`` under ``run_id``; returns rows taken."""
+    feed.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+    return sum(stored)
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if store.has_batch(layer, table, batch_id):
-            return
-        store.append(layer, table, batch, run_id, batch_id=batch_id)
 
-    return _drain(df, checkpoint, on_batch)
+def land_stream(store, layer: str, table: str, feed: DataFrame, columns: Sequence[str], run_id: int, checkpoint: str) -> int:
+    """Appends every new file's rows to ``layer.table``; gives the rows stored."""
 
+    def on_batch(paths: list[str], stream: tuple[str, int]) -> int:
+        return store.append(layer, table, read_csv(store.spark, paths, columns), run_id, stream=stream)
 
-def upsert_stream(store, layer: str, table: str, df: DataFrame, keys: Sequence[str],
-                  schema: T.StructType, checkpoint: str) -> int:
-    """Micro-batch upsert of a feed straight into a typed (silver) table.
+    return _drain(feed, checkpoint, on_batch)
 
-    Each batch is cast to the contract and merged into the current snapshot;
-    the new snapshot is committed with the batch id, and a replayed batch is
-    skipped.
-    """
 
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if store.has_batch(layer, table, batch_id):
-            return
-        typed = conform(batch, schema)
+def upsert_stream(store, layer: str, table: str, feed: DataFrame, keys: Sequence[str], schema: T.StructType, checkpoint: str) -> int:
+    """Micro-batch upsert of a feed straight into a typed (silver) table; gives the rows taken."""
+
+    def on_batch(paths: list[str], stream: tuple[str, int]) -> int:
+        rows = conform(read_csv(store.spark, paths, [f.name for f in schema.fields]), schema)
+        batch = store.stage(layer, table, rows)
         base = store.read(layer, table)
-        if base is None:
-            base = typed.where("false")
-        merged = merge_upsert(base, typed, list(keys))
-        store.write_snapshot(layer, table, merged, run_id=batch_id, batch_id=batch_id)
+        merged = merge_upsert(batch.where("false") if base is None else base, batch, list(keys))
+        return store.write_snapshot(layer, table, merged, stream=stream, batch=batch)
 
-    return _drain(df, checkpoint, on_batch)
+    return _drain(feed, checkpoint, on_batch)

@@ -1,6 +1,7 @@
 """Pipeline and table-store state: runs, reruns, crashes, streams, JDBC."""
 
 import os
+import threading
 
 import pytest
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def _make_pipeline(spark, root, landing):
         return ents[cfg.table_name]
 
     def blob(cfg):
-        return csv_stream(spark, f"{landing}/{cfg.source_path}", cfg.columns)
+        return csv_stream(spark, f"{landing}/{cfg.source_path}")
 
     store = TableStore(spark, root)
     return Pipeline(spark, store, {"oracledb": relational, "sqlserver": relational, "blob": blob},
@@ -65,7 +66,7 @@ def test_full_run_then_idempotent_rerun(spark, scratch):
     assert run2 == run1 + 1
     r2 = {(r.layer, r.table_id): r.number_of_records
           for r in pipe.store.read("metadata", "pipeline_runs").where(F.col("run_id") == run2).collect()}
-    assert r2[("SILVER", 3)] == 0 and r2[("BRONZE", 5)] == 0
+    assert r2[("SILVER", 3)] == 0 and r2[("BRONZE", 5)] == 0 and r2[("BRONZE", 3)] == 0 and r2[("SILVER", 1)] == 0
     assert _rows(pipe.marts()["customer_360"]) == _rows(marts["customer_360"])
 
 
@@ -79,18 +80,237 @@ def test_crash_before_commit_keeps_old_version(spark, scratch):
     # the retry reuses the uncommitted version number and then commits
     store.write_snapshot("silver", "t", df.where("k < 3"), run_id=2)
     assert store.read("silver", "t").count() == 3
-    assert store.read("silver", "t", before_run=2).count() == 5
+    # the same for a load
+    store.append("bronze", "t", df, run_id=1)
+    df.write.parquet(f"{store.path('bronze', 't')}/load=2")
+    assert store.read("bronze", "t").count() == 5
+    store.append("bronze", "t", df.where("k < 2"), run_id=2)
+    assert store.read("bronze", "t").count() == 7
 
 
-def test_append_retry_same_run_is_idempotent(spark, scratch):
+def test_store_keeps_two_states(spark, scratch):
+    store = TableStore(spark, scratch)
+    for n in range(1, 6):
+        before = store.read("gold", "t")
+        assert store.write_snapshot("gold", "t", spark.range(n), run_id=n) == n
+        assert before is None or before.count() == n - 1  # a frame of the last state can still be read
+    assert sorted(os.listdir(f"{scratch}/gold/t")) == ["v=4", "v=5"]
+    assert sorted(x for x in os.listdir(f"{scratch}/_state/gold/t") if not x.startswith(".")) == ["4", "5"]
+
+
+def test_only_a_missing_folder_means_never_written(spark, scratch):
+    store = TableStore(spark, scratch)
+    assert store.state("silver", "t") is None and store.read("silver", "t") is None
+    store.write_snapshot("silver", "t", spark.range(2))
+    with open(f"{scratch}/_state/silver/t/2", "w") as f:
+        f.write("{not json")
+    with pytest.raises(ValueError):
+        store.state("silver", "t")
+
+
+def test_append_of_one_run_counts_once(spark, scratch):
     store = TableStore(spark, scratch)
     df = spark.range(4).withColumnRenamed("id", "k")
-    store.append("bronze", "t", df, run_id=7)
-    store.append("bronze", "t", df, run_id=7)
+    assert [store.append("bronze", "t", df, run_id=7) for _ in range(2)] == [4, 4]
     assert store.read("bronze", "t").count() == 4
     store.append("bronze", "t", df, run_id=8)
     assert store.read("bronze", "t").count() == 8
-    assert store.read_run("bronze", "t", 8).count() == 4
+    assert store.read("bronze", "t", after_load=1).count() == 4
+    later = spark.createDataFrame([("x", 9)], "extra string, k long")
+    store.append("bronze", "t", later, run_id=9)
+    assert store.read("bronze", "t").columns == ["k", "extra"] and store.read("bronze", "t").where("extra = 'x' and k = 9").count() == 1
+    with pytest.raises(ValueError, match="was bigint"):
+        store.append("bronze", "t", spark.createDataFrame([("x",)], "k string"), run_id=10)
+
+
+def test_empty_first_load_is_readable(spark, scratch):
+    store = TableStore(spark, scratch)
+    none = spark.createDataFrame([], "k long, v string")
+    assert store.append("silver", "a", none, run_id=1) == 0 and store.write_snapshot("silver", "s", none) == 0
+    for t in ("a", "s"):
+        assert store.read("silver", t).schema.simpleString() == "struct<k:bigint,v:string>" and store.read("silver", t).count() == 0
+
+
+def test_kinds_are_not_mixed(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.append("bronze", "a", spark.range(3), run_id=1)
+    store.write_snapshot("bronze", "s", spark.range(5))
+    with pytest.raises(ValueError, match="append table"):
+        store.write_snapshot("bronze", "a", spark.range(3))
+    with pytest.raises(ValueError, match="snapshot table"):
+        store.append("bronze", "s", spark.range(3), run_id=2)
+    assert store.read("bronze", "a").count() == 3 and store.read("bronze", "s").count() == 5
+
+
+LOGS = "txn_id string, gateway_name string"
+
+
+def test_ordinary_load_then_stream_then_new_checkpoint(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    store.append("bronze", "logs", spark.createDataFrame([("0", "z")], LOGS), run_id=1)
+    taken = 0
+    for n, (landing, ckpt) in enumerate([("in1", "c1"), ("in1", "c1"), ("in2", "c2")], start=2):
+        _land_csv(spark.createDataFrame([(str(n), "a")], LOGS), os.path.join(scratch, landing))
+        feed = csv_stream(spark, os.path.join(scratch, landing))
+        taken += land_stream(store, "bronze", "logs", feed, ["TXN_ID", "GATEWAY_NAME"], n, os.path.join(scratch, ckpt))
+    assert taken == 3
+    assert sorted(r.txn_id for r in store.read("bronze", "logs").collect()) == ["0", "2", "3", "4"]
+
+
+def test_replayed_micro_batch_is_stored_once(spark, scratch):
+    store = TableStore(spark, scratch)
+    df = spark.createDataFrame([("1", "a")], LOGS)
+    assert store.append("bronze", "logs", df, 1, stream=("s", 0)) == 1
+    assert store.append("bronze", "logs", df, 2, stream=("s", 0)) == 0
+    assert store.append("bronze", "logs", df, 2, stream=("t", 0)) == 1
+    assert store.append("bronze", "logs", df, 2, stream=("s", 1)) == 1
+    assert store.read("bronze", "logs").count() == 3
+
+
+def test_stream_count_covers_every_micro_batch(spark, scratch):
+    """More micro-batches than Spark keeps progress entries of."""
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    landing = os.path.join(scratch, "in")
+    os.makedirs(landing)
+    for i in range(8):
+        with open(os.path.join(landing, f"{i}.csv"), "w") as f:
+            f.write(f"txn_id,gateway_name\n{i},a\n{i},b\n")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        feed = csv_stream(spark, landing, max_files_per_trigger=1)
+        n = land_stream(store, "bronze", "logs", feed, ["TXN_ID", "GATEWAY_NAME"], 1, os.path.join(scratch, "ckpt"))
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    assert n == 16 == store.read("bronze", "logs").count()
+
+
+def _feed_run(pipe, fail_silver=False):
+    run = pipe.start_run()
+    pipe.bronze(6, run)
+    return None if fail_silver else pipe.silver(6, run)
+
+
+def test_feed_rows_survive_a_failed_silver(spark, scratch):
+    landing = os.path.join(scratch, "landing")
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), landing)
+    pipe.seed()
+    logs = ents["payment_gateway_logs"]
+    cut = logs.agg(F.expr("percentile_approx(processed_timestamp, 0.5)")).first()[0]
+    _land_csv(logs.where(F.col("processed_timestamp") <= F.lit(cut)), f"{landing}/payment_gateway_logs/")
+    _feed_run(pipe, fail_silver=True)
+    _land_csv(logs.where(F.col("processed_timestamp") > F.lit(cut)), f"{landing}/payment_gateway_logs/")
+    assert _feed_run(pipe) == logs.count()
+    assert _feed_run(pipe) == 0
+    assert _rows(pipe.silver_tables()["payment_gateway_logs"]) == _rows(logs)
+
+
+def test_relational_rows_survive_a_failed_silver(spark, scratch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    whole = dict(ents)
+    for tid, name, col in ((3, "transactions", "txn_timestamp"), (2, "accounts", "updated_at")):
+        cut = whole[name].agg(F.max(col)).first()[0]
+        ents[name] = whole[name].where(F.col(col) < F.lit(cut))
+        run = pipe.start_run()
+        pipe.bronze(tid, run)  # silver never comes
+        ents[name] = whole[name]
+        run = pipe.start_run()
+        assert pipe.bronze(tid, run) == whole[name].where(F.col(col) == F.lit(cut)).count()
+        pipe.silver(tid, run)
+        pipe.silver(tid, run)
+        columns = [c for c in whole[name].columns if (name, c) != ("transactions", "created_at")]  # not in the registry's list
+        assert _rows(pipe.silver_tables()[name].select(columns)) == _rows(whole[name].select(columns)), name
+
+
+def test_failure_between_silver_and_mark_repeats_nothing(spark, scratch, monkeypatch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    run = pipe.start_run()
+    pipe.bronze(3, run)
+    with monkeypatch.context() as m:
+        def dies(*a, **k):
+            raise RuntimeError("killed")
+
+        m.setattr(pipe, "_audit", dies)
+        with pytest.raises(RuntimeError):
+            pipe.silver(3, run)
+    run = pipe.start_run()
+    pipe.bronze(3, run)
+    assert pipe.silver(3, run) == 0
+    assert pipe.silver_tables()["transactions"].count() == ents["transactions"].count()
+    marks = {r.table_id: r.last_watermark_value for r in pipe.store.read("metadata", "table_watermarks").collect()}
+    assert marks[3] == str(ents["transactions"].agg(F.max("txn_timestamp")).first()[0])
+
+
+def test_empty_first_extract(spark, scratch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    whole = ents["transactions"]
+    ents["transactions"] = whole.limit(0)
+    run = pipe.start_run()
+    assert pipe.bronze(3, run) == 0 and pipe.silver(3, run) == 0
+    assert pipe.silver_tables()["transactions"].count() == 0
+    ents["transactions"] = whole
+    run = pipe.start_run()
+    pipe.bronze(3, run)
+    assert pipe.silver(3, run) == whole.count()
+
+
+def test_merge_without_watermark_extracts_in_full(spark, scratch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    params = pipe.store.read("metadata", "table_parameters")
+    pipe.store.write_snapshot("metadata", "table_parameters", params.where("not (table_id = 2 and parameter_name = 'watermark_column')"))
+    whole = ents["accounts"]
+    for batch in (whole.where("account_id % 2 = 0"), whole.withColumn("status", F.lit("NEW"))):
+        ents["accounts"] = batch
+        run = pipe.start_run()
+        assert pipe.bronze(2, run) == batch.count()
+        pipe.silver(2, run)
+    assert _rows(pipe.silver_tables()["accounts"]) == _rows(whole.withColumn("status", F.lit("NEW")))
+
+
+def test_merge_reads_the_source_once(spark, scratch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    n = ents["accounts"].count()
+    for _ in range(2):
+        ents["accounts"] = ents["accounts"].mapInArrow(counted, ents["accounts"].schema).withColumn("updated_at", F.col("updated_at") + F.expr("interval 1 day"))
+        before = read.value
+        pipe.bronze(2, pipe.start_run())
+        assert read.value - before in (n, 2 * n)  # each round's frame holds those before
+    assert read.value == 3 * n
+
+
+def test_gold_isolates_failures(spark, scratch):
+    pipe, ents = _make_pipeline(spark, os.path.join(scratch, "store"), scratch)
+    pipe.seed()
+    run = pipe.start_run()
+    for tid in (2, 3):  # customers, branches and credit reports are absent
+        pipe.bronze(tid, run)
+        pipe.silver(tid, run)
+    counts = pipe.gold(run)
+    audit = {r.kpi_id: (r.status, r.error_message) for r in pipe.store.read("metadata", "pipeline_runs").where("layer = 'GOLD'").collect()}
+    assert audit[5][0] == "COMPLETED" and counts["transaction_channel_summary"] == 3
+    assert [audit[i][0] for i in (1, 2, 3, 4)] == ["FAILED"] * 4 and all("does not exist" in audit[i][1] for i in (1, 2, 3, 4))
+    assert _rows(pipe.marts()["transaction_channel_summary"]) == _rows(gold.transaction_channel_summary(ents))
+
+
+def test_marts_are_written_from_threads(spark, scratch):
+    store = TableStore(spark, scratch)
+    threads = [threading.Thread(target=store.write_snapshot, args=("gold", f"t{i}", spark.range(i))) for i in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert [store.read("gold", f"t{i}").count() for i in range(4)] == [0, 1, 2, 3]
 
 
 def test_csv_stream_exactly_once(spark, scratch):
@@ -100,11 +320,11 @@ def test_csv_stream_exactly_once(spark, scratch):
     first = spark.createDataFrame([("1", "a"), ("2", "b")], "txn_id string, gateway_name string")
     _land_csv(first, landing)
     ckpt = os.path.join(scratch, "ckpt")
-    n1 = land_stream(store, "bronze", "logs", csv_stream(spark, landing, cols), 1, ckpt)
-    n2 = land_stream(store, "bronze", "logs", csv_stream(spark, landing, cols), 2, ckpt)
+    n1 = land_stream(store, "bronze", "logs", csv_stream(spark, landing), cols, 1, ckpt)
+    n2 = land_stream(store, "bronze", "logs", csv_stream(spark, landing), cols, 2, ckpt)
     assert (n1, n2) == (2, 0)
     _land_csv(spark.createDataFrame([("3", "c")], "txn_id string, gateway_name string"), landing)
-    n3 = land_stream(store, "bronze", "logs", csv_stream(spark, landing, cols), 3, ckpt)
+    n3 = land_stream(store, "bronze", "logs", csv_stream(spark, landing), cols, 3, ckpt)
     assert n3 == 1
     assert sorted(r.txn_id for r in store.read("bronze", "logs").collect()) == ["1", "2", "3"]
 
@@ -119,9 +339,9 @@ def test_stream_upsert_into_silver(spark, scratch):
     schema = ", ".join(f"{c} string" for c in cols)
     _land_csv(spark.createDataFrame(rows, schema), landing)
     ckpt = os.path.join(scratch, "ckpt")
-    upsert_stream(store, "silver", "branches", csv_stream(spark, landing, cols), ["branch_code"], BRANCHES, ckpt)
+    upsert_stream(store, "silver", "branches", csv_stream(spark, landing), ["branch_code"], BRANCHES, ckpt)
     _land_csv(spark.createDataFrame([("BR2", "Renamed", "c", "s", "r", None)], schema), landing)
-    upsert_stream(store, "silver", "branches", csv_stream(spark, landing, cols), ["branch_code"], BRANCHES, ckpt)
+    upsert_stream(store, "silver", "branches", csv_stream(spark, landing), ["branch_code"], BRANCHES, ckpt)
     out = {r.branch_code: r.branch_name for r in store.read("silver", "branches").collect()}
     assert out == {"BR1": "Main", "BR2": "Renamed"}
 
@@ -146,43 +366,17 @@ def test_jdbc_partitioned_extract_pushes_predicate(spark):
     assert got.columns == ["account_id", "balance", "updated_at"]
 
 
-def test_bucketed_merge_rewrites_only_touched_buckets(spark, scratch):
-    from ledgerflow.operators.bucketed import merge_bucketed, write_bucketed
-    from ledgerflow.operators.merge import merge_upsert
-
-    store = TableStore(spark, scratch)
-    accounts = testdata.accounts(spark, SF_SMALL)
-    write_bucketed(store, "silver", "accounts", accounts, ["account_id"], 32, run_id=1)
-    assert store.read("silver", "accounts").count() == accounts.count()
-    source = (accounts.where(F.col("account_id") < 40)
-              .withColumn("status", F.lit("CHANGED"))
-              .unionByName(accounts.limit(3).withColumn("account_id", F.col("account_id") + 10_000_000)))
-    touched, n = merge_bucketed(store, "silver", "accounts", source, ["account_id"], 32, run_id=2)
-    assert n == source.count()
-    assert 0 < len(touched) < 32
-    got = store.read("silver", "accounts")
-    want = merge_upsert(accounts, source, ["account_id"])
-    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
-    # untouched buckets still point at version 1
-    manifest = store.bucket_manifest("silver", "accounts")
-    assert {b for b, v in manifest.items() if v == 1} == set(range(32)) - set(touched)
-    # a retry of run 2 recomputes from the state before it
-    merge_bucketed(store, "silver", "accounts", source, ["account_id"], 32, run_id=2)
-    assert store.read("silver", "accounts").count() == want.count()
-
-
 def _logs_pipeline(spark, scratch, quarantine):
     from ledgerflow import schemas
 
     landing = os.path.join(scratch, "landing")
     store = TableStore(spark, os.path.join(scratch, "store"))
-    pipe = Pipeline(spark, store, {"blob": lambda cfg: csv_stream(spark, f"{landing}/{cfg.source_path}",
-                                                                    cfg.columns)})
+    pipe = Pipeline(spark, store, {"blob": lambda cfg: csv_stream(spark, f"{landing}/{cfg.source_path}")})
     pipe.seed()
     if quarantine:
         params = store.read("metadata", "table_parameters")
         extra = spark.createDataFrame([(6, "bad_rows", "quarantine", None)], schemas.TABLE_PARAMETERS)
-        store.write_snapshot("metadata", "table_parameters", params.unionByName(extra), observe_rows=False)
+        store.write_snapshot("metadata", "table_parameters", params.unionByName(extra))
     cols = [f.name for f in schemas.PAYMENT_GATEWAY_LOGS.fields]
     rows = [("1", "upi", "SUCCESS", "200", "15", "MOBILE", "IN", "2024-01-01 00:00:01"),
             ("2", "upi", "SUCCESS", "200", "abc", "MOBILE", "IN", "2024-01-01 00:00:02"),
@@ -212,15 +406,31 @@ def test_bad_rows_fail_fast_and_are_audited(spark, scratch):
     assert [a.status for a in audit] == ["FAILED"] and audit[0].error_message
 
 
-def test_csv_with_reordered_header_fails_loudly(spark, scratch):
-    landing = os.path.join(scratch, "in")
-    os.makedirs(landing)
-    with open(os.path.join(landing, "a.csv"), "w") as f:
-        f.write("gateway_name,txn_id\nx,1\n")
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_csv_headers_are_mapped_by_name_and_may_grow(spark, scratch):
+    store = TableStore(spark, os.path.join(scratch, "store"))
+    landing, ckpt, cols = os.path.join(scratch, "in"), os.path.join(scratch, "ckpt"), ["TXN_ID", "GATEWAY_NAME"]
+    _write(f"{landing}/a.csv", "gateway_name,TXN_ID\nx,1\n")
+    _write(f"{landing}/b.csv", 'txn_id,gateway_name,"fee"\n2,"a, b",5\n')
+    assert land_stream(store, "bronze", "logs", csv_stream(spark, landing), cols, 1, ckpt) == 2
+    _write(f"{landing}/c.csv", "txn_id\n3\n")
+    _write(f"{landing}/d.csv", "txn_id,gateway_name\n")
+    assert land_stream(store, "bronze", "logs", csv_stream(spark, landing), cols, 2, ckpt) == 1
+    got = sorted((r.txn_id, r.gateway_name, r.fee) for r in store.read("bronze", "logs").collect())
+    assert got == [("1", "x", None), ("2", "a, b", "5"), ("3", None, None)]
+
+
+@pytest.mark.parametrize("text", ["other,names\nx,1\n", "txn_id,txn_id\n1,2\n", "txn_id,gateway_name\n1\n"])
+def test_csv_that_does_not_fit_fails_loudly(spark, scratch, text):
+    _write(f"{scratch}/in/a.csv", text)
     store = TableStore(spark, os.path.join(scratch, "store"))
     with pytest.raises(Exception):
-        land_stream(store, "bronze", "logs", csv_stream(spark, landing, ["TXN_ID", "GATEWAY_NAME"]), 1,
-                    os.path.join(scratch, "ckpt"))
+        land_stream(store, "bronze", "logs", csv_stream(spark, f"{scratch}/in"), ["TXN_ID", "GATEWAY_NAME"], 1, f"{scratch}/ckpt")
     assert store.read("bronze", "logs") is None
 
 
@@ -246,66 +456,46 @@ def test_pipeline_reads_relational_source_over_jdbc(spark, scratch):
         assert _rows(silver[name]) == _rows(ents[name]), name
 
 
-def test_clustered_tables_join_and_merge_without_shuffle(spark, scratch):
-    from ledgerflow.operators.aggregate import transaction_totals
+def _sizes(df):
+    return [r[0] for r in df.groupBy(F.spark_partition_id()).count().select("count").collect()]
 
-    store = TableStore(spark, scratch)
-    acc = testdata.accounts(spark, SF_SMALL)
-    txn = testdata.transactions(spark, SF_SMALL)
-    cluster = (8, ["account_id"])
-    store.write_snapshot("silver", "accounts", acc, run_id=1, cluster=cluster)
-    store.append("silver", "transactions", txn, run_id=1, cluster=cluster)
-    store.append("silver", "transactions", txn.limit(5), run_id=2, cluster=cluster)
-    store.append("silver", "transactions", txn.limit(5), run_id=2, cluster=cluster)  # retry: no duplicates
-    assert store.read("silver", "transactions").count() == txn.count() + 5
-    assert store.read_run("silver", "transactions", 2).count() == 5
-    # a fresh store object (as a new job would) re-declares the layout from the log
-    again = TableStore(spark, scratch)
-    a, t = again.read("silver", "accounts"), again.read("silver", "transactions").drop("run_id")
-    assert _rows(a) == _rows(acc)
-    old = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold",
-                                           "spark.sql.adaptive.autoBroadcastJoinThreshold")}
-    try:
-        for k in old:  # large-table planning: no broadcasts
-            spark.conf.set(k, "-1")
-        totals = transaction_totals(t, a)
-        plan = totals._jdf.queryExecution().executedPlan().toString()
-        assert "hashpartitioning(account_id" not in plan and "SortMergeJoin" in plan
-        assert _rows(totals) == _rows(transaction_totals(txn.unionByName(txn.limit(5)), acc))
-        src = a.where(F.col("account_id") < 100).withColumn("status", F.lit("X"))
-        from ledgerflow.operators.merge import merge_upsert
-
-        merged = merge_upsert(a, src, ["account_id"])
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        anti = [line for line in plan.splitlines() if "LeftAnti" in line]
-        assert anti and "hashpartitioning(account_id" not in plan.split("LeftAnti")[1].split("Exchange")[0]
-        store.write_snapshot("silver", "accounts", merged, run_id=2, cluster=cluster)
-        assert store.read("silver", "accounts").where("status = 'X'").count() == src.count()
-    finally:
-        for k, v in old.items():
-            spark.conf.set(k, v)
 
+def test_jdbc_splits_past_the_mark_and_by_text_keys(spark):
+    from ledgerflow.plans.registry import TableConfig
+    from ledgerflow.sources.jdbc import extract_incremental, jdbc_extractor
 
-def test_clustered_append_accepts_reordered_and_added_columns(spark, scratch):
-    store = TableStore(spark, scratch)
-    first = spark.createDataFrame([(1, "a"), (2, "b")], "account_id bigint, v string")
-    store.append("silver", "t", first, run_id=1, cluster=(4, ["account_id"]))
-    later = spark.createDataFrame([("c", 3, "x")], "v string, account_id bigint, extra string")
-    store.append("silver", "t", later, run_id=2, cluster=(4, ["account_id"]))
-    got = sorted((r.account_id, r.v, r.extra) for r in store.read("silver", "t").collect())
-    assert got == [(1, "a", None), (2, "b", None), (3, "c", "x")]
+    url = "jdbc:derby:memory:ledgerflow_splits;create=true"
+    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
+    rows = spark.range(1000).selectExpr("id as account_id", "concat('K', lpad(cast(id % 700 as string), 4, '0')) as code",
+                                        "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as updated_at")
+    rows = rows.withColumn("code", F.when(F.col("account_id") != 5, F.col("code")))
+    rows.write.format("jdbc").option("url", url).option("dbtable", "accounts").option("driver", props["driver"]).option(
+        "createTableColumnTypes", "code VARCHAR(20)").mode("overwrite").save()
+    mark = "2024-01-01 14:59:00"  # the last hundred rows have the highest keys
 
+    def config(key, kind, wm):
+        return TableConfig(2, "accounts", "sqlserver", ["ACCOUNT_ID", "CODE", "UPDATED_AT"], "accounts", None, "bronze", "silver", kind, key, wm, mark)
 
-def test_jdbc_extractor_falls_back_for_text_keys(spark):
-    from ledgerflow.plans.registry import TableConfig
-    from ledgerflow.sources.jdbc import jdbc_extractor
+    extract = jdbc_extractor(spark, url, props, num_partitions=4)
+    new = extract_incremental(extract(config("account_id", "APPEND", "updated_at")), ["account_id", "updated_at"], "updated_at", mark)
+    assert sum(_sizes(new)) == 100 and len(_sizes(new)) == 4 and max(_sizes(new)) <= 30
+    by_text = extract(config("code", "FULL", None))
+    assert sum(_sizes(by_text)) == 1000 and len(_sizes(by_text)) == 4 and max(_sizes(by_text)) <= 300
+    assert sorted(r[0] for r in by_text.select("account_id").collect()) == list(range(1000))
 
-    url = "jdbc:derby:memory:ledgerflow_textkey;create=true"
-    props = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
-    b = testdata.branches(spark, SF_SMALL).select("branch_code", "branch_name")
-    b.write.format("jdbc").option("url", url).option("dbtable", "branches").option(
-        "driver", props["driver"]).mode("overwrite").save()
-    cfg = TableConfig(4, "branches", "oracledb", ["BRANCH_CODE", "BRANCH_NAME"], "branches", None,
-                      "bronze", "silver", "FULL", "branch_code", None, None)
-    df = jdbc_extractor(spark, url, props, num_partitions=4)(cfg)
-    assert df.rdd.getNumPartitions() == 1 and df.count() == b.count()
+
+def test_report_prints_all_rows(spark, scratch, capsys, monkeypatch):
+    from ledgerflow import __main__ as cli
+    from ledgerflow import session
+
+    monkeypatch.setattr(session, "build_session", lambda **k: spark)
+    store = TableStore(spark, scratch)
+    days = spark.range(120).selectExpr("date_add(date'2024-01-01', cast(id as int)) as txn_date", "cast(id as decimal(18,2)) as total_transaction_amount")
+    for name in gold.MARTS:
+        store.write_snapshot("gold", name, days)
+    assert cli.main(["report", "--store", scratch, "report_daily_amount"]) == 0
+    assert len(capsys.readouterr().out.split()) == 121
+    assert cli.main(["report", "--store", scratch, "report_daily_amount", "--limit", "3"]) == 0
+    assert len(capsys.readouterr().out.split()) == 4
+    assert cli.main(["report", "--store", scratch, "report_daily_amount", "--out", f"{scratch}/out"]) == 0
+    assert spark.read.option("header", True).csv(f"{scratch}/out").count() == 120

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from ledgerflow.operators.conform import column_list, parse_column_list
+from ledgerflow.operators.conform import parse_column_list
 from ledgerflow.operators.watermark import watermark_filter, watermark_max, watermark_upsert
 from ledgerflow.plans import registry
 
@@ -72,8 +72,6 @@ def test_runtime_config_and_column_list(spark):
     assert cfg.load_type == "FULL" and cfg.columns[0] == "BRANCH_CODE"
     assert cfg.source_system == "oracledb"
     assert parse_column_list(" A, B ,C") == ["A", "B", "C"]
-    arr = spark.createDataFrame([(" A, B ,C",)], "s string").select(column_list(F.col("s")).alias("a"))
-    assert arr.collect()[0].a == ["A", "B", "C"]
 
 
 def test_run_audit_keyed_on_layer(spark):
@@ -89,3 +87,12 @@ def test_run_audit_keyed_on_layer(spark):
     out = registry.run_audit_upsert(out, retry)
     got = sorted((r.layer, r.number_of_records) for r in out.collect())
     assert got == [("BRONZE", 10), ("GOLD", 3), ("SILVER", 11)]
+
+
+def test_watermark_column_is_optional(spark):
+    ctl = registry.seed_control_tables(spark)
+    ctl["table_parameters"] = ctl["table_parameters"].where("parameter_name <> 'watermark_column'")
+    assert registry.load_config(ctl, 2).watermark_column is None
+    ctl["table_parameters"] = ctl["table_parameters"].where("parameter_name <> 'primary_key'")
+    with pytest.raises(ValueError, match="primary_key"):
+        registry.load_config(ctl, 2)
