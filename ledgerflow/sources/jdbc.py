@@ -63,6 +63,7 @@ def key_ranges(spark: SparkSession, url: str, table: str, column: str, rows: int
     One ordered ``OFFSET .. FETCH`` query a quantile; equal quantiles give one
     range.  NULL keys are in the first range.
     """
+    column = '"' + column.replace('"', '""') + '"'  # as the database spells it
     cuts = []
     for i in range(1, parts):
         query = f"SELECT {column} AS cut FROM {table} WHERE {column} IS NOT NULL ORDER BY {column} OFFSET {rows * i // parts} ROWS FETCH NEXT 1 ROWS ONLY"
