@@ -22,6 +22,8 @@ def _schema(*fields: tuple[str, T.DataType, bool]) -> T.StructType:
     return T.StructType([T.StructField(n, t, nullable) for n, t, nullable in fields])
 
 
+# ---------------------------------------------------------------------------
+# Entity and control tables, their columns and types (FIXTURES.md).
 BRANCHES = _schema(
     ("branch_code", T.StringType(), False),
     ("branch_name", T.StringType(), False),
