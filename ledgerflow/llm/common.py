@@ -67,6 +67,19 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def smallest_hashes(rows: DataFrame, col: str, n: int, total: int) -> DataFrame:
+    """The ``n`` rows (fewer only if there are fewer) of the smallest hashes of ``col``, in that order.
+
+    total: about how many rows there are.  A bound that twice as many rows are
+    expected under is applied first, so that the task that orders what all
+    others found doesn't gather n rows from each.
+    """
+    h = F.xxhash64(col)
+    if total > 4 * n:
+        rows = rows.where(h < F.lit(-(2**63) + 2**64 * 2 * n // total))
+    return rows.orderBy(h, col).limit(n)
+
+
 def crc32_mod(doc_id: Column, n: int) -> Column:
     return F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(n))
 

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, sent, written
+from .common import let, sent, smallest_hashes, written
 
 BUCKETS = 1 << 14
 MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
@@ -81,7 +81,8 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(n[some])], names=["lang", "bucket", "n"])
 
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    few = labelled.orderBy(F.xxhash64(id_col), id_col).limit(rows).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
+    total = docs.where(F.col(lang_col).isNotNull()).count()
+    few = smallest_hashes(labelled, id_col, rows, total).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
     found = few.repartition(8).mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in found})
     counts = np.full((BUCKETS, len(languages)), 0.5)
