@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import crc32_mod, sent
+from .common import crc32_mod, sent, smallest_hashes
 
 CHUNK, STEP = 256, 192
 WIDTH, STRIDE = 8, 4
@@ -196,8 +196,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
     hashes of the id, crc32(id as text) mod 5 not 0; of a text of more than
     ``excerpts`` chunks, so many excerpts spread evenly over all of it."""
     kept = labels.where(F.col(label_col).isNotNull() & (crc32_mod(F.col(id_col), 5) != 0))
-    kept = kept.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("label")).dropDuplicates(["id"])
-    few = kept.orderBy(F.xxhash64("id"), "id").limit(rows)
+    kept = kept.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
+    few = smallest_hashes(kept, "id", rows, labels.count() * 4 // 5)
     raw, n = F.coalesce(F.col(text_col).cast("binary"), F.lit(b"")), F.lit(excerpts)
     length = F.length(raw)
 
