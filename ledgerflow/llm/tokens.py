@@ -20,6 +20,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 #: longer pre-tokens are encoded each time; with the entry counts this bounds the tables
 KEY_CHARS = 48
 #: a run of blanks and the word after it, or a line feed and the rest of its word
@@ -80,6 +82,21 @@ def frequent_pre_tokens(docs: DataFrame, text_col: str, task_entries: int) -> Da
     return docs.select(text_col).mapInArrow(run, "pre_token string, n long").groupBy("pre_token").agg(F.sum("n").alias("n"))
 
 
+def most_frequent(counted: DataFrame, entries: int) -> list[str]:
+    """At most ``entries`` pre-tokens: all above a count that a small histogram
+    gives, so that no task orders the candidates of all others."""
+    step = F.floor(8 * F.log2("n")).alias("step")
+    least, total = None, 0
+    for row in counted.groupBy(step).count().orderBy(F.desc("step")).collect():  # 8 a power of two
+        total += row["count"]
+        if total > entries:
+            break
+        least = row["step"]
+    if least is None:
+        return []
+    return sorted(r["pre_token"] for r in counted.where(step >= least).select("pre_token").collect())
+
+
 def token_counts(
     docs: DataFrame,
     model: str,
@@ -99,8 +116,7 @@ def token_counts(
     cache at most ``cache_entries``.
     """
     spark = docs.sparkSession
-    top = frequent_pre_tokens(docs, text_col, task_entries).orderBy(F.desc("n"), "pre_token").limit(table_entries).collect()
-    known = [r["pre_token"] for r in top]
+    known = most_frequent(written(frequent_pre_tokens(docs, text_col, task_entries), "pre-tokens"), table_entries)
     table = spark.sparkContext.broadcast(dict(zip(known, Encoder(model).lengths(known), strict=True)) if known else {})
     schema = T.StructType(
         [docs.schema[id_col], T.StructField("n_bytes", T.LongType()), T.StructField("n_tokens", T.LongType()), T.StructField("n_misses", T.LongType())]
