@@ -188,14 +188,16 @@ def near_links(prints: DataFrame, radius: int = 2, shard_rows: int = 16_384) ->
 def near_components(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 2, shard_rows: int = 16_384
 ) -> DataFrame:
-    """``(id, text_hash, fp, component_id)`` for every row of ``docs``.
+    """``(id, text_hash, fp, component_id, component_fp)`` for every row of ``docs``.
 
     Texts whose fingerprints differ in at most ``radius`` bits are linked;
     ``component_id`` is the smallest id that links reach, the row's own
     included.  Equal texts, and all texts without words (null too), share a
     fingerprint and so a component.  Rows with a null id take part; their id
     is never the smallest (a component of null ids only has a null id).
-    Repeated rows give repeated results; no rows give none.
+    ``component_fp`` is the component's smallest fingerprint, which no other
+    component has; ids may repeat, so ``component_id`` doesn't tell components
+    apart.  Repeated rows give repeated results; no rows give none.
     """
     prints = written(fingerprints(docs, id_col, text_col, shingle_words), "simhash")
     nodes = prints.groupBy("fp").agg(F.min(id_col).alias("least"))
@@ -203,23 +205,24 @@ def near_components(
     at = nodes.join(roots, nodes["fp"] == roots["node"], "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     at = written(at, "simhash-roots")
     smallest = at.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = at.join(smallest, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select(id_col, "text_hash", "fp", "component_id")
+    named = at.join(smallest, "root").select("fp", "component_id", F.col("root").alias("component_fp"))
+    return prints.join(named, "fp").select(id_col, "text_hash", "fp", "component_id", "component_fp")
 
 
 def near_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 3, radius: int = 2, shard_rows: int = 16_384
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; all columns stay.
+    """One row of each component of ``docs``; all columns stay.
 
+    It is the one of the smallest ``(id, fp, text_hash)``, null ids last.
     Rows that repeat the id and the text of a kept row are dropped as copies;
-    of rows that share that id but not the text, one of the smallest
-    ``(fp, text_hash)`` stays.
+    rows that share only the id, or have none, are told apart by their texts.
     """
     found = near_components(docs, id_col, text_col, shingle_words, radius, shard_rows)
-    best = found.groupBy("component_id").agg(
+    best = found.groupBy("component_fp").agg(
         F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "fp", "text_hash")).alias("best")
     )
     keep = best.select(F.col("best.id").alias("__id"), F.col("best.text_hash").alias("__hash"))
-    same = docs[id_col].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text_col]) == F.col("__hash"))
-    return docs.join(keep, same, "left_semi").dropDuplicates([id_col])
+    hashed = docs.withColumn("__text_hash", F.xxhash64(docs[text_col]))
+    same = hashed[id_col].eqNullSafe(F.col("__id")) & (hashed["__text_hash"] == F.col("__hash"))
+    return hashed.join(keep, same, "left_semi").dropDuplicates([id_col, "__text_hash"]).drop("__text_hash")

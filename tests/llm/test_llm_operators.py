@@ -147,6 +147,15 @@ def test_near_dedup_keeps_one_of_each_group(docs):
     assert sorted(ids) == sorted(x.component_id for x in found)
 
 
+def test_near_dedup_tells_rows_without_own_ids_apart(spark):
+    r = random.Random(9)
+    texts = [prose(r, 80) for _ in range(9)]
+    kept = [(None, texts[0]), (None, texts[1]), (None, texts[2]), (1, texts[3]), (1, texts[4]), (2, texts[5]), (3, texts[6]), (3, texts[7]), (4, None)]
+    copies = [(None, texts[0]), (None, texts[5]), (1, texts[4]), (5, texts[3]), (None, None), (None, texts[6].replace(" ", "\t"))]
+    docs = spark.createDataFrame(kept + copies, "doc_id long, text string").repartition(3)
+    assert pairs(map(tuple, simhash.near_dedup(docs).collect())) == pairs(kept)
+
+
 def test_token_counts_equal_the_library(docs):
     import public_tokenizers
     import sentencepiece
