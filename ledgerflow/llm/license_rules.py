@@ -1,6 +1,7 @@
 """Signature rules of the licence scan.
 
-A rule: gate (a lower-case literal that any match contains), priority (1 is
+A rule: gate (a lower-case literal that any match contains, once lower-cased
+and with one blank for each run of white space), priority (1 is
 the strongest), label, confidence and regex (ASCII case-insensitive; never
 matches the empty string).  ``NAMES`` has a hand-written regex for each
 licence's name; ``SENTENCES`` has signature sentences.  ``rules()`` orders
@@ -69,11 +70,11 @@ NAMES: dict[str, tuple[str, str, str]] = {
     "sspl-1.0": ("server side public", r"SSPL-1\.0", r"\bServer\s+Side\s+Public\s+Licen[cs]e\b"),
     "elastic-2.0": ("elastic", r"Elastic-2\.0", rf"\bElastic\s+Licen[cs]e{V}2(?:\.0)?\b"),
     "zlib": ("zlib", r"Zlib", r"\bzlib(?:/libpng)?\s+Licen[cs]e\b"),
-    "libpng": ("libpng", r"libpng-2\.0", r"\bPNG\s+Reference\s+Library\s+Licen[cs]e\b|\blibpng\s+Licen[cs]e\b"),
+    "libpng": ("png", r"libpng-2\.0", r"\bPNG\s+Reference\s+Library\s+Licen[cs]e\b|\blibpng\s+Licen[cs]e\b"),
     "openssl": ("openssl", r"OpenSSL", r"\bOpenSSL\s+Licen[cs]e\b"),
     "curl": ("curl", r"curl", r"\bcurl\s+Licen[cs]e\b"),
     "php-3.01": ("php", r"PHP-3\.01?", r"\bPHP\s+Licen[cs]e\b"),
-    "python-2.0": ("python", r"(?:PSF|Python)-2\.0", r"\b(?:PSF|Python(?:\s+Software\s+Foundation)?)\s+Licen[cs]e\b"),
+    "python-2.0": ("licen", r"(?:PSF|Python)-2\.0", r"\b(?:PSF|Python(?:\s+Software\s+Foundation)?)\s+Licen[cs]e\b"),
     "ruby": ("ruby", r"Ruby", r"\bRuby\s+Licen[cs]e\b"),
     "postgresql": ("postgresql", r"PostgreSQL", r"\bPostgreSQL\s+Licen[cs]e\b"),
     "ncsa": ("ncsa", r"NCSA", r"\b(?:University\s+of\s+Illinois/)?NCSA\s+(?:Open\s+Source\s+)?Licen[cs]e\b"),
@@ -117,7 +118,7 @@ SENTENCES = (
     ("advertising materials", 1, "bsd-4-clause", 0.9, r"All\s+advertising\s+materials\s+mentioning\s+features\s+or\s+use\s+of\s+this\s+software"),
     ("apache.org/licenses", 1, "apache-2.0", 0.95, r"https?://(?:www\.)?apache\.org/licenses/LICENSE-2\.0"),
     ("apache.org/licenses", 2, "apache", 0.8, r"https?://(?:www\.)?apache\.org/licenses/?"),
-    ("in compliance with the license", 2, "apache-2.0", 0.7, r"you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+Licen[cs]e"),
+    ("in compliance with the licen", 2, "apache-2.0", 0.7, r"you\s+may\s+not\s+use\s+this\s+file\s+except\s+in\s+compliance\s+with\s+the\s+Licen[cs]e"),
     ("free software", 1, "gpl", 0.85, r"This\s+program\s+is\s+free\s+software[;:,]\s+you\s+can\s+redistribute\s+it"),
     ("either version", 1, "gpl-2.0", 0.85, r"either\s+version\s+2\s+of\s+the\s+Licen[cs]e,\s+or\s+\(at\s+your\s+option\)\s+any\s+later"),
     ("either version", 1, "gpl-3.0", 0.85, r"either\s+version\s+3\s+of\s+the\s+Licen[cs]e,\s+or\s+\(at\s+your\s+option\)\s+any\s+later"),
@@ -127,7 +128,7 @@ SENTENCES = (
     ("gnu gpl", 3, "gpl", 0.7, r"\bGNU\s+GPL(?:v?[23](?:\.0)?)?\b"),
     ("gplv2", 2, "gpl-2.0", 0.85, r"\bGPLv2(?:\.0)?\+?"),
     ("gplv3", 2, "gpl-3.0", 0.85, r"\bGPLv3(?:\.0)?\+?"),
-    ("mozilla.org/mpl", 1, "mpl", 0.9, r"https?://(?:www\.)?mozilla\.org/(?:[a-z-]+/)?MPL/(?:[12]\.[01])?"),
+    ("mozilla.org/", 1, "mpl", 0.9, r"https?://(?:www\.)?mozilla\.org/(?:[a-z-]+/)?MPL/(?:[12]\.[01])?"),
     ("eclipse.org/legal", 1, "epl-2.0", 0.85, r"https?://(?:www\.)?eclipse\.org/legal/epl-(?:2\.0|v20)"),
     ("opensource.org/licenses", 1, "mit", 0.9, r"https?://(?:www\.)?opensource\.org/licenses/MIT\b"),
     ("opensource.org/licenses", 2, "open-source", 0.6, r"https?://(?:www\.)?opensource\.org/licenses/[\w.-]+"),

@@ -1,7 +1,8 @@
 """Licence scan by ordered signature rules, with DataFrame functions only.
 
-A rule's gate, a literal, is looked for first; only rules whose gate a text
-has are tried.  A detection inside the interval of another one of the same or
+A rule's gate, a literal, is looked for first, in a lower-cased copy with one
+blank for each run of white space; only rules whose gate that has are tried, on
+the text itself.  A detection inside the interval of another one of the same or
 a stronger priority is suppressed.
 """
 
@@ -15,6 +16,8 @@ from .license_rules import Rule, rules
 
 #: what separates words, once A-Z are lower-cased
 NO_WORD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+#: the runs of white space (a regex's \s+) that aren't one blank
+WRAPPED = r"[\t\n\x0B\f\r]\s*| \s+"
 #: phrases and their base labels
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 _DETECTION = "array<struct<begin:bigint,neg_stop:bigint,priority:int,label:string,confidence:double>>"
@@ -72,7 +75,7 @@ def detections(text: Column, signatures: list[Rule]) -> Column:
             for r in signatures
         ]
     )
-    open_gates = let(F.lower(text), lambda low: F.filter(gates, lambda g: F.contains(low, g)))
+    open_gates = let(F.regexp_replace(F.lower(text), WRAPPED, " "), lambda low: F.filter(gates, lambda g: F.contains(low, g)))
 
     def tried(open_: Column) -> Column:
         chosen = F.filter(table, lambda r: F.array_contains(open_, r["gate"]))

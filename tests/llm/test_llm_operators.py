@@ -436,6 +436,53 @@ def test_license_detections(spark):
     assert dict((x.i, x.k.n) for x in got)[6] == 500
 
 
+def sample(r, parsed):
+    """A text that a parsed regex matches, its look-arounds aside; white space comes in runs of any kind."""
+    out = []
+    for op, arg in parsed:
+        op = str(op)
+        if op == "LITERAL":
+            out.append(r.choice([chr(arg).lower(), chr(arg).upper()]))
+        elif op == "IN":
+            members = [(str(kind), value) for kind, value in arg]
+            if members[0][0] == "NEGATE":
+                out.append("q")
+                continue
+            kind, value = r.choice(members)
+            named = {"CATEGORY_SPACE": " \t\n\r\f\v", "CATEGORY_DIGIT": "0123456789", "CATEGORY_WORD": "aZ_9", "CATEGORY_NOT_SPACE": "q.-"}
+            out.append(chr(value) if kind == "LITERAL" else chr(r.randint(*value)) if kind == "RANGE" else r.choice(named[str(value)]))
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, body = arg
+            out += [sample(r, body) for _ in range(r.randint(low, min(int(high), low + 2)))]
+        elif op == "SUBPATTERN":
+            out.append(sample(r, arg[3]))
+        elif op == "BRANCH":
+            out.append(sample(r, r.choice(arg[1])))
+        elif op == "NOT_LITERAL":
+            out.append("q")
+        else:
+            assert op in ("AT", "ASSERT", "ASSERT_NOT"), op
+    return "".join(out)
+
+
+def test_license_gates_drop_no_match(spark):
+    r, signatures, texts = random.Random(12), license_rules.rules(), []
+    for rule in signatures:
+        found = [m[0] for m in (re.search(rule.regex, sample(r, re._parser.parse(rule.regex)), re.A) for _ in range(60)) if m]
+        assert found, rule
+        for text in found:
+            assert rule.gate in re.sub(r"\s+", " ", text.lower(), flags=re.A), (rule, text)
+        texts.append(f"Notice:\n{found[0]} applies")
+    texts += ["GNU General\nPublic License, version 2.0", "Permission is  hereby\tgranted, free of charge, to any\r\nperson obtaining a copy", "the PSF License", "https://www.mozilla.org/en-US/MPL/2.0"]
+    wrapped = ["GNU Lesser General Public License v2.1, or the GNU General Public License, version 3", "PROVIDED WITHOUT ANY WARRANTY under the PNG Reference Library License", "you may not use this file except in compliance with the Licence"]
+    texts += [re.sub(" ", blank, t) for t in wrapped for blank in ("\n", "\t", "\r", "\f", "\v")]
+    everywhere = [rule._replace(gate="") for rule in signatures]
+    got = spark.createDataFrame(list(enumerate(texts)), "i int, text string").repartition(8).select("i", licenses.kept(licenses.detections(F.col("text"), signatures)).alias("k")).collect()
+    for x in got:
+        labels, kept = brute_detections(texts[x.i], everywhere)
+        assert labels and (sorted(x.k.labels), x.k.n) == (labels, len(kept)), texts[x.i]
+
+
 def labelled(spark, n=300):
     r = random.Random(4)
     good = [(i, prose(r, r.randint(5, 400)), 1) for i in range(n)]
