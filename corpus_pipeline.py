@@ -22,7 +22,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated sentence spans are cut out; a document of which nothing is left goes."""
-    cut = substrings.dedup_spans(docs.withColumn("__whole", F.col("text")))
+    cut = substrings.dedup_spans(docs.withColumn("__whole", F.col("text")), floor_words=40)
     return cut.where(F.col("text").isNull() | (F.col("text") != "") | (F.col("__whole") == "")).drop("__whole")
 
 

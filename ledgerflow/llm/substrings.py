@@ -20,8 +20,12 @@ def _trimmed(piece: Column) -> Column:
     return F.regexp_replace(piece, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+\z", "")
 
 
-def _spans(text: Column, run: int, min_words: int) -> Column:
-    """array of (pos, size, h1, h2): runs of ``run`` sentences (all, where there are fewer) of at least ``min_words`` words."""
+def _spans(text: Column, run: int, min_words: int, floor_words: int | None) -> Column:
+    """array of (pos, size, h1, h2, words): runs of ``run`` sentences (all, where there are fewer) of at least ``min_words`` words.
+
+    floor_words: also every run of fewer sentences that has so many words and,
+    around runs of too few words, the shortest that has so many from each place.
+    """
     stripped = F.transform(sentences(text), _trimmed)
     marks = F.transform(
         stripped,
@@ -35,30 +39,58 @@ def _spans(text: Column, run: int, min_words: int) -> Column:
     def spans(m: Column) -> Column:
         size = F.least(F.size(m), F.lit(run))
 
-        def span(i: Column) -> Column:
-            part = F.slice(m, i + 1, size)
-            words = F.aggregate(part, F.lit(0), lambda n, x: n + x["words"])
+        def words(i: Column, n: Column) -> Column:
+            return F.aggregate(F.slice(m, i + 1, n), F.lit(0), lambda total, x: total + x["words"])
+
+        def span(i: Column, n: Column) -> Column:
+            part = F.slice(m, i + 1, n)
             return F.struct(
-                i.alias("pos"), size.alias("size"), F.xxhash64(F.transform(part, lambda x: x["h1"])).alias("h1"), F.xxhash64(F.transform(part, lambda x: x["h2"])).alias("h2"), words.alias("words")
+                i.alias("pos"), n.alias("size"), F.xxhash64(F.transform(part, lambda x: x["h1"])).alias("h1"), F.xxhash64(F.transform(part, lambda x: x["h2"])).alias("h2"), words(i, n).alias("words")
             )
 
+        def reached(i: Column) -> Column:
+            # only the first sentence of a text can be without words
+            def step(at: Column, x: Column) -> Column:
+                longer = F.struct(at["pos"].alias("pos"), (at["n"] + 1).alias("n"), (at["words"] + x["words"]).alias("words"))
+                return F.when(at["words"] >= floor_words, at).otherwise(longer)
+
+            start = F.struct(i.alias("pos"), F.lit(0).alias("n"), F.lit(0).alias("words"))
+            return F.aggregate(F.slice(m, i + 1, floor_words + 1), start, step)
+
+        def thin(r: Column) -> Column:
+            inside = F.sequence(r["pos"], r["pos"] + r["n"] - run)
+            return F.when(r["n"] >= run, F.exists(inside, lambda i: words(i, F.lit(run)) < min_words)).otherwise(False)
+
+        def with_others(found: Column) -> Column:
+            none = F.slice(found, 1, 0)
+            parts = [found]
+            for n in range(1, run):
+                places = F.filter(F.sequence(F.lit(0), F.size(m) - n), lambda i: words(i, F.lit(n)) >= floor_words)
+                parts.append(F.when(F.size(m) > n, F.transform(places, lambda i: span(i, F.lit(n)))).otherwise(none))
+            around = F.filter(F.transform(starts, reached), lambda r: (r["words"] >= floor_words) & thin(r))
+            parts.append(F.when(F.size(found) < F.size(starts), F.transform(around, lambda r: span(r["pos"], r["n"]))).otherwise(none))
+            return F.concat(*parts)
+
         starts = F.sequence(F.lit(0), F.size(m) - size)
-        return F.when(F.size(m) > 0, F.filter(F.transform(starts, span), lambda x: x["words"] >= min_words))
+        found = F.filter(F.transform(starts, lambda i: span(i, size)), lambda x: x["words"] >= min_words)
+        return F.when(F.size(m) > 0, found if floor_words is None else let(found, with_others))
 
     return let(marks, spans)
 
 
-def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, min_words: int = 8) -> DataFrame:
+def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, min_words: int = 8, floor_words: int | None = None) -> DataFrame:
     """``(id, text_hash, removed)``: the places of the sentences of a document
     that a non-first repeated span covers; documents without any are left out.
 
     A span is ``run`` consecutive sentences (all sentences of a text of fewer)
     with at least ``min_words`` words, compared without the blanks around each
-    sentence, by 128 hash bits.  The first of equal spans is the one with the
+    sentence, by 128 hash bits; with ``floor_words``, so is any run of
+    sentences that has so many words.  A passage's sentences that are whole on
+    one side only are not compared.  The first of equal spans is the one with the
     smallest (id, hash of the text, place).  Rows of equal id and text are one
     document.  A null id comes first.
     """
-    spans = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.explode(_spans(F.col(text_col), run, min_words)).alias("s"))
+    spans = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("text_hash"), F.explode(_spans(F.col(text_col), run, min_words, floor_words)).alias("s"))
     spans = spans.select("id", "text_hash", "s.pos", "s.size", "s.h1", "s.h2")
     place = F.struct("id", "text_hash", "pos")
     first = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last")).where(~F.col("first").eqNullSafe(F.col("last")))
@@ -68,13 +100,13 @@ def repeated_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return covered.select(F.col("id").alias(id_col), "text_hash", removed.alias("removed"))
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, min_words: int = 8, counts: bool = False) -> DataFrame:
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", run: int = 3, min_words: int = 8, counts: bool = False, floor_words: int | None = None) -> DataFrame:
     """``docs`` with the repeated sentences cut out of their texts; all rows and columns stay.
 
-    counts: adds n_sentences and n_removed.  A null text stays null; a text of
+    counts: adds n_sentences and n_removed.  floor_words: see ``repeated_sentences``.  A null text stays null; a text of
     which nothing is left is empty.
     """
-    gone = repeated_sentences(docs, id_col, text_col, run, min_words).select(
+    gone = repeated_sentences(docs, id_col, text_col, run, min_words, floor_words).select(
         F.col(id_col).alias("__gone_id"), F.col("text_hash").alias("__gone_hash"), F.col("removed").alias("__removed")
     )
     same = docs[id_col].eqNullSafe(F.col("__gone_id")) & (F.xxhash64(docs[text_col]) == F.col("__gone_hash"))

@@ -389,6 +389,21 @@ def test_substring_dedup_removes_planted_passages(spark):
     assert {x.text for x in substrings.dedup_spans(spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")).collect()} == set(clean)
 
 
+def test_substring_dedup_cuts_runs_that_reach_the_floor(spark):
+    import corpus_pipeline
+
+    r = random.Random(10)
+    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    one, two = f"{words(55)}. ", f"{words(30)}. {words(25)}. "
+    tiny = "".join(f"{words(2)}. " for _ in range(30))
+    own = [f"{words(12)}. {words(9)}. " for _ in range(10)]
+    small = f"{words(20)}. "
+    texts = [one, two, own[0] + tiny + own[1], own[2] + one + own[3], own[4] + two + own[5], own[6] + tiny + own[7], own[8] + small, small + own[9]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    want = texts[:3] + [own[2] + own[3], own[4] + own[5], own[6] + own[7]] + texts[6:]
+    assert {x.doc_id: x.text for x in corpus_pipeline.substring_dedup(spark, docs, "").collect()} == dict(enumerate(want))
+
+
 PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
 
 
