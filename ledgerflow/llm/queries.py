@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, quality_cnn, quality_rules, simhash, substrings, tokens, warc
-from .common import table
+from . import decontaminate, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, substrings, tokens, warc
+from .common import let, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -90,6 +90,37 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """A tenth of the texts, by the checksum of the id, become periodic from a word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    g = F.floor(h / 10)
+
+    def periodic_from(words: Column) -> Column:
+        n = F.size(words).cast("long")
+        a = F.pmod(g, n)
+        p = 1 + F.floor((n - a) / (3 + F.pmod(g, F.lit(8))))
+        return F.when(n > 0, F.array_join(F.transform(words, lambda w, i: F.when(i < a, w).otherwise(F.get(words, (a + F.pmod(i - a, p)).cast("int")))), " "))
+
+    return docs.withColumn("text", F.when(F.pmod(h, F.lit(10)) == 0, let(words_of(F.col("text")), periodic_from)).otherwise(F.col("text")))
+
+
+@query
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = with_planted_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.periodic_runs(docs.select("doc_id", "text"), min_exponent=4, min_length=6)
+    runs, best = F.col("found.runs"), periodic.longest(F.col("found.runs"))
+    return found.select(
+        "doc_id",
+        F.size(runs).cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(periodic.listed(runs).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("found.collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 #: words between the blanks of the contracts, and lower-cased A-Z, in DuckDB
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

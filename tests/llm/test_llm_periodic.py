@@ -1,0 +1,93 @@
+"""Periodic runs against a brute-force version."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerflow.llm import periodic, queries
+
+
+def brute_runs(words, min_exponent=4, min_length=6):
+    found = {}
+    for q in range(1, len(words) // min_exponent + 1):
+        i = 0
+        while i < len(words) - q:
+            start = i
+            while i < len(words) - q and words[i] == words[i + q]:
+                i += 1
+            if (length := i + q - start) >= max(min_length, min_exponent * q) and i > start:
+                found.setdefault((start, length), q)
+            i += i == start
+    return sorted(((s, n, q) for (s, n), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def brute_row(doc_id, text):
+    words = re.findall("[^\x20\x09-\x0D]+", text or "")
+    n = len(words)
+    if doc_id is not None and n and (h := zlib.crc32(str(doc_id).encode())) % 10 == 0:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+    runs = brute_runs(words)
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=(None, None, None))
+    dropped = {i for s, m, q in runs for i in range(s + q, s + m)}
+    sha = [hashlib.sha256(x.encode()).hexdigest() for x in ("".join(f"{s},{m},{q}\n" for s, m, q in runs), " ".join(w for i, w in enumerate(words) if i not in dropped))]
+    return (doc_id, len(runs), *best, 1000 * best[1] // best[2] if runs else None, *sha)
+
+
+def test_runs_of_random_words():
+    r = random.Random(1)
+    for _ in range(800):
+        docs = []
+        for _ in range(r.randint(1, 5)):
+            n, letters = r.randint(0, 60), r.choice(["a", "ab", "abc"])
+            words = [r.choice(letters).encode() for _ in range(n)]
+            if n and r.random() < 0.6:
+                p, a = r.randint(1, max(1, n // 3)), r.randrange(n)
+                words = [words[i] if i < a else words[a + (i - a) % p] for i in range(n)]
+            docs.append(words)
+        for e in (2, 4):
+            assert periodic.document_runs(docs, e, 6) == [brute_runs(w, e, 6) for w in docs]
+
+
+def test_chunks_of_lookups(monkeypatch):
+    words = [b"a", b"b"] * 300 + [b"c"] + [b"a"] * 200
+    want = periodic.document_runs([words, words[::-1]], 4, 6)
+    monkeypatch.setattr(periodic, "CHUNK", 7)
+    assert periodic.document_runs([words, words[::-1]], 4, 6) == want
+
+
+def test_query_against_brute_force(spark, scratch):
+    r = random.Random(2)
+    texts = [None, "", " \t\n", "one", "a a a a a a", "a a a a a", "x y x y x y x y", "é b " * 9, "w " * 5000, " ".join(str(i) for i in range(3000))]
+    texts += [" ".join(r.choice("ab") * r.randint(1, 2) for _ in range(r.randint(1, 200))) + r.choice(["", "\n", "\tz"]) for _ in range(60)]
+    rows = [(i, t, "en", "s", 1) for i, t in enumerate(texts)]
+    rows += [rows[4], rows[4], (None, texts[6], None, None, None), (None, None, None, None, None), (-5, texts[8], "en", "s", 2)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3).write.parquet(f"{scratch}/documents.parquet")
+    got = queries.op13_periodic_runs(spark, scratch)
+    columns = ["doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"]
+    assert sorted(map(tuple, got.select(columns).collect()), key=repr) == sorted((brute_row(x[0], x[1]) for x in rows), key=repr)
+    assert sum(zlib.crc32(str(x[0]).encode()) % 10 == 0 for x in rows) > 3
+
+
+def test_all_rows_and_columns_stay(spark):
+    docs = spark.createDataFrame([(1, "a a a a a a b", "x", 5), (1, "a a a a a a b", "x", 5), (None, None, None, None)], "doc_id long, text string, found string, runs int")
+    got = periodic.periodic_runs(docs)
+    assert got.columns == [*docs.columns, "found_"]
+    assert sorted(got.select(*docs.columns).collect(), key=repr) == sorted(docs.collect(), key=repr)
+    assert {x.found_.collapsed for x in got.collect()} == {"a b", ""}
+    assert periodic.periodic_runs(docs.limit(0)).count() == 0
+    with pytest.raises(ValueError):
+        periodic.periodic_runs(docs, min_exponent=1)
+
+
+def test_the_longest_run_breaks_ties_by_start(spark):
+    docs = spark.createDataFrame([("a a a a a a b b b b b b",)], "text string")
+    found = periodic.periodic_runs(docs)
+    assert found.select(periodic.longest(F.col("found.runs"))["start"]).first()[0] == 0
+    assert found.select(periodic.listed(F.col("found.runs"))).first()[0] == "0,6,1\n6,6,1\n"

@@ -25,7 +25,7 @@ def duck():
 def test_all_registered():
     names = set(__spark_entry__.queries())
     assert set(queries.QUERIES) | {"pipeline"} <= names
-    assert sorted(int(re.match(r"op(\d+)_", x)[1]) for x in queries.QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", x)[1]) for x in queries.QUERIES) == list(range(1, 14))
     assert set(queries.ORACLE) <= set(__spark_entry__.oracle_sql())
 
 
