@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, substrings, tokens, warc
+from . import decontaminate, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, spelling, substrings, tokens, warc
 from .common import let, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,12 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = spelling.spelling_variants(table(spark, sf_dir, "documents"), "[A-Za-z\u00C0-\u00FF]+", spelling.with_lost_letters, min_length=7, min_count=2, ratio=10)
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """A tenth of the texts, by the checksum of the id, become periodic from a word on."""
     h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
@@ -179,4 +185,20 @@ g AS (SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id)
 SELECT t.doc_id, len(p)::INT AS n_sentences, coalesce(len(gone), 0)::INT AS n_removed,
        CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(p, lambda x, i: NOT list_contains(gone, i)), '') END AS text
 FROM t LEFT JOIN g USING (doc_id)""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE r AS (SELECT coalesce(doc_id::VARCHAR, '') AS d, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+      FROM (SELECT doc_id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents)),
+c AS (SELECT d, run, count(*) AS n, hex(encode(d || ':' || run)) AS b FROM r WHERE length(run) >= 7 GROUP BY d, run),
+h AS (SELECT run, n, xor(4294967295, list_reduce(list_concat([4294967295::BIGINT], list_transform(range(0, length(b), 2), lambda i: ('0x' || substr(b, i + 1, 2))::BIGINT)),
+               lambda x, y: list_reduce(list_concat([xor(x, y)], range(8)), lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END))) AS h FROM c),
+s AS (SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n FROM h),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM s WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2),
+x AS (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(generate_series(1, length(word))) AS i FROM w)),
+p AS (SELECT a.word, a.n, b.word AS near, b.n AS m FROM x a JOIN x b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+      UNION SELECT a.word, a.n, w.word, w.n FROM x a JOIN w ON a.rest = w.word
+      UNION SELECT w.word, w.n, a.word, a.n FROM x a JOIN w ON a.rest = w.word),
+g AS (SELECT word, any_value(n) AS n, count(*) AS n_near, max(m) AS m, arg_min(near, (-m, near)) AS near FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN m >= 10 * w.n THEN near END AS form, CASE WHEN m >= 10 * w.n THEN m END AS form_n FROM w LEFT JOIN g USING (word)),
+t AS (SELECT word, word AS root FROM f WHERE form IS NULL UNION ALL SELECT f.word, t.root FROM t JOIN f ON f.form = t.word)
+SELECT word, form, root, n, n_near, form_n::BIGINT AS form_n FROM f JOIN t USING (word)""",
 }
