@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, language, licenses, mixing, periodic, quality_cnn, quality_rules, simhash, spelling, substrings, tokens, warc
+from . import decontaminate, language, licenses, mixing, periodic, personal, quality_cnn, quality_rules, simhash, spelling, substrings, tokens, warc
 from .common import let, table, words_of
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,6 +90,13 @@ def op10_quality_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_cnn.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal.personal_spans(table(spark, sf_dir, "documents"))
+    counts = [F.size(F.filter(F.col("base.kind"), lambda x: x == kind)).cast("long").alias(f"n_{kind}") for kind in personal.BASE]
+    return found.select("doc_id", *counts, F.sha2(personal.listed(F.col("base")).cast("binary"), 256).alias("base_sha256"), personal.listed(F.col("spans")).alias("spans"))
+
+
 @query
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = spelling.spelling_variants(table(spark, sf_dir, "documents"), "[A-Za-z\u00C0-\u00FF]+", spelling.with_lost_letters, min_length=7, min_count=2, ratio=10)
