@@ -7,9 +7,11 @@ of payload.  Spark's text writer puts the records one after the other, with the
 CR LF CR LF that ends a record as line separator, into gzip files: each is a
 WARC file, written by Spark's commit protocol to whatever store the path names.
 
-Reading: a file is one stream, since gzip can't be split.  The reader follows
+Reading: a gzip file is one stream, since gzip can't be split.  The reader follows
 Content-Length, gives a row for each chunk as it comes, and carries the
-incremental SHA-256 of the payload so far; of no record more than a chunk is held.
+incremental SHA-256 of the payload so far.  Of a segmented record, as written
+here, no more than a chunk is held; of another one no more than what stands
+between two empty lines, which is the unit that Spark's text reader gives.
 """
 
 from __future__ import annotations
@@ -44,20 +46,15 @@ CHUNKS = T.StructType(
 )
 
 
-def with_duplicates(pages: DataFrame, id_col: str, payload: Column, min_bytes: int) -> DataFrame:
-    """``pages`` with __payload, __bytes, __digest and __first (the id to refer to, else null)."""
-    rows = pages.withColumn("__payload", F.coalesce(payload.cast("binary"), F.lit(b""))).withColumns(
-        {"__bytes": F.length("__payload").cast("long"), "__digest": F.sha2("__payload", 256)}
+def with_duplicates(pages: DataFrame, id_col: str, uri_col: str, payload_col: str, min_bytes: int) -> DataFrame:
+    """``(id, uri, payload, bytes, digest, first)`` of the pages; first is the id to refer to, else null."""
+    payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
+    rows = pages.select(F.col(id_col).alias("id"), F.col(uri_col).alias("uri"), payload.alias("payload")).withColumns(
+        {"bytes": F.length("payload").cast("long"), "digest": F.sha2("payload", 256)}
     )
-    firsts = (
-        rows.where(F.col("__bytes") >= min_bytes)
-        .groupBy(F.col("__digest").alias("__equal"))
-        .agg(F.min(id_col).alias("__first"), F.count("*").alias("__n"))
-        .where("__n > 1")
-        .drop("__n")
-    )
-    joined = rows.join(firsts, F.col("__digest") == F.col("__equal"), "left").drop("__equal")
-    return joined.withColumn("__first", F.when(~F.col("__first").eqNullSafe(F.col(id_col)), F.col("__first")))
+    firsts = rows.where(F.col("bytes") >= min_bytes).groupBy(F.col("digest").alias("equal")).agg(F.min("id").alias("first"), F.count("*").alias("n"))
+    joined = rows.join(firsts.where("n > 1").drop("n"), F.col("digest") == F.col("equal"), "left").drop("equal")
+    return joined.withColumn("first", F.when(~F.col("first").eqNullSafe(F.col("id")), F.col("first")))
 
 
 def _field(name: str, value: Column) -> Column:
@@ -83,28 +80,28 @@ def records(pages: DataFrame, id_col: str = "page_id", uri_col: str = "url", pay
     ones are all responses.  A null payload is empty; a null URI is left out.
     Rows with a null id have an empty id and are never referred to.
     """
-    rows = with_duplicates(pages, id_col, F.col(payload_col), min_bytes)
-    revisit = F.col("__first").isNotNull()
-    chunks = F.greatest(F.lit(1), F.ceil(F.col("__bytes") / chunk_bytes)).cast("int")
-    rows = rows.withColumn("__chunks", F.when(revisit, 1).otherwise(chunks))
-    rows = rows.withColumn("__no", F.explode(F.sequence(F.lit(1), F.col("__chunks"))))
-    payload = F.when(revisit, F.lit(b"")).otherwise(F.substring("__payload", (F.col("__no") - 1) * chunk_bytes + 1, F.lit(chunk_bytes)))
-    head, more = F.col("__no") == 1, F.col("__chunks") > 1
-    http = F.when(head, F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"), _field("Content-Length", F.col("__bytes").cast("string")), F.lit("\r\n"))).otherwise("")
+    rows = with_duplicates(pages, id_col, uri_col, payload_col, min_bytes)
+    revisit = F.col("first").isNotNull()
+    chunks = F.greatest(F.lit(1), F.ceil(F.col("bytes") / chunk_bytes)).cast("int")
+    rows = rows.withColumn("chunks", F.when(revisit, 1).otherwise(chunks))
+    rows = rows.withColumn("no", F.explode(F.sequence(F.lit(1), F.col("chunks"))))
+    payload = F.when(revisit, F.lit(b"")).otherwise(F.substring("payload", (F.col("no") - 1) * chunk_bytes + 1, F.lit(chunk_bytes)))
+    head, more = F.col("no") == 1, F.col("chunks") > 1
+    http = F.when(head, F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"), _field("Content-Length", F.col("bytes").cast("string")), F.lit("\r\n"))).otherwise("")
     none = F.lit("")
-    record_id = _urn(F.col(id_col).cast("string"))
-    segment = F.concat(F.lit(f"<{URN}"), F.coalesce(F.col(id_col).cast("string"), none), F.lit("/"), F.col("__no").cast("string"), F.lit(">"))
+    record_id = _urn(F.col("id").cast("string"))
+    segment = F.concat(F.lit(f"<{URN}"), F.coalesce(F.col("id").cast("string"), none), F.lit("/"), F.col("no").cast("string"), F.lit(">"))
     lines = F.concat(
         F.lit("WARC/1.1\r\n"),
         _field("WARC-Type", F.when(~head, "continuation").when(revisit, "revisit").otherwise("response")),
         _field("WARC-Record-ID", F.when(head, record_id).otherwise(segment)),
         _field("WARC-Date", F.lit(date)),
-        F.when(head, F.coalesce(_field("WARC-Target-URI", _clean(F.col(uri_col))), none)).otherwise(none),
-        F.when(head, _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "__digest"))).otherwise(none),
-        F.when(revisit, F.concat(_field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), _field("WARC-Refers-To", _urn(F.col("__first").cast("string"))))).otherwise(none),
-        F.when(more, _field("WARC-Segment-Number", F.col("__no").cast("string"))).otherwise(none),
+        F.when(head, F.coalesce(_field("WARC-Target-URI", _clean(F.col("uri"))), none)).otherwise(none),
+        F.when(head, _field("WARC-Payload-Digest", F.concat(F.lit("sha256:"), "digest"))).otherwise(none),
+        F.when(revisit, F.concat(_field("WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")), _field("WARC-Refers-To", _urn(F.col("first").cast("string"))))).otherwise(none),
+        F.when(more, _field("WARC-Segment-Number", F.col("no").cast("string"))).otherwise(none),
         F.when(~head, _field("WARC-Segment-Origin-ID", record_id)).otherwise(none),
-        F.when(more & (F.col("__no") == F.col("__chunks")), _field("WARC-Segment-Total-Length", F.col("__bytes").cast("string"))).otherwise(none),
+        F.when(more & (F.col("no") == F.col("chunks")), _field("WARC-Segment-Total-Length", F.col("bytes").cast("string"))).otherwise(none),
         F.when(head, "Content-Type: application/http;msgtype=response\r\n").otherwise(none),
         _field("Content-Length", (F.length(http) + F.length(payload)).cast("string")),
         F.lit("\r\n"),
@@ -211,7 +208,8 @@ def read_archives(spark: SparkSession, path: str, chunk_bytes: int = 1 << 20) ->
     payload_bytes and digest_so_far cover the payload up to and with the chunk;
     on the row with ``last_chunk`` they are the whole payload's.  A revisit has
     one empty chunk; declared_digest is its payload's.  No archives give no
-    rows; a damaged record raises.
+    rows; a damaged record raises.  Other writers' archives must be gzip files,
+    which Spark reads as a whole: an uncompressed one may be split in a record.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -238,18 +236,23 @@ def read_archives(spark: SparkSession, path: str, chunk_bytes: int = 1 << 20) ->
 
 def resolved(chunks: DataFrame) -> DataFrame:
     """A row for each record: record_id, record_type, target_uri, refers_to,
-    payload_bytes, payload_digest; a revisit has those of the response that it
-    refers to.  A payload whose digest isn't the declared one raises."""
+    payload_bytes, payload_digest; a revisit has those of the response with the
+    id that it refers to and its digest.
+
+    Records that share an id are kept one by one.  A revisit whose response
+    isn't there has null payload_bytes and payload_digest.  An empty id, which a
+    null one is written as, is null.  A payload whose digest isn't the declared
+    one raises.  No records give no rows.
+    """
     ends = written(chunks.where("last_chunk").drop("chunk", "last_chunk"), "warc-records")
     agree = F.col("digest_so_far") == F.col("declared_digest")
     responses = ends.where("record_type = 'response'").withColumn(
         "payload_digest", F.when(agree, F.col("digest_so_far")).otherwise(F.raise_error(F.concat(F.lit("damaged payload: "), "record_id")))
     )
-    names = ["record_id", "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest"]
-    origin = responses.groupBy(F.col("record_id").alias("origin")).agg(F.struct(F.max("payload_bytes").alias("n"), F.max("payload_digest").alias("digest")).alias("whole"))
-    revisits = ends.where("record_type = 'revisit'").drop("payload_bytes").join(origin, F.col("refers_to") == F.col("origin"))
-    found = F.when(F.col("whole.digest") == F.col("declared_digest"), F.col("whole.digest")).otherwise(F.raise_error(F.concat(F.lit("a revisit of another payload: "), "record_id")))
-    revisits = revisits.withColumns({"payload_bytes": F.col("whole.n"), "payload_digest": found})
+    origin = responses.groupBy(F.col("record_id").alias("origin"), F.col("payload_digest").alias("found")).agg(F.max("payload_bytes").alias("n"))
+    same = (F.col("refers_to") == F.col("origin")) & (F.col("declared_digest") == F.col("found"))
+    revisits = ends.where("record_type = 'revisit'").join(origin, same, "left").withColumns({"payload_bytes": F.col("n"), "payload_digest": F.col("found")})
+    names = [F.nullif("record_id", F.lit("")).alias("record_id"), "record_type", "target_uri", "refers_to", "payload_bytes", "payload_digest"]
     return responses.select(names).unionByName(revisits.select(names))
 
 
