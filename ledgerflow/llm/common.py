@@ -56,6 +56,17 @@ def sent(spark: SparkSession, value) -> Broadcast:
     return spark.sparkContext.broadcast(cloudpickle.dumps(value))
 
 
+def free_names(df: DataFrame, *names: str) -> list[str]:
+    """``names``, with underscores behind those that ``df`` has a column of (in any case)."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def words_of(text: Column) -> Column:
     """The words ``[^\x20\x09-\x0D]+`` of a text; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), BLANKS), "")

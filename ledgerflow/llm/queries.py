@@ -182,13 +182,19 @@ SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(covered.n, 0)::BIGINT AS n_
        sha256(coalesce(items.items, '')) AS items_sha256, covered.n IS NOT NULL AS contaminated
 FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
     "op8_substring_dedup": r"""
-WITH d AS (SELECT doc_id, text, list_filter(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+'), lambda x: x <> '') AS p FROM documents),
-t AS (SELECT *, list_transform(p, lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS s, least(3, len(p)) AS m FROM d),
-r AS (SELECT doc_id, i, m, list_slice(s, i, i + m - 1) AS run FROM (SELECT doc_id, s, m, unnest(generate_series(1, len(s) - m + 1)) AS i FROM t WHERE len(s) > 0)),
-k AS (SELECT * FROM r WHERE len(regexp_extract_all(array_to_string(run, ' '), '[^\x20\x09-\x0D]+')) >= 8),
+WITH e AS (SELECT doc_id, text, list_filter(regexp_extract_all(coalesce(text, ''), '[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+'), lambda x: x <> '') AS p FROM documents),
+d AS (SELECT doc_id, text, flatten(list_transform(p, lambda s: CASE WHEN len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) <= 16 THEN [s] ELSE
+        list_transform(list_filter(range(1, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) + 1), lambda i: i = len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) OR left(md5(regexp_extract_all(s, '[^\x20\x09-\x0D]+')[i]), 1) IN ('0', '1')),
+          lambda b, k: array_to_string(list_slice(regexp_extract_all(s, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*'),
+            1 + coalesce(list_filter(range(1, len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) + 1), lambda i: i = len(regexp_extract_all(s, '[^\x20\x09-\x0D]+')) OR left(md5(regexp_extract_all(s, '[^\x20\x09-\x0D]+')[i]), 1) IN ('0', '1'))[k - 1], 0), b), '')) END)) AS p FROM e),
+t AS (SELECT *, list_transform(p, lambda x: array_to_string(regexp_extract_all(x, '[^\x20\x09-\x0D]+'), ' ')) AS s FROM d),
+q AS (SELECT doc_id, i, w, sum(w) OVER (PARTITION BY doc_id ORDER BY i) AS c
+      FROM (SELECT doc_id, unnest(generate_series(1, len(s))) AS i, unnest(list_transform(s, lambda x: len(regexp_extract_all(x, '[^ ]+')))) AS w FROM t) WHERE w > 0),
+r AS (SELECT a.doc_id, a.i, b.i AS j FROM q a ASOF JOIN q b ON a.doc_id = b.doc_id AND a.c - a.w + 20 <= b.c),
+k AS (SELECT r.doc_id, i, j, array_to_string(list_slice(s, i, j), ' ') AS run FROM r JOIN t ON r.doc_id = t.doc_id),
 f AS (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS n FROM k),
-c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, i + m - 1)) AS j FROM f WHERE n > 1),
-g AS (SELECT doc_id, list(j) AS gone FROM c GROUP BY doc_id)
+c AS (SELECT DISTINCT doc_id, unnest(generate_series(i, j)) AS x FROM f WHERE n > 1),
+g AS (SELECT doc_id, list(x) AS gone FROM c GROUP BY doc_id)
 SELECT t.doc_id, len(p)::INT AS n_sentences, coalesce(len(gone), 0)::INT AS n_removed,
        CASE WHEN gone IS NULL THEN text ELSE array_to_string(list_filter(p, lambda x, i: NOT list_contains(gone, i)), '') END AS text
 FROM t LEFT JOIN g USING (doc_id)""",

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import free_names, written
 from .components import connected_components
 
 SEED = 42
@@ -222,7 +222,8 @@ def near_dedup(
     best = found.groupBy("component_fp").agg(
         F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), "fp", "text_hash")).alias("best")
     )
-    keep = best.select(F.col("best.id").alias("__id"), F.col("best.text_hash").alias("__hash"))
-    hashed = docs.withColumn("__text_hash", F.xxhash64(docs[text_col]))
-    same = hashed[id_col].eqNullSafe(F.col("__id")) & (hashed["__text_hash"] == F.col("__hash"))
-    return hashed.join(keep, same, "left_semi").dropDuplicates([id_col, "__text_hash"]).drop("__text_hash")
+    key, hashed, text_hash = free_names(docs, "kept_id", "kept_hash", "text_hash")
+    keep = best.select(F.col("best.id").alias(key), F.col("best.text_hash").alias(hashed))
+    rows = docs.withColumn(text_hash, F.xxhash64(docs[text_col]))
+    same = rows[id_col].eqNullSafe(F.col(key)) & (rows[text_hash] == F.col(hashed))
+    return rows.join(keep, same, "left_semi").dropDuplicates([id_col, text_hash]).drop(text_hash)

@@ -289,10 +289,32 @@ def test_warc_round_trip(spark, scratch, chunk_bytes):
     for i, _, t in rows:
         raw = (t or "").encode()
         refers = first.get(raw) if first.get(raw) != i else None
-        want.append(("" if i is None else str(i), len(raw), hashlib.sha256(raw).hexdigest(), "response" if refers is None else "revisit", None if refers is None else str(refers)))
+        want.append((None if i is None else str(i), len(raw), hashlib.sha256(raw).hexdigest(), "response" if refers is None else "revisit", None if refers is None else str(refers)))
     assert pairs((x.record_id, x.payload_bytes, x.payload_digest, x.record_type, x.refers_to) for x in got) == pairs(want)
 
 
+def test_warc_repeated_ids_and_missing_responses(spark, scratch):
+    import glob
+    import gzip
+    import os
+
+    a, b = "a" * 200, "b" * 200
+    rows = [(1, "u", a), (1, "u", b), (2, "u", a), (3, "u", b), (None, "u", a), (None, None, None), (4, "u", a), (4, "u", a)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumns({c: F.lit("own") for c in ("__first", "first", "digest", "bytes", "__payload", "id")})
+    sha = {t: hashlib.sha256((t or "").encode()).hexdigest() for t in (a, b, None)}
+    want = [("1", 200, sha[a], None), ("1", 200, sha[b], None), ("2", 200, sha[a], "1"), ("3", 200, sha[b], "1"), (None, 200, sha[a], "1"), (None, 0, sha[None], None)] + 2 * [("4", 200, sha[a], "1")]
+    got = warc.resolved(warc.round_trip(pages)).collect()
+    assert pairs((x.record_id, x.payload_bytes, x.payload_digest, x.refers_to) for x in got) == pairs(want)
+    # revisits alone: their payload is unknown
+    warc.write_archives(pages.coalesce(1), f"{scratch}/w")
+    records = gzip.open(glob.glob(f"{scratch}/w/*.gz")[0]).read().split(b"WARC/1.1\r\n")
+    os.makedirs(f"{scratch}/v")
+    with gzip.open(f"{scratch}/v/x.gz", "wb") as f:
+        f.write(b"".join(b"WARC/1.1\r\n" + x for x in records if x.startswith(b"WARC-Type: revisit")))
+    got = warc.resolved(warc.read_archives(spark, f"{scratch}/v")).collect()
+    assert len(got) == 5 and {(x.payload_bytes, x.payload_digest, x.refers_to) for x in got} == {(None, None, "1")}
+
+
 def test_warc_files_are_plain_archives(spark, scratch):
     import glob
     import gzip
@@ -349,59 +371,111 @@ def test_decontaminate_removes(spark):
     assert cut == {1: "Keep this. and this", 2: "clean text", 3: None, 4: ""}
 
 
-SENTENCE = re.compile("[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+")
-
-
-def brute_dedup(rows, run=3, min_words=8):
-    """rows: distinct (id, text); -> {(id, text): rest}"""
+def brute_pieces(text, long_sentence=16):
+    out = []
+    for sentence in re.findall("[^.!?\n]*[.!?\n]+[\x20\x09-\x0D]*|[^.!?\n]+", text or ""):
+        parts = re.findall("[\x20\x09-\x0D]*[^\x20\x09-\x0D]+[\x20\x09-\x0D]*", sentence)
+        if len(parts) <= long_sentence:
+            out.append(sentence)
+            continue
+        piece = ""
+        for k, part in enumerate(parts):
+            piece += part
+            if k == len(parts) - 1 or hashlib.md5(WORDS.findall(part)[0].encode()).hexdigest()[0] in "01":
+                out.append(piece)
+                piece = ""
+    return out
+
+
+def brute_dedup(rows, min_words=20):
+    """rows: distinct (id, text), in order; -> {(id, text): rest}"""
     spans, pieces = {}, {}
     for key in rows:
-        pieces[key] = SENTENCE.findall(key[1] or "")
-        s = [p.strip("\x20\x09\x0a\x0b\x0c\x0d") for p in pieces[key]]
-        m = min(run, len(s))
-        for i in range(len(s) - m + 1) if s else []:
-            if sum(len(WORDS.findall(x)) for x in s[i : i + m]) >= min_words:
-                spans.setdefault(tuple(s[i : i + m]), []).append((key, i, m))
+        pieces[key] = brute_pieces(key[1])
+        words = [WORDS.findall(p) for p in pieces[key]]
+        for i in range(len(words)):
+            for j in range(i + 1, len(words) + 1) if words[i] else []:
+                run = sum(words[i:j], [])
+                if len(run) >= min_words:
+                    spans.setdefault(" ".join(run), []).append((key, i, j))
+                    break
     gone = {}
     for places in spans.values():
-        for key, i, m in places[1:]:
-            gone.setdefault(key, set()).update(range(i, i + m))
+        for key, i, j in places[1:]:
+            gone.setdefault(key, set()).update(range(i, j))
     return {k: None if k[1] is None else "".join(x for i, x in enumerate(p) if i not in gone.get(k, ())) for k, p in pieces.items()}
 
 
+HELPERS = ["__id", "__hash", "__text_hash", "__removed", "__gone_id", "__whole", "__first", "gone", "gone_id", "gone_hash", "kept_id", "kept_hash", "text_hash", "n_removed", "n_sentences", "spread", "rank", "salt", "h1", "pos"]
+
+
 def test_substring_dedup(docs):
     rows = {(x.doc_id, x.text) for x in docs.where("doc_id is not null").select("doc_id", "text").collect()}
     want = brute_dedup(sorted(rows, key=lambda x: x[0]))
     assert any(v != k[1] for k, v in want.items())
-    got = substrings.dedup_spans(docs.where("doc_id is not null").withColumn("whole", F.col("text"))).collect()
-    assert len(got) == docs.where("doc_id is not null").count()
+    frame = docs.where("doc_id is not null").withColumn("whole", F.col("text")).withColumns({c: F.lit(f"own {c}") for c in HELPERS})
+    out = substrings.dedup_spans(frame)
+    assert out.columns == frame.columns
+    got = out.collect()
+    assert len(got) == frame.count()
     for x in got:
         assert x.text == want[x.doc_id, x.whole], x.doc_id
+        assert all(x[c] == f"own {c}" for c in HELPERS)
+    assert substrings.dedup_spans(frame, counts=True).columns == [*frame.columns, "n_sentences_", "n_removed_"]
+
+
+def test_hot_spans_are_spread(spark):
+    r = random.Random(11)
+    line = " ".join(f"word{i}" for i in range(25)) + "."
+    texts = [f"{prose(r, 30)}\n{line}\n{prose(r, 10)}" for _ in range(900)] + [line] * 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    assert substrings._spans(docs, "doc_id", "text", 20, 16).where("h1 is not null").groupBy("h1", "h2").count().where("count > 900").count() == 1
+    got = {x.doc_id: x.text for x in substrings.dedup_spans(docs).collect()}
+    want = brute_dedup(list(enumerate(texts)))
+    assert got == {i: t for (i, _), t in want.items()} and line in got[0] and all(line not in got[i] for i in range(1, 930))
+
+
+def test_near_dedup_and_stages_keep_own_columns(spark, scratch):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(i, f"text number {i} " * 30, "s") for i in range(4)] + [(None, None, None), (9, "", "s"), (9, "", "s")], "doc_id long, text string, source string")
+    frame = docs.withColumns({c: F.lit(f"own {c}") for c in HELPERS})
+    out = simhash.near_dedup(frame)
+    assert out.columns == frame.columns and all(x[c] == f"own {c}" for x in out.collect() for c in HELPERS)
+    out = corpus_pipeline.substring_dedup(spark, frame, scratch)
+    assert out.columns == frame.columns and out.count() == 7 and all(x[c] == f"own {c}" for x in out.collect() for c in HELPERS)
+
+
+def planted(r, words, n, size):
+    """n pairs of documents, the second with ``size`` words of the first put in at a word's place."""
+    texts = []
+    for _ in range(n):
+        a, b = (prose(r, 300, words).split(" ") for _ in range(2))
+        at, to = r.randrange(len(a) - size), r.randrange(len(b))
+        texts += [" ".join(a), " ".join(b[:to] + a[at : at + size] + b[to:])]
+    return texts
 
 
 def test_substring_dedup_removes_planted_passages(spark):
     r = random.Random(8)
-    passage = " ".join(prose(r, 9).strip().replace(".", "").replace("!", "").replace("\n", " ") + "." for _ in range(7))
-    texts = [f"{prose(r, 60)}\n{passage}\n{prose(r, 60)}" for _ in range(30)]
+    texts = planted(r, 300, 60, 60)
     got = {x.doc_id: x.text for x in substrings.dedup_spans(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()}
-    assert got[0] == texts[0] and all(passage[5:-5] not in got[i] for i in range(1, 30))
+    assert all(got[i] == texts[i] for i in range(0, 120, 2))
+    assert sum(got[i] != texts[i] for i in range(1, 120, 2)) >= 58
     clean = [prose(r, 150) for _ in range(30)]
     assert {x.text for x in substrings.dedup_spans(spark.createDataFrame(list(enumerate(clean)), "doc_id long, text string")).collect()} == set(clean)
 
 
-def test_substring_dedup_cuts_runs_that_reach_the_floor(spark):
+def test_pipeline_stage_drops_what_is_empty(spark):
     import corpus_pipeline
 
     r = random.Random(10)
-    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
-    one, two = f"{words(55)}. ", f"{words(30)}. {words(25)}. "
-    tiny = "".join(f"{words(2)}. " for _ in range(30))
-    own = [f"{words(12)}. {words(9)}. " for _ in range(10)]
-    small = f"{words(20)}. "
-    texts = [one, two, own[0] + tiny + own[1], own[2] + one + own[3], own[4] + two + own[5], own[6] + tiny + own[7], own[8] + small, small + own[9]]
+    words = lambda n: " ".join(f"w{r.randrange(10**6)}" for _ in range(n))
+    one, own = f"{words(14)}. {words(15)}. {words(16)}. ", [f"{words(12)}. {words(9)}. " for _ in range(2)]
+    texts = [one, own[0] + one + own[1], one, "", None, f"{words(12)}. "]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
-    want = texts[:3] + [own[2] + own[3], own[4] + own[5], own[6] + own[7]] + texts[6:]
-    assert {x.doc_id: x.text for x in corpus_pipeline.substring_dedup(spark, docs, "").collect()} == dict(enumerate(want))
+    want = {0: one, 1: own[0] + own[1], 3: "", 4: None, 5: texts[5]}
+    assert {x.doc_id: x.text for x in corpus_pipeline.substring_dedup(spark, docs, "").collect()} == want
 
 
 PHRASES = {"mit": ["mit", "license"], "apache": ["apache", "license"], "gpl": ["general", "public", "license"]}
