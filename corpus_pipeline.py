@@ -1,4 +1,7 @@
-"""The corpus pipeline: stages from raw documents to a training mix."""
+"""The corpus pipeline: stages from raw documents to a training mix.
+
+An empty table passes through every stage as one; further columns stay.
+"""
 
 from __future__ import annotations
 
@@ -11,23 +14,34 @@ from ledgerflow.llm import common, decontaminate, mixing, quality_cnn, simhash,
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go."""
+    """Documents that the classifier rejects go.
+
+    Rows that repeat stay or go together; a null text is scored as an empty one.
+    """
     return quality_cnn.keep_good(docs, common.table(spark, sf_dir, "labels"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
+    """One document of each group of near duplicates stays.
+
+    Texts without words, null ones among them, are one group.
+    """
     return simhash.near_dedup(docs, shingle_words=3, radius=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated sentence spans are cut out; a document of which nothing is left goes."""
-    cut = substrings.dedup_spans(docs.withColumn("__whole", F.col("text")), floor_words=40)
-    return cut.where(F.col("text").isNull() | (F.col("text") != "") | (F.col("__whole") == "")).drop("__whole")
+    """Repeated sentence spans are cut out; a document of which nothing is left goes.
+
+    Null and empty texts stay, as do rows that repeat id and text (they are one
+    document).
+    """
+    cut = substrings.dedup_spans(docs, counts=True)
+    pieces, removed = cut.columns[-2:]
+    return cut.where(F.col("text").isNull() | (F.col("text") != "") | (F.col(removed) == 0)).drop(pieces, removed)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a benchmark window go."""
+    """Documents with a benchmark window go; null and empty texts have none."""
     return decontaminate.decontaminate(docs, common.table(spark, sf_dir, "benchmark"), remove="documents", n=10)
 
 
