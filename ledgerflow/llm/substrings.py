@@ -129,7 +129,8 @@ def repeated_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spans = _spans(columns, id_col, text_col, min_words, long_sentence).join(F.broadcast(hot), ["h1", "h2"], "left")
     salt = F.pmod(F.xxhash64("id", "text_hash"), F.coalesce("spread", F.lit(1)))
     ranked = spans.withColumn("salt", salt.cast("int")).withColumn("rank", F.rank().over(Window.partitionBy("h1", "h2", "salt").orderBy("id", "text_hash", "pos")))
-    found = written(ranked.where("rank > 1 OR spread IS NOT NULL").select("id", "text_hash", "pos", "size", F.when(F.col("spread").isNotNull(), F.struct("h1", "h2")).alias("key")), "repeated-spans")
+    found = written(ranked.where("rank > 1 OR spread IS NOT NULL").select("id", "text_hash", "pos", "size", F.when((F.col("rank") == 1) & F.col("spread").isNotNull(), F.struct("h1", "h2")).alias("key")), "repeated-spans")
+    # the first span of each of a hot hash's groups; all others are repeats
     first = found.where("key IS NOT NULL").groupBy("key").agg(F.min(place).alias("first"))
     later = found.where("key IS NULL").select("id", "text_hash", "pos", "size").unionByName(
         found.where("key IS NOT NULL").join(F.broadcast(first), "key").where(~place.eqNullSafe(F.col("first"))).select("id", "text_hash", "pos", "size")
