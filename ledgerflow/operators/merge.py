@@ -40,6 +40,23 @@ from pyspark.sql import functions as F
 N_SRC = "_merge_n_source"
 N_TGT = "_merge_n_target"
 KEEP = "_merge_keep_"
+#: the partition column of a table that is merged by touched partitions
+KEY_PART = "key_part"
+
+
+def key_part(keys: Sequence[str], parts: int) -> Column:
+    """The partition, of ``parts``, that a row's block of keys is dealt to.
+
+    A block is the first key's text without its last three characters, so that
+    neighbouring keys, which batches bring together, share partitions.  Rows
+    with a NULL key, which match nothing, are in partition -1.
+    """
+    text = F.col(keys[0]).cast("string")
+    block = F.substring(text, F.lit(1), F.greatest(F.lit(0), F.length(text) - 3))
+    null_key = F.lit(False)
+    for k in keys:
+        null_key = null_key | F.col(k).isNull()
+    return F.when(null_key, -1).otherwise(F.pmod(F.xxhash64(block), F.lit(parts)).cast("int"))
 
 
 def _renamed_keys(keys: Sequence[str]) -> list[str]:

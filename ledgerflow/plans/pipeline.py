@@ -26,8 +26,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..operators.aggregate import account_totals, latest_per_key, transaction_totals
-from ..operators.conform import add_audit_columns, conform, empty_like, land_as_string, reject_reason
+from ..operators.aggregate import account_totals, transaction_totals
+from ..operators.conform import add_audit_columns, conform, land_as_string, reject_reason
 from ..operators.merge import merge_upsert
 from ..operators.watermark import watermark_filter, watermark_upsert
 from ..session import checkpoint_dir
@@ -138,18 +138,10 @@ class Pipeline:
             return self.store.write_snapshot(layer, table, df, run_id, mark=mark, taken=taken)
         if cfg.load_type == "APPEND":
             return self.store.append(layer, table, df, run_id, mark=mark, taken=taken)
-        # MERGE on the primary key.  The batch is written once and merged from
-        # there, so the source is read once; the same batch merged again
-        # changes nothing.
+        # MERGE on the primary key; opt-in: of several source rows per key the latest
         key = cfg.primary_key.strip().lower()
-        batch = self.store.stage(layer, table, df)
-        base = self.store.read(layer, table)
-        source = batch
-        if cfg.merge_dedupe == "latest" and cfg.watermark_column:
-            # Opt-in: several source rows per key -> keep the latest one.
-            source = latest_per_key(batch, [key], [cfg.watermark_column.lower()]).select(*batch.columns)
-        merged = merge_upsert(empty_like(batch) if base is None else base, source, [key], evolve=True)
-        return self.store.write_snapshot(layer, table, merged, run_id, mark=mark, taken=taken, batch=batch)
+        latest = [cfg.watermark_column.lower()] if cfg.merge_dedupe == "latest" and cfg.watermark_column else None
+        return self.store.upsert(layer, table, df, [key], run_id, latest_by=latest, mark=mark, taken=taken)
 
     # -------------------------------------------------------- silver
     def silver(self, table_id: int, run_id: int) -> int:

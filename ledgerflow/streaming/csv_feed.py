@@ -22,7 +22,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.conform import conform
-from ..operators.merge import merge_upsert
 
 FILES = "path string, modificationTime timestamp, length long, content binary"
 
@@ -86,9 +85,6 @@ def upsert_stream(store, layer: str, table: str, feed: DataFrame, keys: Sequence
 
     def on_batch(paths: list[str], stream: tuple[str, int]) -> int:
         rows = conform(read_csv(store.spark, paths, [f.name for f in schema.fields]), schema)
-        batch = store.stage(layer, table, rows)
-        base = store.read(layer, table)
-        merged = merge_upsert(batch.where("false") if base is None else base, batch, list(keys))
-        return store.write_snapshot(layer, table, merged, stream=stream, batch=batch)
+        return store.upsert(layer, table, rows, list(keys), stream=stream)
 
     return _drain(feed, checkpoint, on_batch)
