@@ -21,13 +21,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import let, sent, smallest_hashes, written
+from .common import let, sent, written
 
 BUCKETS = 1 << 14
+#: a host with more than one of so many pages meets its prior by broadcast
+HOT_HOSTS = 1000
 MARKUP = re.compile(rb"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>")
 #: country codes and the language that an address under them hints at, besides codes that are languages themselves
 COUNTRIES = {"at": "de", "ch": "de", "us": "en", "uk": "en", "au": "en", "ca": "en", "nz": "en", "ie": "en", "mx": "es", "ar": "es", "co": "es", "cl": "es", "pe": "es", "be": "fr", "lu": "fr"}
@@ -66,9 +68,11 @@ class Profiles:
         return (found - found.max()) * damping if len(found) else found
 
 
-def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", rows: int = 2_000) -> Profiles:
-    """Profiles from the labelled documents with the ``rows`` smallest hashes
-    of the id (all of each text), counted by language and bucket in Spark."""
+def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", rows: int = 500) -> Profiles:
+    """Profiles of every language that a document is labelled with, each from
+    the ``rows`` documents with the smallest hashes of id and text (all of each
+    text; fewer where there are fewer), counted by language and bucket in Spark.
+    Null labels and texts are left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: dict[str, np.ndarray] = {}
@@ -80,9 +84,12 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id
             some = np.flatnonzero(n)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(n[some])], names=["lang", "bucket", "n"])
 
-    labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    total = docs.where(F.col(lang_col).isNotNull()).count()
-    few = smallest_hashes(labelled, id_col, rows, total).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"))
+    rows_of = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"), F.xxhash64(id_col, text_col).alias("h"))
+    # about twice as many as are wanted pass the bound, so that the task of a language sorts few
+    bound = F.when(F.col("all") > 4 * rows, (-(2.0**63) + 2.0**64 * 2 * rows / F.col("all")).cast("long")).otherwise(F.lit(2**63 - 1))
+    counts = rows_of.groupBy("lang").agg(F.count("*").alias("all")).select("lang", bound.alias("bound"))
+    few = rows_of.join(counts, "lang").where(F.col("h") <= F.col("bound"))
+    few = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "raw"))).where(F.col("place") <= rows).select("lang", "raw")
     found = few.repartition(8).mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in found})
     counts = np.full((BUCKETS, len(languages)), 0.5)
@@ -106,8 +113,10 @@ def evidence(pages: DataFrame, model: Profiles, id_col: str, url_col: str, html_
     domain = F.regexp_extract(host, r"([^.]*\.?[^.]*)\.?\z", 1)
     path = F.regexp_extract(url, r"://[^/?#]+/([A-Za-z]{2})(?:[/?#-]|\z)", 1)
     suffix = F.regexp_extract(F.coalesce(host, F.lit("")), r"\.([a-z]{2})\.?\z", 1)
-    declared = F.regexp_extract(html, r"(?is)<html\b[^>]{0,2000}?\slang\s*=\s*[\"']?([A-Za-z-]{2,20})", 1)
-    meta = F.regexp_extract(html, r"(?is)<meta\b[^>]{0,2000}?content-language[^>]{0,2000}?content\s*=\s*[\"']?([A-Za-z-]{2,20})", 1)
+    # the attributes of the first html tag, and the meta tags, however long
+    declared = F.regexp_extract(F.regexp_extract(html, r"(?i)<html\b([^>]*+)", 1), r"(?i)(?:^|[\s\"'])(?:xml:)?lang\s*=\s*[\"']?([A-Za-z-]{2,20})", 1)
+    metas = F.filter(F.regexp_extract_all(html, F.lit(r"(?i)<meta\b[^>]*+"), F.lit(0)), lambda m: m.rlike(r"(?i)http-equiv\s*=\s*[\"']?content-language"))
+    meta = F.regexp_extract(F.coalesce(F.get(metas, F.lit(0)), F.lit("")), r"(?i)\scontent\s*=\s*[\"']?([A-Za-z-]{2,20})", 1)
     rows = pages.select(
         F.col(id_col).alias("id"),
         host.alias("host"),
@@ -176,9 +185,14 @@ def identify(
     overall = F.array(*[F.lit((x + 1) / (total + n)) for x in everything])
     hosts = _sums(rows.where("host is not null").select("host", "q"), "host", n, "host_sums")
     domains = _sums(rows.where("host is not null").select("domain", "q"), "domain", n, "domain_sums")
-    of_host = rows.where("host is not null").select("host", "domain").distinct().join(hosts, "host").join(domains, "domain").drop("domain")
-    of_host = of_host.withColumnRenamed("host", "of_host")
-    joined = rows.join(of_host, rows["host"] == of_host["of_host"], "left")
+    of_host = written(rows.where("host is not null").select("host", "domain").distinct().join(hosts, "host").join(domains, "domain").select(F.col("host").alias("of_host"), "host_sums", "domain_sums"), "language-hosts")
+    # a page's posterior sums to 1, so a host's sums count its pages: fewer than HOT_HOSTS hosts are hot
+    pages_of = F.aggregate("host_sums", F.lit(0.0), lambda a, x: a + x)
+    hot = F.broadcast(of_host.where(pages_of > total / HOT_HOSTS))
+    same = rows["host"] == F.col("of_host")
+    rest = rows.join(hot.select("of_host"), same, "left_anti")
+    joined = rows.join(hot, same).unionByName(rest.where("host is not null").join(of_host, rest["host"] == of_host["of_host"]))
+    joined = joined.unionByName(rest.where("host is null"), allowMissingColumns=True)
 
     def others(sums: str) -> Column:
         """The sums without the page's own part; nothing where there is no host."""
