@@ -194,7 +194,8 @@ def train(texts: list[list[bytes]], labels: list[int], epochs: int = 6, batch: i
 def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, rows: int, excerpts: int) -> tuple[list[list[bytes]], list[int]]:
     """A bounded sample of labelled documents: those of the ``rows`` smallest
     hashes of the id, crc32(id as text) mod 5 not 0; of a text of more than
-    ``excerpts`` chunks, so many excerpts spread evenly over all of it."""
+    ``excerpts`` chunks, so many excerpts spread evenly over all of it.  Of the
+    texts of a repeated id the one with the smallest pieces is taken."""
     kept = labels.where(F.col(label_col).isNotNull() & (crc32_mod(F.col(id_col), 5) != 0))
     kept = kept.groupBy(F.col(id_col).alias("id")).agg(F.max(F.col(label_col).cast("int")).alias("label"))
     few = smallest_hashes(kept, "id", rows, labels.count() * 4 // 5)
@@ -205,7 +206,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str
         return F.substring(raw, (F.floor((length - CHUNK) * i / F.greatest(n - 1, F.lit(1))) + 1).cast("int"), F.lit(CHUNK))
 
     pieces = F.when(length <= excerpts * CHUNK, F.array(raw)).otherwise(F.transform(F.sequence(F.lit(0), n - 1), excerpt))
-    found = docs.select(F.col(id_col).alias("id"), pieces.alias("pieces")).join(few, "id").orderBy("id", "pieces").limit(2 * rows).collect()
+    found = docs.select(F.col(id_col).alias("id"), pieces.alias("pieces")).join(few, "id").groupBy("id").agg(F.min("pieces").alias("pieces"), F.max("label").alias("label")).orderBy("id").collect()
     return [[bytes(p) for p in r["pieces"]] for r in found], [r["label"] for r in found]
 
 
