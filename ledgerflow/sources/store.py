@@ -276,7 +276,7 @@ class TableStore:
     def publish(self, layer: str, table: str) -> str:
         """Names the committed rows ``<layer>.<table>`` in the session catalog; gives the name.
 
-        A snapshot table's name is pointed at the committed folder by one
+        The database has an empty folder of its own.  A snapshot table's name is pointed at the committed folder by one
         ``ALTER TABLE .. SET LOCATION``; of an append table the committed loads
         become partitions, of a keyed one all that are there.  The tables are
         external: dropping a name leaves the rows.
@@ -288,7 +288,7 @@ class TableStore:
         column = {"append": (LOAD, T.LongType()), "keyed": (KEY_PART, T.IntegerType())}.get(state.kind)
         fields = [*fields, *([T.StructField(*column)] if column else [])]
         where = path if column else f"{path}/v={state.number}"
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/{layer}'")
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}` LOCATION '{self.root}/_catalog/{layer}'")
         known = self.spark.catalog.tableExists(name) and self.spark.table(name).schema == T.StructType([T.StructField(f.name, f.dataType) for f in fields])
         if known and not column:
             self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{where}'")

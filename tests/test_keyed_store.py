@@ -1,0 +1,179 @@
+"""MERGE by touched partitions, loads by partition, the session catalog, observed counts."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerflow.operators.merge import KEY_PART, key_part, merge_upsert
+from ledgerflow.sources.store import LEAST_PARTS, TableStore
+
+
+def rows_of(df):
+    return sorted(map(tuple, df.collect()), key=repr)
+
+
+def files(path):
+    return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def accounts(spark, lo, hi, tag):
+    return spark.range(lo, hi).select(F.concat(F.lit("ACC"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("k"), F.lit(tag).alias("v"), F.col("id").alias("n"))
+
+
+def test_a_small_batch_touches_few_partitions(spark, scratch):
+    store = TableStore(spark, scratch)
+    whole = accounts(spark, 0, 100_000, "old")
+    assert store.upsert("silver", "t", whole, ["k"], run_id=1) == 100_000
+    before = files(store.path("silver", "t"))
+    batch = accounts(spark, 50_000, 51_000, "new")  # 1 %, neighbouring keys
+    assert store.upsert("silver", "t", batch, ["k"], run_id=2) == 1_000
+    after = files(store.path("silver", "t"))
+    written = {f for f in after if before.get(f) != after[f]}
+    assert 0 < len(written) < 0.1 * len(after)
+    assert rows_of(store.read("silver", "t")) == rows_of(merge_upsert(whole, batch, ["k"]))
+    # the parts reach the scan as partition filters
+    touched = [r[0] for r in batch.select(key_part(["k"], LEAST_PARTS).alias("p")).distinct().collect()]
+    plan = store._parts("silver", "t", store.state("silver", "t")).where(F.col(KEY_PART).isin(touched))._jdf.queryExecution().toString()
+    assert f"PartitionFilters: [isnotnull({KEY_PART}" in plan.replace(" AND ", ", ") or "PartitionFilters: [key_part" in plan, plan
+
+
+def test_merges_equal_merge_upsert(spark, scratch):
+    r = random.Random(1)
+    store, schema = TableStore(spark, scratch), "k string, v int, insert_timestamp string"
+    model = None
+    for run in range(6):
+        keys = r.sample(range(3000), 40) if run % 2 else range(run * 100, run * 100 + 50)
+        batch = spark.createDataFrame([(str(k), run, f"t{run}") for k in keys] + [(None, run, "n")] * 2, schema)
+        if run == 4:
+            batch = batch.withColumn("extra", F.lit("x"))
+        model = batch if model is None else merge_upsert(model, batch, ["k"], evolve=True)
+        rows = store.upsert("silver", "t", batch, ["k"], run_id=run)
+        assert rows == len(list(keys)) + 2
+        assert rows_of(store.read("silver", "t")) == rows_of(model)
+    assert store.state("silver", "t").schema["fields"][-1]["name"] == "extra"
+
+
+def test_latest_of_a_batch_and_ambiguous_batches(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.upsert("silver", "t", spark.createDataFrame([(1, "a", 1)], "k long, v string, at long"), ["k"])
+    twice = spark.createDataFrame([(1, "b", 2), (1, "c", 3), (2, "d", 1)], "k long, v string, at long")
+    with pytest.raises(Exception, match="MERGE_CARDINALITY_VIOLATION"):
+        store.upsert("silver", "t", twice, ["k"])
+    assert rows_of(store.read("silver", "t")) == [(1, "a", 1)]
+    assert store.upsert("silver", "t", twice, ["k"], latest_by=["at"], mark=F.max("at")) == 3
+    assert rows_of(store.read("silver", "t")) == [(1, "c", 3), (2, "d", 1)] and store.state("silver", "t").mark == "3"
+
+
+@pytest.mark.parametrize("step", ["merge", "commit", "apply", "half_applied"])
+def test_a_merge_that_is_cut_off(spark, scratch, monkeypatch, step):
+    """Before the commit the old rows hold, after it the new ones, whatever the table's folder has by then."""
+    store = TableStore(spark, scratch)
+    old, new = accounts(spark, 0, 30_000, "old"), accounts(spark, 10_000, 30_100, "new")
+    store.upsert("silver", "t", old, ["k"], run_id=1)
+    want = rows_of(merge_upsert(old, new, ["k"]))
+    with monkeypatch.context() as m:
+        if step in ("merge", "commit"):
+            m.setattr(TableStore, "commit", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+        else:
+            real = TableStore._settled
+
+            def cut(self, layer, table):
+                if (state := self.state(layer, table)) is not None and state.pending:
+                    if step == "half_applied":  # the overwrite has deleted a folder and not yet put the new one
+                        import shutil
+
+                        gone = sorted(x for x in os.listdir(self.path(layer, table)) if x.startswith(KEY_PART))
+                        moved = [x for x in gone if os.path.isdir(f"{scratch}/_work/silver/t/merge={state.number}/{x}")]
+                        shutil.rmtree(f"{self.path(layer, table)}/{moved[0]}")
+                    raise OSError("lost")
+                return real(self, layer, table)
+
+            m.setattr(TableStore, "_settled", cut)
+        with pytest.raises(OSError, match="lost"):
+            store.upsert("silver", "t", new, ["k"], run_id=2)
+    again = TableStore(spark, scratch)
+    if step in ("merge", "commit"):
+        assert rows_of(again.read("silver", "t")) == rows_of(old)
+        again.upsert("silver", "t", new, ["k"], run_id=2)
+    assert rows_of(again.read("silver", "t")) == want
+    assert not again.state("silver", "t").pending
+    again.upsert("silver", "t", new, ["k"], run_id=2)  # the same batch again changes nothing
+    assert rows_of(again.read("silver", "t")) == want
+
+
+def test_replayed_micro_batch_is_merged_once(spark, scratch):
+    store = TableStore(spark, scratch)
+    df = spark.createDataFrame([(1, "a")], "k long, v string")
+    assert store.upsert("silver", "t", df, ["k"], stream=("s", 0)) == 1
+    assert store.upsert("silver", "t", df.withColumn("v", F.lit("b")), ["k"], stream=("s", 0)) == 0
+    assert store.upsert("silver", "t", df.withColumn("v", F.lit("c")), ["k"], stream=("s", 1)) == 1
+    assert rows_of(store.read("silver", "t")) == [(1, "c")]
+
+
+def test_empty_batches(spark, scratch):
+    store = TableStore(spark, scratch)
+    none = spark.createDataFrame([], "k long, v string")
+    assert store.upsert("silver", "t", none, ["k"], mark=F.max("v")) == 0
+    assert store.read("silver", "t").count() == 0 and store.read("silver", "t").columns == ["k", "v"]
+    some = spark.createDataFrame([(1, "a")], "k long, v string")
+    assert store.upsert("silver", "t", some, ["k"]) == 1 and store.upsert("silver", "t", none, ["k"]) == 0
+    assert rows_of(store.read("silver", "t")) == [(1, "a")]
+
+
+def test_counts_and_marks_come_from_the_write(spark, scratch):
+    """One job reads the source, also where a task fails and is tried again."""
+    store, read = TableStore(spark, scratch), spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).repartition(4).mapInArrow(counted, "id long")
+    assert store.append("bronze", "a", df, run_id=1, mark=F.max("id")) == 1000 and read.value == 1000
+    assert store.write_snapshot("bronze", "s", df, mark=F.max("id")) == 1000 and read.value == 2000
+    assert store.upsert("bronze", "m", df, ["id"], mark=F.max("id")) == 1000 and read.value == 3000
+    assert {store.state("bronze", t).mark for t in "asm"} == {"999"}
+    assert store.write_snapshot("bronze", "s", df.where("id < 0"), mark=F.max("id")) == 0
+
+
+def test_loads_that_were_not_committed_are_replaced(spark, scratch):
+    store = TableStore(spark, scratch)
+    store.append("bronze", "t", spark.range(3), run_id=1)
+    spark.range(50).write.parquet(f"{store.path('bronze', 't')}/load=2")  # written, never committed
+    assert store.read("bronze", "t").count() == 3
+    assert store.append("bronze", "t", spark.range(5), run_id=2) == 5
+    assert store.append("bronze", "t", spark.range(5), run_id=2) == 5  # the same run again
+    assert store.read("bronze", "t").count() == 8
+
+
+def test_catalog_names_follow_the_commits(spark, scratch):
+    store, name = TableStore(spark, scratch), "lf_catalog_test"
+    store.write_snapshot(name, "s", spark.range(3))
+    store.append(name, "a", spark.range(2), run_id=1)
+    store.upsert(name, "m", accounts(spark, 0, 5000, "old"), ["k"])
+    for t in "sam":
+        store.publish(name, t)
+    try:
+        assert spark.table(f"{name}.s").count() == 3 and spark.table(f"{name}.a").count() == 2 and spark.table(f"{name}.m").count() == 5000
+        store.write_snapshot(name, "s", spark.range(7))
+        store.append(name, "a", spark.range(4), run_id=2)
+        spark.range(9).write.parquet(f"{store.path(name, 'a')}/load=3")  # not committed
+        store.upsert(name, "m", accounts(spark, 4990, 5010, "new"), ["k"])
+        assert spark.table(f"{name}.s").count() == 3  # until it is published
+        for t in "sam":
+            store.publish(name, t)
+        assert spark.table(f"{name}.s").count() == 7 and spark.table(f"{name}.a").count() == 6
+        assert spark.sql(f"SELECT count(*) FROM {name}.m WHERE v = 'new'").first()[0] == 20 and spark.table(f"{name}.m").count() == 5010
+        store.write_snapshot(name, "s", spark.range(4).withColumn("more", F.lit("x")))
+        store.publish(name, "s")
+        assert spark.table(f"{name}.s").columns == ["id", "more"]
+    finally:
+        for t in "sam":
+            spark.sql(f"DROP TABLE IF EXISTS {name}.{t}")
+        spark.sql(f"DROP DATABASE IF EXISTS {name}")
+    assert store.read(name, "s").count() == 4  # external: the rows stay
+    with pytest.raises(ValueError, match="never written"):
+        store.publish(name, "none")
