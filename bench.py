@@ -19,6 +19,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -94,6 +95,16 @@ def main() -> None:
         source = changed.where(F.col("account_id") % 2 == 1).unionByName(inserts)
         results[f"merge_{pct}pct"] = timed(lambda s=source: run_full(merge_upsert(accounts, s, ["account_id"])))
 
+    # --- the same MERGE as the pipeline runs it: staged, merged by touched partitions,
+    # written and committed.  1 %: neighbouring keys, as new accounts have them
+    from ledgerflow.sources.store import TableStore
+
+    store = TableStore(spark, tempfile.mkdtemp(prefix="store-", dir=checkpoint_dir(spark).removeprefix("file:")))
+    store.upsert("silver", "accounts", accounts, ["account_id"])
+    changed = accounts.withColumn("balance", (F.col("balance") + F.lit(1)).cast("decimal(18,2)"))
+    for name, source in (("1pct", changed.where(F.col("account_id") > int(max_id * 0.99))), ("100pct", changed)):
+        results[f"store_merge_{name}"] = timed(lambda s=source: store.upsert("silver", "accounts", s, ["account_id"]))
+
     # --- skew: a third of all transactions moved onto one account (derived from
     # the given table); the marts reduce per account before any join, so the
     # hot key costs one partial row per map task instead of one huge task.

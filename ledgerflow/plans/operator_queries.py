@@ -7,6 +7,8 @@ batch, which is how the operator meets its input in the pipeline.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,6 +17,8 @@ from ..operators import conform as C
 from ..operators.aggregate import account_totals, latest_per_key, transaction_totals
 from ..operators.merge import merge_conflicts, merge_upsert
 from ..operators.watermark import watermark_filter, watermark_max, watermark_upsert
+from ..session import checkpoint_dir
+from ..sources.store import TableStore
 from . import gold, registry
 from .catalog import register
 
@@ -114,11 +118,21 @@ def silver_conform(s):
 
 
 # ------------------------------------------------------------------ loads
+def _new_store(s) -> TableStore:
+    """A table store of its own in the folder that the cluster shares."""
+    spark = s["accounts"].sparkSession
+    return TableStore(spark, f"{checkpoint_dir(spark)}/store-{uuid.uuid4().hex}")
+
+
 @register("load_full", _sql(
     f"SELECT *, TIMESTAMP '{RUN_TS}' AS insert_timestamp, TIMESTAMP '{RUN_TS}' AS update_timestamp "
     "FROM branches"))
 def load_full(s):
-    return C.add_audit_columns(s["branches"], _ts(RUN_TS))
+    """Written as a snapshot, over an earlier one, and read again."""
+    store = _new_store(s)
+    store.write_snapshot("silver", "branches", s["branches"])
+    store.write_snapshot("silver", "branches", C.add_audit_columns(s["branches"], _ts(RUN_TS)), run_id=1)
+    return store.read("silver", "branches")
 
 
 @register("load_append", _with(
@@ -127,11 +141,27 @@ def load_full(s):
        UNION ALL
        SELECT *, 2 AS run_id FROM transactions WHERE txn_timestamp > (SELECT MAX(txn_timestamp) FROM prior)"""))
 def load_append(s):
-    t = s["transactions"]
+    """Two loads, the second past the mark that the first has reached; the second run twice."""
+    store, t = _new_store(s), s["transactions"]
     prior = t.where(F.col("txn_timestamp") < _ts(TXN_PRIOR_LOAD_BEFORE)).withColumn("run_id", F.lit(1))
-    mark = prior.agg(F.max("txn_timestamp")).scalar()
-    batch = t.where(F.col("txn_timestamp") > mark).withColumn("run_id", F.lit(2))
-    return prior.unionByName(batch)
+    store.append("silver", "transactions", prior, 1, mark=F.max("txn_timestamp"))
+    batch = watermark_filter(t, "txn_timestamp", store.state("silver", "transactions").mark).withColumn("run_id", F.lit(2))
+    for _ in range(2):
+        store.append("silver", "transactions", batch, 2, mark=F.max("txn_timestamp"))
+    return store.read("silver", "transactions")
+
+
+@register("upsert_touched_parts", _with(SQL_ACCOUNTS_SPLIT, """
+    SELECT t.* FROM tgt t WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.account_id = t.account_id)
+    UNION ALL
+    SELECT s.* FROM src s LEFT JOIN tgt t ON s.account_id = t.account_id"""))
+def upsert_touched_parts(s):
+    """The MERGE as the pipeline runs it: a keyed table, of which the batch's partitions are rewritten."""
+    store = _new_store(s)
+    target, source = _accounts_split(s)
+    store.upsert("silver", "accounts", target, ["account_id"], 1)
+    store.upsert("silver", "accounts", source, ["account_id"], 2)
+    return store.read("silver", "accounts")
 
 
 @register("merge_upsert", _with(SQL_ACCOUNTS_SPLIT, """
