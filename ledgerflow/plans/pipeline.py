@@ -120,7 +120,14 @@ class Pipeline:
         src = extract(cfg)
         if src.isStreaming:
             # File feed: the stream's checkpoint decides which files are new.
-            return land_stream(self.store, layer, table, src, cfg.columns, run_id, f"{self.store.root}/_streams/{layer}/{table}")
+            # A MERGE feed is upserted on its key, micro-batch by micro-batch.
+            merged = cfg.load_type == "MERGE" and cfg.primary_key
+            return land_stream(
+                self.store, layer, table, src, cfg.columns, run_id, f"{self.store.root}/_streams/{layer}/{table}",
+                keys=[cfg.primary_key.strip().lower()] if merged else None,
+                latest_by=self._latest(cfg) if merged else None,
+                rejects=cfg.bad_rows == "quarantine",
+            )
         if state is not None and state.run_id == run_id and cfg.load_type != "FULL":
             return state.rows  # landed by an earlier try of this run
         mark = None
@@ -140,8 +147,11 @@ class Pipeline:
             return self.store.append(layer, table, df, run_id, mark=mark, taken=taken)
         # MERGE on the primary key; opt-in: of several source rows per key the latest
         key = cfg.primary_key.strip().lower()
-        latest = [cfg.watermark_column.lower()] if cfg.merge_dedupe == "latest" and cfg.watermark_column else None
-        return self.store.upsert(layer, table, df, [key], run_id, latest_by=latest, mark=mark, taken=taken)
+        return self.store.upsert(layer, table, df, [key], run_id, latest_by=self._latest(cfg), mark=mark, taken=taken)
+
+    @staticmethod
+    def _latest(cfg: TableConfig) -> list[str] | None:
+        return [cfg.watermark_column.lower()] if cfg.merge_dedupe == "latest" and cfg.watermark_column else None
 
     # -------------------------------------------------------- silver
     def silver(self, table_id: int, run_id: int) -> int:

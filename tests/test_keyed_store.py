@@ -6,6 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ledgerflow import schemas
 from ledgerflow.operators.merge import KEY_PART, key_part, merge_upsert
 from ledgerflow.sources.store import LEAST_PARTS, TableStore
 
@@ -177,3 +178,96 @@ def test_catalog_names_follow_the_commits(spark, scratch):
     assert store.read(name, "s").count() == 4  # external: the rows stay
     with pytest.raises(ValueError, match="never written"):
         store.publish(name, "none")
+
+
+# ------------------------------------------------------------------ feeds and extracts
+def _write(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w") as f:
+        f.write(text)
+
+
+def test_misfit_csv_rows_are_kept_beside_the_good_ones(spark, scratch):
+    from ledgerflow.streaming.csv_feed import csv_stream, land_stream
+
+    store, landing, ckpt = TableStore(spark, f"{scratch}/store"), f"{scratch}/in", f"{scratch}/ckpt"
+    _write(f"{landing}/a.csv", "txn_id,gateway_name\n1,x\n2\n3,y,z\n4,\"a, b\"\n")
+    _write(f"{landing}/b.csv", "gateway_name,txn_id,fee\nq,5,1\n")
+    land = lambda: land_stream(store, "bronze", "logs", csv_stream(spark, landing), ["TXN_ID", "GATEWAY_NAME"], 1, ckpt, rejects=True)
+    assert land() == 3
+    assert rows_of(store.read("bronze", "logs").select("txn_id", "gateway_name", "fee")) == [("1", "x", None), ("4", "a, b", None), ("5", "q", "1")]
+    bad = store.read("bronze", "logs_rejects").collect()
+    assert sorted(x["_misfit"] for x in bad) == ["2", "3,y,z"] and all(x["_file"].endswith("/a.csv") for x in bad)
+    assert land() == 0 and store.read("bronze", "logs_rejects").count() == 2
+    _write(f"{landing}/c.csv", "txn_id,gateway_name\n9,ok\n")
+    assert land() == 1 and store.read("bronze", "logs_rejects").count() == 2
+    _write(f"{landing}/d.csv", "txn_id,_misfit\n9,ok\n")
+    with pytest.raises(Exception, match="reserved"):
+        land()
+
+
+def test_pipeline_upserts_a_merge_feed(spark, scratch):
+    from ledgerflow.plans.pipeline import Pipeline
+    from ledgerflow.streaming.csv_feed import csv_stream
+
+    store, landing = TableStore(spark, f"{scratch}/store"), f"{scratch}/in"
+    pipe = Pipeline(spark, store, {"blob": lambda cfg: csv_stream(spark, landing)}, run_ts="2025-01-01 00:00:00")
+    pipe.seed()
+    names = {"load_type": "MERGE", "primary_key": "TXN_ID", "bad_rows": "quarantine", "merge_dedupe": "latest"}
+    params = store.read("metadata", "table_parameters")
+    kept = params.where(~((F.col("table_id") == 6) & F.col("parameter_name").isin(list(names))))
+    extra = spark.createDataFrame([tuple({"table_id": 6, "parameter_name": k, "parameter_value": v}.get(c) for c in params.columns) for k, v in names.items()], params.schema)
+    store.write_snapshot("metadata", "table_parameters", kept.unionByName(extra))
+    columns = [f.name for f in schemas.ENTITIES["payment_gateway_logs"].fields]
+    key, mark = columns.index("txn_id"), columns.index("processed_timestamp")
+
+    def line(txn, day, fill):
+        values = [fill] * len(columns)
+        values[key], values[mark] = str(txn), f"2024-01-{day:02} 00:00:00"
+        return ",".join(values)
+
+    _write(f"{landing}/a.csv", "\n".join([",".join(columns), line(1, 1, "1"), line(2, 1, "1"), "misfit"]) + "\n")
+    run = pipe.start_run()
+    assert pipe.bronze(6, run) == 2 and pipe.silver(6, run) == 2
+    _write(f"{landing}/b.csv", "\n".join([",".join(columns), line(2, 3, "2"), line(2, 2, "3"), line(3, 2, "4")]) + "\n")
+    run = pipe.start_run()
+    assert pipe.bronze(6, run) == 3
+    assert store.state("bronze", "payment_gateway_logs").kind == "keyed"
+    assert pipe.silver(6, run) == 2
+    got = {r["txn_id"]: str(r["processed_timestamp"])[:10] for r in store.read("silver", "payment_gateway_logs").collect()}
+    assert got == {1: "2024-01-01", 2: "2024-01-03", 3: "2024-01-02"}
+    assert [r["_misfit"] for r in store.read("bronze", "payment_gateway_logs_rejects").collect()] == ["misfit"]
+
+
+def test_text_keys_are_split_among_the_rows_past_the_mark(spark):
+    from ledgerflow.plans.registry import TableConfig
+    from ledgerflow.sources.jdbc import extract_incremental, jdbc_extractor
+
+    url, driver = "jdbc:derby:memory:ledgerflow_text_keys;create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver"
+    rows = spark.range(2000).selectExpr("concat('K', lpad(cast(id as string), 5, '0')) as code", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, cast(id as int)) as updated_at")
+    rows.write.format("jdbc").option("url", url).option("dbtable", "codes").option("driver", driver).option("createTableColumnTypes", "code VARCHAR(20)").mode("overwrite").save()
+    mark = "2024-01-02 04:59:00"  # the last 260 rows have new, high keys
+    cfg = TableConfig(2, "codes", "sqlserver", ["CODE", "UPDATED_AT"], "codes", None, "bronze", "silver", "APPEND", "code", "updated_at", mark)
+    new = extract_incremental(jdbc_extractor(spark, url, {"driver": driver}, num_partitions=4)(cfg), cfg.columns, "updated_at", mark)
+    sizes = [r[0] for r in new.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(sizes) == 260 and len(sizes) == 4 and max(sizes) <= 66
+    one = jdbc_extractor(spark, url, {"driver": driver})(cfg)
+    assert one.rdd.getNumPartitions() == 1  # so few rows ask for one range
+
+
+def test_quantiles_by_ntile():
+    """The query that databases with NTILE get, run by one of them in this process."""
+    import duckdb
+
+    from ledgerflow.sources.jdbc import quantile_query
+
+    con = duckdb.connect()
+    con.execute("CREATE TABLE t AS SELECT 'K' || lpad(i::VARCHAR, 4, '0') AS \"Key\", i AS m FROM range(1000) x(i) UNION ALL SELECT NULL, 5000")
+    cuts = con.execute(quantile_query("t", "Key", 4, '"m" > 599')).fetchall()
+    assert sorted(cuts) == [(1, "K0600"), (2, "K0700"), (3, "K0800"), (4, "K0900")]
+
+
+def test_ranges_follow_the_rows():
+    from ledgerflow.sources.jdbc import MOST_RANGES, ROWS_A_RANGE, ranges_for
+
+    assert [ranges_for(n) for n in (0, 1, ROWS_A_RANGE, ROWS_A_RANGE + 1, 10**12)] == [1, 1, 1, 2, MOST_RANGES]
