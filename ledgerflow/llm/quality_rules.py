@@ -135,22 +135,24 @@ class Model:
         return self.classes(rules)[0]
 
 
-def _clamped(x: float, low: float, high: float) -> float:
-    return round(min(max(x, low), high), 9)
-
-
-def fit(voted: DataFrame, rules: list[str], rounds: int = 40, tolerance: float = 1e-3) -> Model:
+def fit(voted: DataFrame, rules: list[str], rounds: int = 80, tolerance: float = 5e-4, belief: float = 0.005) -> Model:
     """EM over the counted vote patterns (at most 3 ** rules rows).
 
     A round is one grouped aggregation over the patterns, in a fixed order so
-    that reruns agree.  A rule is held to raise a false alarm on 2 to 10 % of
-    the good documents, and to be right seven times of ten about its own kind:
-    so classes can't change their meaning, and one vote of a rule that finds
-    little isn't enough.  Without documents the starting belief stays.
+    that reruns agree.  Shares and accuracies are free: the starting belief
+    (``Model.start``) counts as ``belief`` times the documents do, at every
+    size, and only tells the classes apart.  So a rule that also fires on
+    documents that all others like is learned to raise false alarms and can be
+    outvoted; rules that fire together do so within one kind of bad documents,
+    and count there once.  Without documents the starting belief stays.
     """
     n = len(rules)
     patterns = checkpointed(voted.groupBy(*rules).agg(F.count("*").alias("n")).repartition(1).sortWithinPartitions(*rules))
-    model = Model.start(n)
+    model = before = Model.start(n)
+
+    def free(found: float, of: float, start: float, weight: float) -> float:
+        return round(min(max((found + weight * start) / (of + weight), 1e-9), 1 - 1e-9), 9)
+
     for _ in range(rounds):
         by_class = patterns.select("n", F.array(*rules).alias("votes"), F.posexplode(model.classes(rules)).alias("c", "p"))
         by_rule = by_class.select("c", (F.col("n") * F.col("p")).alias("w"), F.posexplode("votes").alias("j", "vote"))
@@ -161,13 +163,9 @@ def fit(voted: DataFrame, rules: list[str], rounds: int = 40, tolerance: float =
         if not found:
             break
         total = sum(found[c, 0]["all"] for c in range(n + 1))
-        limits = [[(0.02, 0.1)] * n, *[[(0.7, 0.99) if j == k else (0.01, 0.99) for j in range(n)] for k in range(n)]]
-        # a pseudo-count of ten votes at the starting belief
-        before = Model.start(n).bad
-        bad = tuple(
-            tuple(_clamped((found[c, j]["bad"] + 10 * before[c][j]) / (found[c, j]["voted"] + 10), *limits[c][j]) for j in range(n)) for c in range(n + 1)
-        )
-        new = Model(tuple(_clamped(found[c, 0]["all"] / total, 0.0005, 0.99) for c in range(n + 1)), bad)
+        weight = belief * total
+        bad = tuple(tuple(free(found[c, j]["bad"], found[c, j]["voted"], before.bad[c][j], weight) for j in range(n)) for c in range(n + 1))
+        new = Model(tuple(free(found[c, 0]["all"], total, before.share[c], weight) for c in range(n + 1)), bad)
         moved = max(abs(x - y) for a, b in zip((new.share, *new.bad), (model.share, *model.bad), strict=True) for x, y in zip(a, b, strict=True))
         model = new
         if moved < tolerance:
@@ -175,7 +173,7 @@ def fit(voted: DataFrame, rules: list[str], rounds: int = 40, tolerance: float =
     return model
 
 
-def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
+def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """``(id, measures.., votes.., base_failed, posterior, kept)`` of every row.
 
     base_failed: fewer than 50 words, or over half of them in repeated 3-word
