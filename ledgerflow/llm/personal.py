@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,6 +26,8 @@ from .common import written
 #: kinds in the order of their spans; the first four are found by form alone
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "secret", "context")
+#: the filter of patterns has 2 ** FILTER_BITS bits
+FILTER_BITS = 24
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -152,49 +155,78 @@ _SPANS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.Stru
 _MENTIONS = T.ArrayType(T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType()), T.StructField("instance", T.LongType()), T.StructField("patterns", T.ArrayType(T.LongType()))]))
 
 
-def marked(docs: DataFrame, id_col: str, text_col: str, min_length: int, task_entries: int) -> DataFrame:
-    """One row for each row of ``docs`` (row, id, text_hash, base, mentions) and rows
-    (pattern, n) of the places that each pattern has in all texts, some patterns in several rows."""
-    names = ["row", "id", "text_hash", "base", "mentions", "pattern", "n"]
-    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, [T.LongType(), docs.schema[id_col].dataType, T.LongType(), _SPANS, _MENTIONS, T.LongType(), T.LongType()], strict=True)])
+def marked(docs: DataFrame, id_col: str, text_col: str, min_length: int) -> DataFrame:
+    """``(row, id, text_hash, base, mentions)``: one row, with a number of its own, for each row of ``docs``."""
+    names = ["row", "id", "text_hash", "base", "mentions"]
+    schema = T.StructType([T.StructField(n, t) for n, t in zip(names, [T.LongType(), docs.schema[id_col].dataType, T.LongType(), _SPANS, _MENTIONS], strict=True)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
         from pyspark.sql.pandas.types import to_arrow_schema
 
         arrow = to_arrow_schema(schema)
-        row, held = TaskContext.get().partitionId() << 40, Counter()
-
-        def out(columns: dict) -> pa.RecordBatch:
-            size = len(next(iter(columns.values())))
-            return pa.RecordBatch.from_arrays([columns[f.name] if isinstance(columns.get(f.name), pa.Array) else pa.array(columns.get(f.name) or [None] * size, f.type) for f in arrow], schema=arrow)
-
-        def counted() -> pa.RecordBatch:
-            return out({"pattern": [_hash(*x) for x in held], "n": list(held.values())})
-
+        row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            base, found, rows = [], [], []
+            base, found = [], []
             for raw in batch.column(2).cast(pa.binary()):
-                raw = raw.as_py() or b""
-                text = raw.decode()
+                text = (raw.as_py() or b"").decode()
                 spans = base_spans(text)
                 base.append([{"kind": k, "start": s, "end": e} for k, s, e in spans])
                 found.append([{"kind": m.kind, "start": m.start, "end": m.end, "instance": m.instance, "patterns": m.patterns} for m in mentions(text, spans, min_length)])
-                rows.append(row)
-                row += 1
-                _count_contexts(raw, held)
+            numbers = pa.array(range(row, row + len(base)), pa.int64())
+            row += len(base)
+            yield pa.RecordBatch.from_arrays([numbers, batch.column(0), batch.column(1), pa.array(base, arrow.field("base").type), pa.array(found, arrow.field("mentions").type)], schema=arrow)
+
+    return docs.select(id_col, F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
+
+
+def _slot(pattern: Column) -> Column:
+    return F.shiftrightunsigned(pattern, 64 - FILTER_BITS)
+
+
+def pattern_filter(patterns: DataFrame) -> np.ndarray:
+    """A bit for each value of a pattern's first ``FILTER_BITS`` bits, 1 where one of ``patterns`` has it.
+
+    Put together by a grouped aggregation, so that its size bounds what the driver sees.
+    """
+    word, bit = F.shiftright(_slot(F.col("pattern")), 6), F.expr(f"shiftleft(1L, cast(shiftrightunsigned(pattern, {64 - FILTER_BITS}) & 63 AS INT))")
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    for r in patterns.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
+        bits[r["word"]] = np.uint64(r["bits"] & (2**64 - 1))
+    return bits
+
+
+def places_of(docs: DataFrame, text_col: str, patterns: DataFrame, task_entries: int) -> DataFrame:
+    """``(pattern, places)``: how often each of ``patterns``' words stand in all texts.
+
+    A task counts all contexts, and hands on those that pass a filter of
+    bounded size; what passes it in error is left out by the join.
+    """
+    shared = docs.sparkSession.sparkContext.broadcast(pattern_filter(patterns))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits, held = shared.value, Counter()
+
+        def counted() -> pa.RecordBatch:
+            found = np.fromiter((_hash(*x) for x in held), np.int64, len(held))
+            n = np.fromiter(held.values(), np.int64, len(held))
+            slot = found.view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            passed = (bits[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
+            return pa.RecordBatch.from_arrays([pa.array(found[passed]), pa.array(n[passed])], names=["pattern", "n"])
+
+        for batch in batches:
+            for raw in batch.column(0).cast(pa.binary()):
+                _count_contexts(raw.as_py() or b"", held)
                 if len(held) > task_entries:
                     yield counted()
                     held.clear()
-            if rows:
-                yield out({"row": rows, "id": batch.column(0), "text_hash": batch.column(1), "base": base, "mentions": found})
-        if held:
-            yield counted()
+        yield counted()
 
-    return docs.select(id_col, F.xxhash64(text_col).alias("text_hash"), F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, schema)
+    counts = docs.select(F.coalesce(F.col(text_col), F.lit(""))).mapInArrow(run, "pattern long, n long")
+    return counts.groupBy("pattern").agg(F.sum("n").alias("places")).join(patterns, "pattern", "left_semi")
 
 
-def trusted_patterns(marks: DataFrame, min_confidence: float, min_support: int, rounds: int) -> DataFrame:
+def trusted_patterns(marks: DataFrame, docs: DataFrame, text_col: str, min_confidence: float, min_support: int, rounds: int, task_entries: int) -> DataFrame:
     """``(pattern, confidence)`` of the patterns that the graph's scores trust.
 
     confidence: the scores of the strings at a pattern's places, over the
@@ -203,12 +235,13 @@ def trusted_patterns(marks: DataFrame, min_confidence: float, min_support: int,
     with ``min_confidence`` and ``min_support`` different strings that score as
     much.  Each round's trusted strings support patterns of the next.
     """
-    places = marks.where("pattern is not null").groupBy("pattern").agg(F.sum("n").alias("places"))
     each = marks.where(F.size("mentions") > 0).select(F.explode("mentions").alias("m"))
-    edges = each.select(F.explode("m.patterns").alias("pattern"), "m.instance", F.col("m.kind").isNotNull().cast("double").alias("seed")).groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed"))
+    edges = each.select(F.explode("m.patterns").alias("pattern"), "m.instance", F.col("m.kind").isNotNull().cast("double").alias("seed"))
+    edges = written(edges.groupBy("pattern", "instance").agg(F.count("*").alias("n"), F.max("seed").alias("seed")), "pii-edges")
+    most = written(edges.groupBy("pattern").agg(F.sum("n").alias("most"), F.count("*").alias("strings")).where(F.col("strings") >= min_support).select("pattern", "most"), "pii-candidates")
+    places = places_of(docs, text_col, most.select("pattern"), task_entries)
     # even with every string trusted the others can't reach the bounds
-    able = edges.groupBy("pattern").agg(F.sum("n").alias("most"), F.count("*").alias("strings")).join(places, "pattern")
-    able = able.where((F.col("strings") >= min_support) & (F.col("most") >= min_confidence * (F.col("places") + 1)))
+    able = most.join(places, "pattern").where(F.col("most") >= min_confidence * (F.col("places") + 1))
     edges = written(edges.join(able.select("pattern", "places"), "pattern").withColumn("score", F.col("seed")), "pii-edges")
     trusted, before = None, None
     for _ in range(rounds):
@@ -244,9 +277,8 @@ def personal_spans(
     in the order of ``KINDS``, then start, in code points.  A null or empty text
     has none.  Further columns are not read; no rows give no rows.
     """
-    marks = written(marked(docs, id_col, text_col, min_length, task_entries), "pii-marks")
-    rows = marks.where("row is not null")
-    trusted = trusted_patterns(marks, min_confidence, min_support, rounds)
+    rows = written(marked(docs, id_col, text_col, min_length), "pii-marks")
+    trusted = trusted_patterns(rows, docs, text_col, min_confidence, min_support, rounds, task_entries)
     others = rows.where(F.size("mentions") > 0).select("row", F.explode(F.filter("mentions", lambda m: m["kind"].isNull())).alias("m"))
     beside = others.select("row", "m.start", "m.end", F.explode("m.patterns").alias("pattern")).join(trusted.select("pattern"), "pattern")
     more = beside.groupBy("row").agg(F.array_sort(F.collect_set(F.struct(F.lit("context").alias("kind"), "start", "end"))).alias("more"))
