@@ -239,18 +239,24 @@ def risk_customer_summary_dedup(silver: Silver) -> DataFrame:
 def transaction_channel_summary(silver: Silver) -> DataFrame:
     """SUCCESS transactions of known accounts, per channel (NULL channel kept).
 
-    Transactions are reduced per (account, channel) first and the partials are
-    multiplied by the number of rows each account id has, which equals the
-    row-level join.  With a few transactions an account this saves little, but
-    it bounds what a hot account moves; where adaptive execution finds the
-    account side small it joins without shuffling the partials again.
+    Where account ids are unique, which one count of them tells, transactions
+    meet them row by row and are reduced per channel in the same task: they are
+    not shuffled where adaptive execution broadcasts the ids, and once, with a
+    hot account split, where it can't.  Else they are reduced per (account,
+    channel) first and the partials multiplied by the rows that each id has,
+    which equals the row-level join without its pairs.
     """
     success = silver["transactions"].where(F.col("status") == S.TXN_SUCCESS)
-    account_ids = silver["accounts"].select("account_id")
+    account_ids = silver["accounts"].select("account_id").where("account_id IS NOT NULL")
+    account_rows = account_ids.groupBy("account_id").agg(F.count(F.lit(1)).alias("copies"))
+    if account_rows.where("copies > 1").isEmpty():
+        known = success.select("account_id", "channel", "amount").join(account_ids, "account_id")
+        return known.groupBy("channel").agg(
+            F.count(F.lit(1)).alias("total_transaction"), S.round_half_up(F.sum("amount"), 2).alias("total_transaction_amount")
+        )
     per_account = success.groupBy("account_id", "channel").agg(
         F.count(F.lit(1)).alias("n"), F.sum("amount").alias("amount")
     )
-    account_rows = account_ids.groupBy("account_id").agg(F.count(F.lit(1)).alias("copies"))
     return (
         per_account.join(account_rows, "account_id")
         .groupBy("channel")
