@@ -85,10 +85,13 @@ def profiles(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", id
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some), pa.array(n[some])], names=["lang", "bucket", "n"])
 
     rows_of = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("binary").alias("raw"), F.xxhash64(id_col, text_col).alias("h"))
-    # about twice as many as are wanted pass the bound, so that the task of a language sorts few
-    bound = F.when(F.col("all") > 4 * rows, (-(2.0**63) + 2.0**64 * 2 * rows / F.col("all")).cast("long")).otherwise(F.lit(2**63 - 1))
-    counts = rows_of.groupBy("lang").agg(F.count("*").alias("all")).select("lang", bound.alias("bound"))
-    few = rows_of.join(counts, "lang").where(F.col("h") <= F.col("bound"))
+    # a row for each language; about twice as many documents as are wanted pass its bound, before any shuffle
+    counts = {r["lang"]: r["count"] for r in rows_of.groupBy("lang").count().collect()}
+    bounds = {lang: -(2**63) + 2**64 * 2 * rows // n for lang, n in counts.items() if n > 4 * rows}
+    few = rows_of
+    if bounds:
+        bound = F.element_at(F.create_map(*[F.lit(x) for pair in sorted(bounds.items()) for x in pair]), F.col("lang"))
+        few = rows_of.where(F.col("h") <= F.coalesce(bound, F.lit(2**63 - 1)))
     few = few.withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "raw"))).where(F.col("place") <= rows).select("lang", "raw")
     found = few.repartition(8).mapInArrow(run, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).collect()
     languages = sorted({r["lang"] for r in found})
