@@ -2,7 +2,7 @@
 
 Bronze keeps what the source sent, as text; silver casts once to the
 contract.  Casts are ANSI (a bad value fails the job instead of turning
-into NULL); ``conform_with_rejects`` is the quarantine variant.
+into NULL); ``reject_reason`` tells the rows that don't fit, for quarantine.
 """
 
 from __future__ import annotations

@@ -6,16 +6,26 @@ type.  The rule is strict: rows *after* the mark load, rows equal to it do
 not, rows whose mark column is NULL never load; with no mark every row
 loads.  The new mark is the maximum over the rows loaded; a NULL maximum
 (nothing loaded) leaves the stored mark alone.
+
+Landed rows hold the mark as text, which no scan can skip by.  ``order_key``
+gives it a form that Parquet keeps bounds of, and ``may_be_past`` the scan's
+predicate: it lets pass every row that the rule may load, and perhaps others.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .merge import merge_upsert
 
+#: two sessions' time zones are at most 26 hours apart
+ZONES_APART = 26 * 3600 * 1_000_000
+STAMPS = (T.TimestampType, T.TimestampNTZType)
+
 
 def typed_mark(df: DataFrame, column: str, last_value: str | None) -> Column | None:
     if last_value is None or str(last_value).strip() == "":
@@ -34,6 +44,36 @@ def watermark_filter(df: DataFrame, column: str, last_value: str | None) -> Data
     return df.where(F.col(column) > mark)
 
 
+def order_name(column: str, dtype: T.DataType) -> str:
+    """The column that holds ``order_key``; another mark column or type has another name."""
+    return "_order_" + re.sub(r"\W+", "_", f"{column.lower()}_{dtype.simpleString()}")
+
+
+def order_key(text: Column, dtype: T.DataType) -> Column:
+    """A landed mark in a type that Parquet skips by; NULL if it isn't of its type.
+
+    Timestamps as microseconds: Spark writes them as INT96 by default, which has
+    no bounds, and skips by none of those without a zone.  Other types as they are.
+    """
+    typed = text.try_cast(dtype)
+    return F.unix_micros(typed.cast("timestamp")) if isinstance(dtype, STAMPS) else typed
+
+
+def may_be_past(column: str, dtype: T.DataType, last_value: str) -> Column:
+    """A predicate on ``order_name``'s column that every row past the mark meets.
+
+    So do rows without a key, if only the mark itself is set: they were written
+    without one, or their text doesn't cast, which the cast is to report.  The
+    session that wrote a timestamp's key may have had another time zone, so keys
+    up to ``ZONES_APART`` before the mark pass.
+    """
+    key = F.col(order_name(column, dtype))
+    mark = F.lit(last_value).cast(dtype)
+    if isinstance(dtype, STAMPS):
+        mark = F.unix_micros(mark.cast("timestamp")) - F.lit(ZONES_APART)
+    return (key > mark) | (key.isNull() & F.col(column).isNotNull())
+
+
 def watermark_max(df: DataFrame, column: str) -> DataFrame:
     """One row: the new mark, typed (``max_value``) and as stored text (``mark``).
 

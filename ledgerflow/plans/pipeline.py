@@ -4,8 +4,8 @@
   predicate, a CSV feed, or any DataFrame source) past the mark that bronze
   itself has reached, land as strings, load by type (FULL snapshot, MERGE
   upsert on the key, APPEND load).
-* silver: take the bronze loads it hasn't taken yet (or the bronze snapshot
-  past its own mark), cast to the contract, add audit timestamps, load by type.
+* silver: take the bronze loads it hasn't taken yet (or of the bronze snapshot
+  the rows past its own mark, by a typed key that the scan skips by), cast to the contract, add audit timestamps, load by type.
 * gold: build every registered mart from silver, each on its own, write it,
   record its count.
 
@@ -24,6 +24,7 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas
 from ..operators.aggregate import account_totals, transaction_totals
@@ -126,6 +127,7 @@ class Pipeline:
                 self.store, layer, table, src, cfg.columns, run_id, f"{self.store.root}/_streams/{layer}/{table}",
                 keys=[cfg.primary_key.strip().lower()] if merged else None,
                 latest_by=self._latest(cfg) if merged else None,
+                order=self._order(cfg),
                 rejects=cfg.bad_rows == "quarantine",
             )
         if state is not None and state.run_id == run_id and cfg.load_type != "FULL":
@@ -137,9 +139,9 @@ class Pipeline:
             mark = F.max(F.col(name).try_cast(src.schema[name].dataType))
         else:
             src = extract_full(src, cfg.columns)
-        return self._load(layer, cfg, land_as_string(src), run_id, mark)
+        return self._load(layer, cfg, land_as_string(src), run_id, mark, order=self._order(cfg))
 
-    def _load(self, layer: str, cfg: TableConfig, df: DataFrame, run_id: int, mark: Column | None, taken: int | None = None) -> int:
+    def _load(self, layer: str, cfg: TableConfig, df: DataFrame, run_id: int, mark: Column | None, taken: int | None = None, order=None) -> int:
         table = cfg.table_name
         if cfg.load_type == "FULL":
             return self.store.write_snapshot(layer, table, df, run_id, mark=mark, taken=taken)
@@ -147,7 +149,13 @@ class Pipeline:
             return self.store.append(layer, table, df, run_id, mark=mark, taken=taken)
         # MERGE on the primary key; opt-in: of several source rows per key the latest
         key = cfg.primary_key.strip().lower()
-        return self.store.upsert(layer, table, df, [key], run_id, latest_by=self._latest(cfg), mark=mark, taken=taken)
+        return self.store.upsert(layer, table, df, [key], run_id, latest_by=self._latest(cfg), mark=mark, taken=taken, order=order)
+
+    @staticmethod
+    def _order(cfg: TableConfig) -> tuple[str, T.DataType] | None:
+        """What a landed MERGE table is ordered by: the mark column, as the contract types it."""
+        contract, name = schemas.ENTITIES[cfg.table_name], (cfg.watermark_column or "").lower()
+        return (name, contract[name].dataType) if cfg.load_type == "MERGE" and name in contract.names else None
 
     @staticmethod
     def _latest(cfg: TableConfig) -> list[str] | None:
@@ -179,7 +187,10 @@ class Pipeline:
             raise ValueError(f"bronze table {cfg.bronze_schema}.{cfg.table_name} does not exist")
         loads = landed.kind == "append"
         taken = landed.number if loads else None
-        bronze = self.store.read(cfg.bronze_schema, cfg.table_name, after_load=here.taken if here and loads else 0)
+        since = here.mark if here and here.mark is not None else cfg.last_watermark_value
+        # rejects are those of the whole snapshot, so they need all of it
+        past = self._order(cfg) if since and since.strip() and cfg.bad_rows != "quarantine" else None
+        bronze = self.store.read(cfg.bronze_schema, cfg.table_name, after_load=here.taken if here and loads else 0, past=past and (*past, since))
         contract = schemas.ENTITIES[cfg.table_name]
         if cfg.bad_rows == "quarantine":
             # Rows that do not fit the contract go, as landed text and with
@@ -195,7 +206,7 @@ class Pipeline:
         typed, mark = self._typed(cfg, bronze), None
         wm = cfg.watermark_column.lower() if cfg.watermark_column else None
         if cfg.load_type != "FULL" and wm:
-            typed = watermark_filter(typed, wm, here.mark if here and here.mark is not None else cfg.last_watermark_value)
+            typed = watermark_filter(typed, wm, since)
         if wm:
             mark = F.max(wm)
         return self._load(cfg.silver_schema, cfg, typed, run_id, mark, taken)

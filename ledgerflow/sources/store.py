@@ -16,7 +16,10 @@ present nor the last state uses are removed.  A table has one writer at a time.
 A keyed table is merged by touched partitions.  What the batch makes of them is
 written beside the table; the state record that names it commits the merge, and
 Spark's dynamic partition overwrite then puts it into the table.  If that is cut
-off, the next read or write does it again from the same rows.
+off, the next read or write does it again from the same rows.  With ``order`` the
+rows of a partition are sorted by a mark column's typed key, which stands beside
+them in the files (it is no column of the table), so that rows past a mark are
+read without the files and row groups below it.
 
 Rows and marks are observed while they are written; nothing is read back for them.
 """
@@ -33,6 +36,7 @@ from pyspark.sql import types as T
 from ..operators.aggregate import latest_per_key
 from ..operators.conform import empty_like
 from ..operators.merge import KEY_PART, key_part, merge_upsert
+from ..operators.watermark import may_be_past, order_key, order_name
 
 LOAD = "load"
 #: a keyed table has a partition for so many rows of its first batch, and so many at least
@@ -52,10 +56,16 @@ class State:
     streams: dict[str, int] = field(default_factory=dict)  # stream id -> last micro-batch taken
     parts: int = 0  # of a keyed table: the partitions that keys are dealt to
     pending: bool = False  # the last merge is committed, but not yet in the table's folder
+    order: dict | None = None  # of a keyed table: the field (Spark's JSON form) that its partitions are sorted by
 
     def struct(self) -> T.StructType:
         return T.StructType.fromJson(self.schema)
 
+    def hidden(self) -> list[T.StructField]:
+        """The fields of a keyed table's files that are no columns of the table."""
+        order = [T.StructField.fromJson(self.order)] if self.order else []
+        return [*order, T.StructField(KEY_PART, T.IntegerType())]
+
 
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
@@ -125,16 +135,24 @@ class TableStore:
         return self.state(layer, table) is not None
 
     # --------------------------------------------------------------- read
-    def read(self, layer: str, table: str, after_load: int = 0) -> DataFrame | None:
+    def read(self, layer: str, table: str, after_load: int = 0, past: tuple[str, T.DataType, str] | None = None) -> DataFrame | None:
         """The committed rows, of an append table those of loads after
-        ``after_load``; None for a table that was never written."""
+        ``after_load``; None for a table that was never written.
+
+        past: (mark column, its type, mark).  Of a keyed table that is ordered
+        by the column, files and row groups without a row past the mark are
+        skipped; rows that aren't past it may still come, none that is stays out.
+        """
         state = self._settled(layer, table)
         if state is None:
             return None
         if state.kind == "snapshot":
             return self._frame(f"{self.path(layer, table)}/v={state.number}", state.struct())
         if state.kind == "keyed":
-            return self._parts(layer, table, state).drop(KEY_PART)
+            rows = self._parts(layer, table, state)
+            if past and order_name(*past[:2]) in rows.columns:
+                rows = rows.where(may_be_past(*past))
+            return rows.select(*state.struct().names)
         schema = T.StructType([*state.struct().fields, T.StructField(LOAD, T.LongType())])
         rows = self._frame(self.path(layer, table), schema)
         return rows.where((F.col(LOAD) > after_load) & (F.col(LOAD) <= state.number)).drop(LOAD)
@@ -217,16 +235,19 @@ class TableStore:
         return f"{self.root}/_work/{layer}/{table}"
 
     def _parts(self, layer: str, table: str, state: State) -> DataFrame:
-        schema = T.StructType([*state.struct().fields, T.StructField(KEY_PART, T.IntegerType())])
-        return self._frame(self.path(layer, table), schema)
+        return self._frame(self.path(layer, table), T.StructType([*state.struct().fields, *state.hidden()]))
+
+    @staticmethod
+    def _sorted(rows: DataFrame, state: State) -> DataFrame:
+        return rows.sortWithinPartitions(KEY_PART, state.order["name"]) if state.order else rows
 
     def _settled(self, layer: str, table: str) -> State | None:
         """The state, after a merge that was committed is in the table's folder."""
         state = self.state(layer, table)
         if state is None or not state.pending:
             return state
-        schema = T.StructType([*state.struct().fields, T.StructField(KEY_PART, T.IntegerType())])
-        merged = self._frame(f"{self._work(layer, table)}/merge={state.number}", schema)
+        schema = T.StructType([*state.struct().fields, *state.hidden()])
+        merged = self._sorted(self._frame(f"{self._work(layer, table)}/merge={state.number}", schema), state)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(KEY_PART).parquet(self.path(layer, table))
         state = replace(state, pending=False)
         self.commit(layer, table, state)
@@ -246,13 +267,15 @@ class TableStore:
         mark: Column | None = None,
         taken: int | None = None,
         stream: tuple[str, int] | None = None,
+        order: tuple[str, T.DataType] | None = None,
     ) -> int:
         """Merges ``df`` into a table partitioned by blocks of ``keys``; gives its rows.
 
         Only partitions that hold keys of the batch are read and written.
         latest_by: of several rows of a key the latest is taken.  A batch that
         was merged before may be merged again; a micro-batch of ``stream`` that
-        was committed before is skipped.
+        was committed before is skipped.  order: the mark column, and the type
+        that its values have, by which the written partitions are sorted.
         """
         old = self._of_kind(layer, table, "keyed")
         if self._seen(old, stream):
@@ -263,12 +286,17 @@ class TableStore:
         source = latest_per_key(batch, keys, latest_by).select(*batch.columns) if latest_by else batch
         part = key_part(keys, parts)
         touched = sorted(r[0] for r in source.select(part.alias("p")).distinct().collect())  # at most parts + 1
-        base = self._parts(layer, table, old).where(F.col(KEY_PART).isin(touched)).drop(KEY_PART) if old else empty_like(batch)
+        base = self._parts(layer, table, old).where(F.col(KEY_PART).isin(touched)).select(*old.struct().names) if old else empty_like(batch)
         merged = merge_upsert(base, source, keys, evolve=True)
         number = (old.number if old else 0) + 1
-        merged.withColumn(KEY_PART, part).repartition(KEY_PART).write.mode("overwrite").partitionBy(KEY_PART).parquet(f"{self._work(layer, table)}/merge={number}")
         state = self._next(old, "keyed", number, merged.schema, rows, run_id, reached, taken, stream)
-        self.commit(layer, table, replace(state, parts=parts, pending=True))
+        files, by = merged.withColumn(KEY_PART, part), None
+        if order:
+            files = files.withColumn(order_name(*order), order_key(F.col(order[0]), order[1]))
+            by = json.loads(files.schema[order_name(*order)].json())
+        state = replace(state, parts=parts, pending=True, order=by)
+        self._sorted(files.repartition(KEY_PART), state).write.mode("overwrite").partitionBy(KEY_PART).parquet(f"{self._work(layer, table)}/merge={number}")
+        self.commit(layer, table, state)
         self._settled(layer, table)
         return rows
 

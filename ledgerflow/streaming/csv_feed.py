@@ -89,12 +89,12 @@ def _drain(feed: DataFrame, checkpoint: str, on_batch: Callable[[list[str], tupl
 
 def land_stream(
     store, layer: str, table: str, feed: DataFrame, columns: Sequence[str], run_id: int, checkpoint: str, *,
-    keys: Sequence[str] | None = None, latest_by: Sequence[str] | None = None, rejects: bool = False,
+    keys: Sequence[str] | None = None, latest_by: Sequence[str] | None = None, order: tuple[str, T.DataType] | None = None, rejects: bool = False,
 ) -> int:
     """Lands every new file's rows in ``layer.table``; gives the rows stored.
 
     They are appended, or with ``keys`` merged, micro-batch by micro-batch (see
-    ``TableStore.upsert`` for latest_by).  rejects: rows that don't fit their
+    ``TableStore.upsert`` for latest_by and order).  rejects: rows that don't fit their
     file's header go to ``<table>_rejects``, each batch's once, as the others do.
     """
 
@@ -106,7 +106,7 @@ def land_stream(
             store.append(layer, f"{table}_rejects", bad, run_id, stream=stream)
             rows = rows.where(F.col(MISFIT).isNull()).drop(MISFIT, FILE)
         if keys:
-            return store.upsert(layer, table, rows, list(keys), run_id, latest_by=latest_by and list(latest_by), stream=stream)
+            return store.upsert(layer, table, rows, list(keys), run_id, latest_by=latest_by and list(latest_by), stream=stream, order=order)
         return store.append(layer, table, rows, run_id, stream=stream)
 
     return _drain(feed, checkpoint, on_batch)

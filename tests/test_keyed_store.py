@@ -1,13 +1,17 @@
 """MERGE by touched partitions, loads by partition, the session catalog, observed counts."""
 
+import itertools
 import os
 import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerflow import schemas
 from ledgerflow.operators.merge import KEY_PART, key_part, merge_upsert
+from ledgerflow.operators.watermark import order_name, watermark_filter
+from ledgerflow.plans.pipeline import Pipeline
 from ledgerflow.sources.store import LEAST_PARTS, TableStore
 
 
@@ -271,3 +275,123 @@ def test_ranges_follow_the_rows():
     from ledgerflow.sources.jdbc import MOST_RANGES, ROWS_A_RANGE, ranges_for
 
     assert [ranges_for(n) for n in (0, 1, ROWS_A_RANGE, ROWS_A_RANGE + 1, 10**12)] == [1, 1, 1, 2, MOST_RANGES]
+
+
+# ------------------------------------------------ rows past a mark (order)
+STAMP = T.TimestampNTZType()  # as in the contracts
+
+
+def stamped(spark, lo, hi, day):
+    """Keys lo..hi, landed as text; the mark is ``day`` days and some seconds after 2024-01-01."""
+    at = F.timestamp_seconds(F.lit(1_704_067_200 + day * 86_400) + F.col("n") % 1000).cast("string")
+    return accounts(spark, lo, hi, f"day{day}").withColumn("at", at).select(*[F.col(c).cast("string") for c in ("k", "v", "at")])
+
+
+def scanned(df):
+    """(rows of df, rows that its scans gave, its plan)."""
+    spark = df.sparkSession
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        rows, plan = rows_of(df), df._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    leaves = plan.collectLeaves()
+    return rows, sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())), plan.toString()
+
+
+def test_rows_past_a_mark_are_read_without_the_rest(spark, scratch):
+    store, order = TableStore(spark, scratch), ("at", STAMP)
+    store.upsert("bronze", "t", stamped(spark, 0, 100_000, 0), ["k"], order=order)
+    batch = stamped(spark, 50_000, 51_000, 30)
+    store.upsert("bronze", "t", batch, ["k"], order=order)
+    whole = store.read("bronze", "t")
+    assert whole.columns == ["k", "v", "at"] and whole.count() == 100_000
+    mark = "2024-01-10 00:00:00"
+    rows, seen, plan = scanned(store.read("bronze", "t", past=(*order, mark)))
+    assert [r for r in rows if r[2] > mark] == rows_of(batch)
+    key = order_name("at", STAMP)
+    assert f"GreaterThan({key}," in plan and seen < 10_000, plan
+    # within a partition the rows are sorted, also after the merge was put into the table
+    for f in files(store.path("bronze", "t")):
+        keys = [r[0] for r in spark.read.parquet(f).select(key).collect()]
+        assert keys == sorted(keys)
+    assert spark.table(store.publish("bronze", "t")).columns == ["k", "v", "at", KEY_PART]
+    spark.sql("DROP TABLE `bronze`.`t`")
+
+
+def test_no_row_past_the_mark_stays_out(spark, scratch):
+    """Partitions from before the order, another mark column, texts that don't cast, other time zones, null marks."""
+    store, order = TableStore(spark, scratch), ("at", STAMP)
+    store.upsert("bronze", "t", stamped(spark, 0, 30_000, 30).withColumn("day", F.lit("2024-02-02")), ["k"])  # no order yet
+    past = (*order, "2024-01-20 00:00:00")
+    assert store.read("bronze", "t", past=past).count() == 30_000
+    odd = spark.createDataFrame([("ACC000000001", "a", "no date", "x"), ("ACC000000002", "b", None, "x"), (None, "c", "2024-03-01", "x")], "k string, v string, at string, day string")
+    store.upsert("bronze", "t", odd, ["k"], order=order)
+    got = {r.k: r.v for r in store.read("bronze", "t", past=past).collect()}
+    assert len(got) == 30_000 and got["ACC000000001"] == "a" and got[None] == "c" and "ACC000000002" not in got
+    # keys of another mark column say nothing of this one
+    store.upsert("bronze", "t", stamped(spark, 5_000, 5_100, 40).withColumn("day", F.lit("2024-02-10")), ["k"], order=("day", T.DateType()))
+    assert store.read("bronze", "t", past=past).count() == 30_001
+    assert store.read("bronze", "t", past=("day", T.DateType(), "2024-02-05")).where("day > '2024-02-05' and day <> 'x'").count() == 100
+    # written in one time zone, read in another: the texts past the mark are the same
+    apart = ("Pacific/Kiritimati", "Etc/GMT+12")
+    for kind, (writer, reader) in itertools.product((STAMP, T.TimestampType()), (apart, apart[::-1])):
+        name, order = f"z{writer[:3].lower()}_{kind.simpleString()}", ("at", kind)
+        try:
+            spark.conf.set("spark.sql.session.timeZone", writer)
+            store.upsert("bronze", name, spark.createDataFrame([(str(h), f"2024-01-0{1 + h // 24} {h % 24:02d}:00:00") for h in range(96)], "k string, at string"), ["k"], order=order)
+            spark.conf.set("spark.sql.session.timeZone", reader)
+            found = watermark_filter(store.read("bronze", name, past=(*order, "2024-01-02 12:00:00")).withColumn("at", F.col("at").cast(kind)), "at", "2024-01-02 12:00:00")
+            assert found.count() == 96 - 37
+        finally:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+@pytest.mark.parametrize("dtype, texts, mark", [
+    (T.DateType(), ["2024-01-01", "2024-01-02", "2024-01-03"], "2024-01-02"),
+    (T.LongType(), ["9", "10", "11"], "10"),
+    (T.DecimalType(18, 2), ["9.5", "10.00", "10.01"], "10"),
+    (T.StringType(), ["a", "b", "c"], "b"),
+])
+def test_marks_of_other_types(spark, scratch, dtype, texts, mark):
+    store = TableStore(spark, scratch)
+    store.upsert("bronze", "t", spark.createDataFrame([(t, t) for t in texts], "k string, m string"), ["k"], order=("m", dtype))
+    assert [r.k for r in store.read("bronze", "t", past=("m", dtype, mark)).collect()] == texts[2:]
+
+
+def test_silver_takes_the_rows_past_its_mark(spark, scratch):
+    """The pipeline's second run scans the few bronze partitions with new rows, and silver ends as a whole read leaves it."""
+    given = accounts(spark, 0, 50_000, "x").select(
+        F.col("n").alias("account_id"), F.lit(7).alias("customer_id"), F.lit("SAVINGS").alias("account_type"), F.lit("1.50").alias("balance"),
+        F.timestamp_seconds(F.lit(1_704_067_200) + F.col("n") % 1000).alias("updated_at"),
+    )
+    later = given.where("account_id < 500").withColumn("balance", F.lit("2.50")).withColumn("updated_at", F.lit("2024-03-01 00:00:00").cast("timestamp"))
+    source = {"now": given}
+
+    def extract(cfg):
+        wanted = [c.lower() for c in cfg.columns]
+        have = source["now"]
+        return have.select(*[F.col(c) if c in have.columns else F.lit(None).cast("string").alias(c) for c in wanted])
+
+    store = TableStore(spark, scratch)
+    pipe = Pipeline(spark, store, {"oracledb": extract, "sqlserver": extract})
+    pipe.seed()
+    asked, real = [], TableStore.read
+
+    def read(self, layer, table, **kw):
+        asked.append((layer, table, kw.get("past")))
+        return real(self, layer, table, **kw)
+
+    for now, rows in ((given, 50_000), (later, 500)):
+        source["now"] = now
+        run = pipe.start_run()
+        assert pipe.bronze(2, run) == rows
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(TableStore, "read", read)
+            assert pipe.silver(2, run) == rows
+    past = [p for layer, table, p in asked if (layer, table) == ("bronze", "accounts")][-1]
+    assert past[0] == "updated_at" and past[2].startswith("2024-01-01")
+    _, seen, plan = scanned(store.read("bronze", "accounts", past=past[:2] + ("2024-02-01 00:00:00",)))
+    assert "GreaterThan(_order_updated_at_timestamp_ntz," in plan and seen < 5_000, plan
+    silver = store.read("silver", "accounts")
+    assert silver.count() == 50_000 and silver.where("balance = 2.5").count() == 500
