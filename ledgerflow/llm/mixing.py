@@ -81,7 +81,7 @@ def curriculum(
     """``(id, source, carry.., size, source_size, target, taken, positions)`` of every row of ``docs``.
 
     size: the words ``[^\x20\x09-\x0D]+`` of the text (null: 0).  A source is
-    read in the order of a hash of the id, again from the beginning after its
+    read in the order of a hash of id and text, again from the beginning after its
     end, until its target, rounded, is reached; the last document gives only
     the words that lack.  taken: the words read, at most ``repeat`` times the
     size; positions: array of (epoch, words, position) for each reading, where
@@ -94,8 +94,8 @@ def curriculum(
         F.col(id_col).alias("id"),
         F.col(source_col).alias("source"),
         F.size(words_of(F.col(text_col))).cast("long").alias("size"),
-        F.md5(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")).alias("order"),
-        F.xxhash64(text_col).alias("tie"),
+        # of both: rows that share an id, or have none, are spread over the buckets by their texts
+        F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("\n"), F.coalesce(F.col(text_col), F.lit(""))).cast("binary")).alias("order"),
         *[F.col(c).alias(f"carry{i}") for i, c in enumerate(carry)],
     )
     count = docs.count()
@@ -112,7 +112,7 @@ def curriculum(
     b = buckets.select(F.col("source").alias("b_source"), F.col("bucket").alias("b_bucket"), F.coalesce(before, F.lit(0)).alias("bucket_start"))
     d = demand.withColumnRenamed("source", "d_source")
     starts = b.join(d, F.col("b_source").eqNullSafe(F.col("d_source"))).drop("d_source")
-    inside = W.partitionBy("source", "bucket").orderBy("order", "tie").rowsBetween(W.unboundedPreceding, -1)
+    inside = W.partitionBy("source", "bucket").orderBy("order", "id").rowsBetween(W.unboundedPreceding, -1)
     placed = (
         rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
         .join(starts, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("bucket") == F.col("b_bucket")))

@@ -141,7 +141,7 @@ _TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 ORACLE: dict[str, str] = {
     "op5_mixing": f"""
-WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(doc_id::VARCHAR) AS k FROM documents),
+WITH d AS (SELECT doc_id, source, len({_WORDS})::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || chr(10) || coalesce(text, '')) AS k FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS ss, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS i FROM d GROUP BY source),
 w AS (SELECT *, CASE i % 3 WHEN 0 THEN 3 WHEN 1 THEN 1 ELSE 2 END AS wt, 2 * ss AS cap, sum(ss) OVER () AS everything FROM s),
 f AS (SELECT *, (everything * 1.5::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / wt, i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))

@@ -256,6 +256,17 @@ def test_mixing_follows_the_schedules(spark):
     assert mix[-1].position <= sum(whole.values())
 
 
+def test_rows_that_share_an_id_are_read_in_the_order_of_their_texts(spark, monkeypatch):
+    """Small buckets: each id's rows lie in many; the order is that of md5 over id and text, with no id too."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 4)
+    data = [(i, f"{'w ' * (n % 5 + 1)}{n}", "s") for i in (None, 7) for n in range(100)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = mixing.curriculum(docs, repeat=1, share=1.0, schedules=((1.0, 1.0),), carry=("text",)).collect()
+    assert len(got) == 200 and all(r.taken == r.size for r in got)
+    want = sorted(data, key=lambda r: hashlib.md5(f"{'' if r[0] is None else r[0]}\n{r[1]}".encode()).hexdigest())
+    assert [(r.doc_id, r.text) for r in sorted(got, key=lambda r: r.positions[0].position)] == [r[:2] for r in want]
+
+
 def test_mix_keeps_columns(docs):
     mix = mixing.training_mix(docs)
     assert mix.columns == [*docs.columns, "mix_epoch", "words", "mix_position"]
